@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,8 +104,16 @@ def import_table(
     tgt = schema.evolve_add_columns(tgt, agreed.fields[len(tgt.schema) :]).select(*agreed.names)
     wheres = plan.where("action = 'delete_where'").select("predicate").distinct().collect()
     if wheres:
-        state = ops.import_sql(staged, tgt, [row.predicate for row in wheres])
-        store.publish(state, root, keys)
+        predicates = [row.predicate for row in wheres]
+        if not keys:
+            store.publish(ops.import_sql(staged, tgt, predicates), root)
+            return
+        # only partitions that lose or gain rows are rewritten
+        touched = reduce(
+            DataFrame.union, [tgt.where(p).select(*keys) for p in predicates], staged.select(*keys)
+        ).distinct()
+        held = tgt.join(F.broadcast(touched), keys, "left_semi").select(*agreed.names)
+        store.replace_partitions(ops.import_sql(staged, held, predicates), root, keys, touched)
     elif keys:
         label = partition_label(keys)
         listed = plan.where(F.col("action").isin("replace", "truncate"))

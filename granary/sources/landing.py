@@ -26,7 +26,6 @@ def landing_options(sep: str = SEPARATOR, encoding: str = "UTF-8") -> dict[str,
         "quote": "",
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
-        "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
     }
 
 
