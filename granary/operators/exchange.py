@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import day_of, is_true, join_fields
-from granary.operators.skew import keyed_join
+from granary.operators.skew import listed_join
 
 CHANGED, EMPTY, UNCHANGED, MISSING = "changed", "empty", "unchanged", "missing"
 
@@ -86,8 +86,8 @@ def export_auto(
     For a directory-partitioned table the semi join on partition columns becomes
     dynamic partition pruning, so unchanged partitions are not read.
     """
-    changed = changes.where(F.col("state") == CHANGED).select(*keys).distinct()
-    return keyed_join(df, changed, keys, "left_semi").select(*df.columns)
+    changed = changes.where(F.col("state") == CHANGED)
+    return listed_join(df, changed, keys, "left_semi").select(*df.columns)
 
 
 def fill_predicate(predicate: str, etl_date: str) -> str:
@@ -155,10 +155,9 @@ def import_partition(
     Rows staged for a partition that the manifest does not replace are not taken.
     """
     listed = actions.where(F.col("action").isin("replace", "truncate"))
-    cleared = listed.select(*keys).distinct()
-    replaced = listed.where(F.col("action") == "replace").select(*keys).distinct()
-    kept = keyed_join(tgt, cleared, keys, "left_anti").select(*tgt.columns)
-    new = keyed_join(staged, replaced, keys, "left_semi").select(*tgt.columns)
+    replaced = listed.where(F.col("action") == "replace")
+    kept = listed_join(tgt, listed, keys, "left_anti").select(*tgt.columns)
+    new = listed_join(staged, replaced, keys, "left_semi").select(*tgt.columns)
     return kept.unionByName(new)
 
 

@@ -23,6 +23,7 @@ COMPRESSION_RATIO = 10
 MAX_SPAN_DAYS = 365 * 30
 
 MANY_LABELS = 64
+FEW_BOUNDS = 64
 
 
 def _literal(value) -> str:
@@ -72,7 +73,8 @@ def list_predicate(label: str) -> str:
 def range_label(col: Column, bounds: Sequence[tuple]) -> Column:
     """Partition name for one column under ascending bounds, by binary search.
 
-    A balanced tree of comparisons: no join, no shuffle, log2(n) tests per row.
+    No join and no shuffle, log2(n) comparisons per row: nested conditions for a few
+    bounds, a fold over halving steps for many, which would outgrow compiled code.
     """
     steps = [(name, uppers[0]) for name, uppers in bounds if uppers[0] != MINVALUE]
     steps = [s for i, s in enumerate(steps) if i == 0 or s[1] != steps[i - 1][1]]
@@ -90,7 +92,18 @@ def range_label(col: Column, bounds: Sequence[tuple]) -> Column:
         mid = (lo + hi) // 2
         return F.when(col < F.lit(uppers[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
 
-    return F.when(col.isNotNull(), search(0, len(uppers)))
+    if len(uppers) <= FEW_BOUNDS:
+        return F.when(col.isNotNull(), search(0, len(uppers)))
+    sorted_bounds = F.array(*[F.lit(upper) for upper in uppers])
+    halving = [1 << i for i in reversed(range(len(uppers).bit_length()))]
+
+    def descend(passed: Column, step: Column) -> Column:
+        at = passed + step
+        further = F.try_element_at(sorted_bounds, at) <= col
+        return F.when(further, at).otherwise(passed)
+
+    passed = F.aggregate(F.array(*[F.lit(step) for step in halving]), F.lit(0), descend)
+    return F.when(col.isNotNull(), F.element_at(F.array(*labels), passed + 1))
 
 
 def assign_range_partition(
@@ -176,8 +189,8 @@ def pack_day_partitions(
     The fold runs over the histogram, one entry per calendar day and table,
     never over rows.
     """
-    last = F.element_at("days", -1)["day"]
-    first = F.element_at("days", 1)["day"]
+    last = F.try_element_at("days", F.lit(-1))["day"]
+    first = F.try_element_at("days", F.lit(1))["day"]
     part = "struct<partition_name:string,lower:string,upper:string,row_count:bigint>"
     size = F.lit(1.0) * as_float(total_mb)
     limit = as_float(max_mb)

@@ -124,7 +124,7 @@ def gated(
     if not strict:
         return items.where(upstream.select(F.lit(1)).exists())
     good = keys_of(ledger.where(F.col(status_col) != ERROR), keys)
-    open_gate = keyed_join(keys_of(upstream, keys), good, keys, "left_semi")
+    open_gate = keys_of(upstream, keys).join(good, list(keys), "left_semi")
     return keyed_join(items, open_gate, keys, "left_semi").select(*items.columns)
 
 

@@ -18,6 +18,8 @@ TOP = 200
 SHARE = 1e-4
 MIN_ROWS = 1_000_000
 
+LIST_ROWS = 20_000
+
 MAX_SPLITS = 4096
 STEP = 64
 
@@ -95,6 +97,23 @@ def keyed_join(
     return rest.unionByName(hot)
 
 
+def listed_join(
+    left: DataFrame, listed: DataFrame, keys: Sequence[str], how: str
+) -> DataFrame:
+    """Semi or anti join with a list of partitions or the like.
+
+    The planner's estimate for such a list is far too high, as it comes from counting
+    files or rows. So up to ``LIST_ROWS`` entries are fetched and broadcast; a longer list is
+    joined as any other side.
+    """
+    entries = listed.select(*keys).distinct()
+    rows = entries.limit(LIST_ROWS + 1).collect()
+    if len(rows) > LIST_ROWS:
+        return keyed_join(left, entries, keys, how)
+    fetched = left.sparkSession.createDataFrame(rows, entries.schema)
+    return left.join(F.broadcast(fetched), list(keys), how)
+
+
 def rows_without_match(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``other``.
 
