@@ -77,14 +77,10 @@ def run_load(
     paths = landing.history_paths(history, etl_date, job.system_id, job.name)
     warnings: list[str] = []
 
-    expected = (
-        spark.read.option("wholetext", "true")
-        .text(paths["end"])
-        .select(landing.expected_count("value").alias("n"))
-        .first()
-    )
+    end = spark.read.text(paths["end"], wholetext=True)
+    expected = end.select(landing.expected_count("value").alias("n")).first()
     expected_rows = -1 if expected is None else expected.n
-    ddl = spark.read.option("wholetext", "true").text(paths["sql"])
+    ddl = spark.read.text(paths["sql"], wholetext=True)
     declared = schema.extract_schema(ddl).orderBy("pos").collect()
     columns = [(row.column_name, row.column_type) for row in declared]
     added = check_growth(columns, registered_columns(registry, job.table), job.table)
@@ -106,7 +102,7 @@ def run_load(
             warnings.append(f"load key {list(job.keys)} is not the declared key {key}")
     if job.load_type == "merge":
         schema.require_unique(src, job.keys)
-    size_mb = _size_mb(spark, paths["txt"])
+    size_mb = files.total_bytes(spark, paths["txt"]) / 1024 / 1024 / layout.COMPRESSION_RATIO
     seen = Observation()
     counted = src.observe(seen, F.count(F.lit(1)).alias("n"))
     if job.day and job.load_type == "add":
@@ -114,10 +110,10 @@ def run_load(
             _append_days(job, src, counted, etl_date, root, size_mb)
         else:
             _first_days(job, src, counted, root, size_mb)
-        loaded = seen.get["n"]
+        loaded = seen.get["n"] if size_mb else 0
     elif not exists:
         store.publish(counted, root, n_files=int(size_mb // job.bucket_mb) + 1)
-        loaded = seen.get["n"]
+        loaded = seen.get["n"] if size_mb else 0
     else:
         tgt = store.read_table(spark, root)
         tgt = schema.evolve_add_columns(tgt, [f for f in src.schema if f.name in added])
@@ -131,7 +127,7 @@ def run_load(
                 counted, tgt, job.load_type, etl_date, (), job.day, job.def_etl_date
             )
             store.publish(state, root)
-            loaded = seen.get["n"]
+            loaded = seen.get["n"] if size_mb else 0
 
     if loaded == expected_rows:
         status = "success"
@@ -143,13 +139,6 @@ def run_load(
     return LoadResult(expected_rows, loaded, status, tuple(warnings))
 
 
-def _size_mb(spark: SparkSession, path: str) -> float:
-    if not files.exists(spark, path):
-        return 0.0
-    size = files.list_files(spark, path).agg(F.sum("length").alias("bytes"))
-    return size.select(layout.text_size_mb(F.col("bytes")).alias("mb")).first().mb or 0.0
-
-
 def _first_days(
     job: LoadJob, src: DataFrame, counted: DataFrame, root: str, size_mb: float
 ) -> None:
@@ -183,7 +172,7 @@ def _append_days(
     if etl_date >= end:
         start = bounds[-2][1][0] if len(bounds) > 1 else layout.MINVALUE
         newest = f"{store.current_path(spark, root)}/{PARTITION}={name}"
-        last_mb = _size_mb(spark, newest) * layout.COMPRESSION_RATIO  # stored, not text
+        last_mb = files.total_bytes(spark, newest) / 1024 / 1024
         stats = spark.range(1).select(
             F.lit(start).alias("newest_start"),
             F.lit(end).alias("newest_end"),

@@ -553,11 +553,11 @@ def load_add_partitions(spark, sf_dir):
     tgt = order_days(spark, sf_dir).withColumn("etl_month", F.substring("etl_date", 1, 6))
     root = files.shared_dir(spark, "add")
     store.publish(tgt, root, ["etl_month"])
-    held = store.read_table(spark, root, schema=tgt.schema).where("etl_month = '199808'")
+    held = store.read_table(spark, root).where("etl_month = '199808'")
     src = delivered_days(tgt, "19980803", "19980803")
     state = loads.load_add(src, held, "etl_date", "19980803")
     store.replace_partitions(state, root, ["etl_month"])
-    return store.read_table(spark, root, schema=tgt.schema).drop("etl_month")
+    return store.read_table(spark, root).drop("etl_month")
 
 
 def delivered_customers(spark, sf_dir):

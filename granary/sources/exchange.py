@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.functions import join_fields
-from granary.operators.schema import agreed_schema, conform
+from granary.operators.schema import conform
 from granary.sources import files, store
 
 MANIFEST_SCHEMA = (
     "table_name string, partition_name string, action string, predicate string, "
     "schema_json string, row_count long"
 )
-MARKER = "END"
+MARKER, SCHEMA = "END", "SCHEMA"
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "#&", compat: bool = False) -> None:
@@ -34,6 +34,8 @@ def write_bundle(
     store.write_target(df, f"{path}/data", partition_by, mode="overwrite")
     # one row per exported partition
     manifest.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
+    stored = store.stored_schema(df, partition_by)
+    files.write_small(spark, f"{path}/{SCHEMA}", json.dumps(stored.jsonValue()))
     files.write_small(spark, f"{path}/{MARKER}", "success")
 
 
@@ -49,16 +51,13 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def bundle_schema(spark: SparkSession, path: str) -> T.StructType:
     """Table schema a bundle carries."""
-    row = read_manifest(spark, path).select("schema_json").first()
-    if row is None:
-        raise ValueError(f"bundle {path} carries no schema")
-    return T.StructType.fromJson(json.loads(row.schema_json))
+    return T.StructType.fromJson(json.loads(files.read_small(spark, f"{path}/{SCHEMA}")))
 
 
 def read_bundle(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Rows of a bundle, partition values as text unless the schema says otherwise."""
+    """Rows of a bundle, in the schema it was exported with."""
     schema = schema or bundle_schema(spark, path)
     return spark.read.schema(schema).orc(f"{path}/data")
 
@@ -85,12 +84,7 @@ def load_external(df: DataFrame, root: str, mode: str) -> DataFrame:
     spark = df.sparkSession
     if store.table_exists(spark, root):
         have = store.read_table(spark, root)
-        agreed = agreed_schema(df.schema, have.schema)
         df = conform(df, have.schema)
-        if len(agreed) > len(have.schema) and mode == "add":
-            # older files lack the added columns and read NULL there
-            store.append(df, root)
-            return store.read_table(spark, root, schema=agreed)
     store.load_external(df, root, mode)
     return store.read_table(spark, root)
 

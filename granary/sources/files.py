@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,13 @@ def delete(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).delete(_path(spark, path), True)
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of everything below a directory; 0 where there is nothing."""
+    if not exists(spark, path):
+        return 0
+    return _fs(spark, path).getContentSummary(_path(spark, path)).getLength()
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a directory."""
     if not exists(spark, path):
@@ -71,13 +79,29 @@ def read_small(spark: SparkSession, path: str) -> str:
 
 
 def list_files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    """Files below a root as ``path, length, modified``; contents are not read."""
+    """Files below a root as ``path, length, modified``; contents are not read.
+
+    Spark's readers pass over empty files, so those are added from the reader's own index of
+    the directory: file names, which the driver holds for any scan.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(root).select(
-        "path", "length", F.col("modificationTime").alias("modified")
-    )
+    found = reader.load(root)
+    listing = found.select("path", "length", F.col("modificationTime").alias("modified"))
+    names = found.inputFiles()
+    indexed = spark.createDataFrame([(name,) for name in names], "value string")
+    decoded = F.url_decode(F.replace("value", F.lit("+"), F.lit("%2B")))
+    plain = F.regexp_replace(decoded, "^file:/+", "file:/")
+    unread = indexed.select(plain.alias("path")).join(listing.select("path"), "path", "left_anti")
+    empty = []
+    for row in unread.toLocalIterator():  # only empty files come this far
+        status = _fs(spark, row.path).getFileStatus(_path(spark, row.path))
+        if status.getLen() == 0:
+            empty.append((row.path, 0, datetime.fromtimestamp(status.getModificationTime() / 1000)))
+    if not empty:
+        return listing
+    return listing.unionByName(spark.createDataFrame(empty, listing.schema))
 
 
 def shared_dir(spark: SparkSession, name: str = "work") -> str:

@@ -101,15 +101,19 @@ def expected_count(text: str | Column) -> Column:
     return F.when(digits == "", F.lit(-1)).otherwise(digits.try_cast("int"))
 
 
+def whole_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """Small text files below a root, one row each."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    return reader.text(root, wholetext=True).select(
+        F.col("_metadata.file_path").alias("path"), "value"
+    )
+
+
 def read_expected_counts(spark: SparkSession, root: str) -> DataFrame:
     """Declared row count of every delivery below a root."""
-    ends = (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.END")
-        .text(root)
-        .select(F.col("_metadata.file_path").alias("path"), "value")
-    )
+    listing = files.list_files(spark, root, "*.END")
+    blank = listing.where("length = 0").select("path", F.lit("").alias("value"))
+    ends = whole_files(spark, root, "*.END").unionByName(blank)
     return bundle_files(ends).select(
         "etl_date", "system_id", "name", expected_count("value").alias("expected")
     )
@@ -117,13 +121,7 @@ def read_expected_counts(spark: SparkSession, root: str) -> DataFrame:
 
 def read_declarations(spark: SparkSession, root: str) -> DataFrame:
     """Text of every declaration below a root, for ``schema.extract_schema``."""
-    scripts = (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.SQL")
-        .text(root)
-        .select(F.col("_metadata.file_path").alias("path"), "value")
-    )
+    scripts = whole_files(spark, root, "*.SQL")
     return bundle_files(scripts).select("etl_date", "system_id", "name", "value")
 
 

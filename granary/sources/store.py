@@ -22,9 +22,19 @@ def table_exists(spark: SparkSession, root: str) -> bool:
     return files.exists(spark, f"{root}/{POINTER}")
 
 
+def pointer(spark: SparkSession, root: str) -> dict:
+    """Version and schema of the table as it stands."""
+    return json.loads(files.read_small(spark, f"{root}/{POINTER}"))
+
+
+def set_pointer(spark: SparkSession, root: str, version: str, schema: T.StructType) -> None:
+    note = {"version": version, "schema": schema.jsonValue()}
+    files.write_small(spark, f"{root}/{POINTER}", json.dumps(note))
+
+
 def current_path(spark: SparkSession, root: str) -> str:
     """Directory of the table's current version."""
-    return f"{root}/{files.read_small(spark, f'{root}/{POINTER}').strip()}"
+    return f"{root}/{pointer(spark, root)['version']}"
 
 
 def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -32,6 +42,13 @@ def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def stored_schema(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
+    """Schema as read back: partition columns last, everything nullable."""
+    fields = [f for f in df.schema if f.name not in partition_by]
+    fields += [df.schema[name] for name in partition_by]
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in fields])
+
+
 def write_target(
     df: DataFrame,
     path: str,
@@ -57,7 +74,7 @@ def publish(
     number = 1 + max([int(name[1:]) for name in versions], default=0)
     name = f"v{number:08d}"
     write_target(df, f"{root}/{name}", partition_by, n_files)
-    files.write_small(spark, f"{root}/{POINTER}", name)
+    set_pointer(spark, root, name, stored_schema(df, partition_by))
     for old in versions:
         if old != now:
             files.delete(spark, f"{root}/{old}")
@@ -69,15 +86,15 @@ def read_table(
     root: str,
     predicate: str | None = None,
     columns: Sequence[str] | None = None,
-    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Scan the table's current version; filters and columns reach the scan.
 
-    Pass ``schema`` to keep partition values as text or to read older files with added
-    columns.
+    The stored schema keeps partition values in their own type, and files older than a
+    column read NULL for it.
     """
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.orc(current_path(spark, root))
+    now = pointer(spark, root)
+    schema = T.StructType.fromJson(now["schema"])
+    df = spark.read.schema(schema).orc(f"{root}/{now['version']}")
     if predicate:
         df = df.where(predicate)
     return df.select(*columns) if columns else df
@@ -116,24 +133,35 @@ def finish_swap(spark: SparkSession, root: str) -> None:
     if not files.exists(spark, f"{root}/{PENDING}"):
         return
     note = json.loads(files.read_small(spark, f"{root}/{PENDING}"))
-    target = current_path(spark, root)
+    now = pointer(spark, root)
+    target = f"{root}/{now['version']}"
     staged = spark.read.schema(T.StructType.fromJson(note["schema"])).orc(f"{root}/aside")
     spread(staged, note["keys"]).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*note["keys"]).orc(target)
     for directory in note["gone"]:
         files.delete(spark, f"{target}/{directory}")
+    known = T.StructType.fromJson(now["schema"])
+    if set(staged.columns) - set(known.names):
+        set_pointer(spark, root, now["version"], stored_schema(staged, note["keys"]))
     files.delete(spark, f"{root}/{PENDING}")
     files.delete(spark, f"{root}/aside")
 
 
 def append(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> None:
-    """Add rows to the current version."""
+    """Add rows to the current version; columns they bring along are added to the table."""
     spark = df.sparkSession
     if not table_exists(spark, root):
         publish(df, root, partition_by)
-    else:
-        write_target(df, current_path(spark, root), partition_by, mode="append")
+        return
+    now = pointer(spark, root)
+    write_target(df, f"{root}/{now['version']}", partition_by, mode="append")
+    known = T.StructType.fromJson(now["schema"])
+    added = [f for f in stored_schema(df, partition_by) if f.name not in known.names]
+    if added:
+        split = len(known) - len(partition_by)
+        wider = T.StructType(known.fields[:split] + added + known.fields[split:])
+        set_pointer(spark, root, now["version"], wider)
 
 
 def load_external(df: DataFrame, root: str, mode: str) -> None:
