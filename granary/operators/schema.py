@@ -16,6 +16,7 @@ COLUMN_TYPE = r'^"?[\w$#]+"? (\w+(?: ?\([^)]*\))?)'
 BODY_END = r"^\)|^(constraint .*)?primary key"
 PRIMARY_KEY = r"^(?:constraint \S+ )?primary key ?\(([^)]*)\)"
 TABLE_NAME = r'^create table "?([\w.$#]+)"?'
+WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
 COMMENT = r"^comment on {} (\S+) is '?(.*?)'?;?$"
 
 
@@ -134,16 +135,29 @@ def cast_to_target(
     A value that cannot be cast becomes NULL; ``failed`` names a column that lists
     which ones did, so bad values can be counted in the same pass.
     """
-    casts = {name: F.col(name).try_cast(resolve_type(kind, names)) for name, kind in columns}
-    out = [cast.alias(name) for name, cast in casts.items()]
-    if failed:
-        bad = [
-            F.when(F.col(name).isNotNull() & cast.isNull(), F.lit(name))
-            for name, cast in casts.items()
-        ]
-        out.append(F.array_compact(F.array(*bad)).alias(failed))
+    kinds = {name: resolve_type(kind, names) for name, kind in columns}
+    casts = {name: _cast(F.col(name), kind).alias(name) for name, kind in kinds.items()}
     kept = [F.col(name) for name in df.columns if name not in casts]
-    return df.select(*out, *kept)
+    if not failed:
+        return df.select(*casts.values(), *kept)
+    # cast once, then look at both values
+    given = [F.col(name).alias(f"_given_{name}") for name, kind in kinds.items() if kind != "string"]
+    both = df.select(*casts.values(), *kept, *given)
+    bad = [
+        F.when(F.col(f"_given_{name}").isNotNull() & F.col(name).isNull(), F.lit(name))
+        for name, kind in kinds.items()
+        if kind != "string"
+    ]
+    found = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
+    return both.select(*casts, found.alias(failed), *kept)
+
+
+def _cast(text: Column, kind: str) -> Column:
+    """Cast that yields NULL for a bad value. Whole numbers are looked at first, as a failing
+    cast of those raises and catches an error for each value."""
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.when(text.rlike(WHOLE_NUMBER), text.try_cast(kind))
+    return text.try_cast(kind)
 
 
 def schema_drift(

@@ -15,7 +15,8 @@ SEPARATOR = "#&"
 CORRUPT = "_corrupt_record"
 
 # Fixed pattern: <root>/<day>/<SYSTEM>/<name>.<kind>, in history one or two directories deeper.
-BUNDLE_PATH = r"/(\d{8})/([^/]+)/(?:[^/]+/)?(?:data/)?([^/]+)\.(txt|SQL|END)$"
+BUNDLE_PATH = r"^.*?/(\d{8})/([^/]+)/(?:[^/]+/)?(?:data/)?([^/]+)\.(txt|SQL|END)$"
+PARTS = "\u0001"
 
 
 def landing_options(sep: str = SEPARATOR, encoding: str = "UTF-8") -> dict[str, str]:
@@ -49,14 +50,14 @@ def read_landing(
 
 def bundle_files(listing: DataFrame) -> DataFrame:
     """Delivery day, system, name and kind of each listed file; other files are dropped."""
-    part = [F.regexp_extract("path", BUNDLE_PATH, i) for i in range(1, 5)]
-    return listing.select(
-        *listing.columns,
-        part[0].alias("etl_date"),
-        part[1].alias("system_id"),
-        part[2].alias("name"),
-        part[3].alias("kind"),
-    ).where("kind <> ''")
+    parts = F.split(
+        F.regexp_replace("path", BUNDLE_PATH, PARTS.join(["$1", "$2", "$3", "$4"])), PARTS
+    )
+    names = ["etl_date", "system_id", "name", "kind"]
+    found = listing.withColumn("_parts", parts).where(F.size("_parts") == len(names))
+    return found.select(
+        *listing.columns, *[F.col("_parts")[i].alias(name) for i, name in enumerate(names)]
+    )
 
 
 def landing_manifest(current: DataFrame, history: DataFrame | None = None) -> DataFrame:
