@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import day_of, is_true, join_fields
-from granary.operators.skew import listed_join
+from granary.operators.skew import join_on, listed_join
 
 CHANGED, EMPTY, UNCHANGED, MISSING = "changed", "empty", "unchanged", "missing"
 
@@ -49,11 +49,11 @@ def detect_changes(
         F.sum("length").alias("bytes"),
         F.count("*").alias("files"),
     )
-    joined = known.select(*keys).distinct().join(files, keys, "left")
+    joined = join_on(known.select(*keys).distinct(), files, keys, "left", null_safe=True)
     here = F.col("files").isNotNull()
     if present is not None:
         seen = present.select(*keys).distinct().withColumn("_present", F.lit(True))
-        joined = joined.join(seen, keys, "left")
+        joined = join_on(joined, seen, keys, "left", null_safe=True)
         here = here | is_true(F.col("_present"))
     state = (
         F.when(~here, MISSING)

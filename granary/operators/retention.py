@@ -35,7 +35,8 @@ def expired_entries(
     older = (F.col(modified) < F.col("_time")) | (
         (F.col(modified) == F.col("_time")) & (F.col(path) > F.col("_path"))
     )
-    return keyed_join(listing, last_kept, [root], "inner").where(older).select(*listing.columns)
+    joined = keyed_join(listing, last_kept, [root], "inner", null_safe=True)
+    return joined.where(older).select(*listing.columns)
 
 
 def kept_days(df: DataFrame, keep_n: int, day: str = "etl_date") -> DataFrame:

@@ -65,6 +65,18 @@ def heavy_keys(
     }
 
 
+def join_on(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool
+) -> DataFrame:
+    """Join on columns of the same names; ``null_safe`` lets NULL match NULL."""
+    keys = list(keys)
+    if not null_safe:
+        return left.join(right, keys, how)
+    renamed = right.withColumnsRenamed({name: f"_right_{name}" for name in keys})
+    same = [F.col(f"`{name}`").eqNullSafe(F.col(f"`_right_{name}`")) for name in keys]
+    return left.join(renamed, same, how).drop(*[f"_right_{name}" for name in keys])
+
+
 def keyed_join(
     left: DataFrame,
     right: DataFrame,
@@ -72,6 +84,7 @@ def keyed_join(
     how: str,
     share: float = SHARE,
     min_rows: int = MIN_ROWS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join where ``right`` has at most one row per key; ``left`` may be skewed.
 
@@ -86,21 +99,22 @@ def keyed_join(
         if left.schema[name].dataType != right.schema[name].dataType:
             raise TypeError(f"join key {name} has different types on the two sides")
     if will_broadcast(right):
-        return left.join(right, keys, how)
+        return join_on(left, right, keys, how, null_safe)
     heavy = list(heavy_keys(left, keys, share, min_rows))
     if not heavy:
-        return left.join(right, keys, how)
+        return join_on(left, right, keys, how, null_safe)
     in_left = key_hash(left, keys).isin(heavy)
     in_right = key_hash(right, keys).isin(heavy)
-    rest = left.where(~in_left).join(right.where(~in_right), keys, how)
-    hot = left.where(in_left).join(F.broadcast(right.where(in_right)), keys, how)
+    rest = join_on(left.where(~in_left), right.where(~in_right), keys, how, null_safe)
+    few = F.broadcast(right.where(in_right))
+    hot = join_on(left.where(in_left), few, keys, how, null_safe)
     return rest.unionByName(hot)
 
 
 def listed_join(
     left: DataFrame, listed: DataFrame, keys: Sequence[str], how: str
 ) -> DataFrame:
-    """Semi or anti join with a list of partitions or the like.
+    """Semi or anti join with a list of partitions or the like; NULL matches NULL.
 
     The planner's estimate for such a list is far too high, as it comes from counting
     files or rows. So up to ``LIST_ROWS`` entries are fetched and broadcast; a longer list is
@@ -109,9 +123,9 @@ def listed_join(
     entries = listed.select(*keys).distinct()
     rows = entries.limit(LIST_ROWS + 1).collect()
     if len(rows) > LIST_ROWS:
-        return keyed_join(left, entries, keys, how)
+        return keyed_join(left, entries, keys, how, null_safe=True)
     fetched = left.sparkSession.createDataFrame(rows, entries.schema)
-    return left.join(F.broadcast(fetched), list(keys), how)
+    return join_on(left, F.broadcast(fetched), keys, how, null_safe=True)
 
 
 def rows_without_match(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:

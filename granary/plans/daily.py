@@ -100,6 +100,10 @@ def run_load(
         key = [row.column_name for row in declared if row.is_key]
         if list(job.keys) != key:
             warnings.append(f"load key {list(job.keys)} is not the declared key {key}")
+        # read more than once below, so the text is parsed and numbered only once
+        delivery = f"{root}/delivery"
+        store.write_target(src, delivery, mode="overwrite")
+        src = spark.read.schema(src.schema).orc(delivery)
     if job.load_type == "merge":
         schema.require_unique(src, job.keys)
     size_mb = files.total_bytes(spark, paths["txt"]) / 1024 / 1024 / layout.COMPRESSION_RATIO
@@ -112,6 +116,7 @@ def run_load(
             _first_days(job, src, counted, root, size_mb)
         loaded = seen.get["n"] if size_mb else 0
     elif not exists:
+        files.delete(spark, f"{root}/{BOUNDS}")
         store.publish(counted, root, n_files=int(size_mb // job.bucket_mb) + 1)
         loaded = seen.get["n"] if size_mb else 0
     else:
@@ -129,6 +134,9 @@ def run_load(
             store.publish(state, root)
             loaded = seen.get["n"] if size_mb else 0
 
+    if job.load_type in ("merge", "update"):
+        files.delete(spark, delivery)
+
     if loaded == expected_rows:
         status = "success"
     elif job.load_type == "merge":

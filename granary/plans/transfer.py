@@ -53,34 +53,40 @@ def export_table(
     schema_json = rows.schema.json()
     keys = list(partition_by)
     label = partition_label(keys) if keys else F.lit(ALL)
-    no_predicate = F.lit(None).cast("string")
+    if mode not in ("all", "auto", "sql"):
+        raise ValueError(f"unknown export mode {mode!r}")
     if mode == "sql":
         if predicate is None:
             raise ValueError("an sql export needs a predicate")
         chosen = ops.export_sql(rows, predicate, etl_date)
-        counts = chosen.agg(F.count("*").alias("row_count")).withColumn("partition_name", F.lit(ALL))
         text = F.lit(ops.fill_predicate(predicate, etl_date))
-        plan = ops.manifest(counts, table, "delete_where", text, schema_json)
-    elif mode in ("all", "auto"):
-        chosen = rows
-        changes = table_changes(spark, root, etl_date, keys)
-        if mode == "all":
-            changes = changes.withColumn("state", F.lit(ops.CHANGED))
-        elif keys:
-            changed = [
-                row.partition_name
-                for row in changes.where(F.col("state") == ops.CHANGED)
-                .select("partition_name")
-                .collect()
-            ]  # one row per partition directory
-            chosen = layout.filter_list_partitions(rows, changed)
-        elif changes.where(F.col("state") == ops.CHANGED).isEmpty():
-            chosen = rows.where("false")
-        counts = chosen.groupBy(label.alias("partition_name")).agg(F.count("*").alias("row_count"))
-        predicates = changes.select("partition_name", no_predicate.alias("predicate"))
-        plan = ops.plan_export(changes, counts, predicates, table, schema_json)
-    else:
-        raise ValueError(f"unknown export mode {mode!r}")
+
+        def plan(written: DataFrame) -> DataFrame:
+            counts = written.agg(F.count("*").alias("row_count"))
+            counts = counts.withColumn("partition_name", F.lit(ALL))
+            return ops.manifest(counts, table, "delete_where", text, schema_json)
+
+        bundles.write_bundle(chosen, plan, bundle, keys)
+        return
+
+    chosen = rows
+    changes = table_changes(spark, root, etl_date, keys)
+    if mode == "all":
+        changes = changes.withColumn("state", F.lit(ops.CHANGED))
+    elif keys:
+        changed = changes.where(F.col("state") == ops.CHANGED).select("partition_name")
+        # one row per partition directory
+        chosen = layout.filter_list_partitions(rows, [r.partition_name for r in changed.collect()])
+    elif changes.where(F.col("state") == ops.CHANGED).isEmpty():
+        chosen = rows.where("false")
+
+    def plan(written: DataFrame) -> DataFrame:
+        counts = written.groupBy(label.alias("partition_name")).agg(
+            F.count("*").alias("row_count")
+        )
+        none = changes.select("partition_name", F.lit(None).cast("string").alias("predicate"))
+        return ops.plan_export(changes, counts, none, table, schema_json)
+
     bundles.write_bundle(chosen, plan, bundle, keys)
 
 

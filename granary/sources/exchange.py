@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,16 +26,23 @@ def write_delimited(df: DataFrame, path: str, sep: str = "#&", compat: bool = Fa
 
 
 def write_bundle(
-    df: DataFrame, manifest: DataFrame, path: str, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    manifest: Callable[[DataFrame], DataFrame],
+    path: str,
+    partition_by: Sequence[str] = (),
 ) -> None:
-    """Data, then manifest, then the ready marker, which an earlier run's is cleared for."""
+    """Data, then manifest, then the ready marker, which an earlier run's is cleared for.
+
+    ``manifest`` is given the rows as written, so counting them does not select them again.
+    """
     spark = df.sparkSession
     files.delete(spark, f"{path}/{MARKER}")
+    schema = store.stored_schema(df, partition_by)
     store.write_target(df, f"{path}/data", partition_by, mode="overwrite")
+    written = spark.read.schema(schema).orc(f"{path}/data")
     # one row per exported partition
-    manifest.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
-    stored = store.stored_schema(df, partition_by)
-    files.write_small(spark, f"{path}/{SCHEMA}", json.dumps(stored.jsonValue()))
+    manifest(written).repartition(1).write.mode("overwrite").json(f"{path}/manifest")
+    files.write_small(spark, f"{path}/{SCHEMA}", json.dumps(schema.jsonValue()))
     files.write_small(spark, f"{path}/{MARKER}", "success")
 
 

@@ -11,8 +11,10 @@ import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from granary.operators.skew import join_on
 from granary.sources import files
 
 POINTER, PENDING = "CURRENT", "PENDING"
@@ -118,36 +120,49 @@ def replace_partitions(
     write_target(df, aside, keys, mode="overwrite")
     gone = []
     if cleared is not None:
-        # one row per partition directory
-        staged = spark.read.schema(df.schema).orc(aside)
-        filled = staged.select(*keys).distinct()
-        empty = cleared.select(*keys).distinct().join(filled, keys, "left_anti")
-        gone = ["/".join(f"{key}={row[key]}" for key in keys) for row in empty.collect()]
-    note = {"keys": keys, "gone": gone, "schema": df.schema.jsonValue()}
+        filled = spark.read.schema(df.schema).orc(aside).select(*keys).distinct()
+        emptied = join_on(cleared.select(*keys).distinct(), filled, keys, "left_anti", True)
+        held = join_on(read_table(spark, root), F.broadcast(emptied), keys, "left_semi", True)
+        where = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        names = [F.element_at(F.split(where, "/"), i - 1 - len(keys)) for i in range(len(keys))]
+        gone = [row.dir for row in held.select(F.concat_ws("/", *names).alias("dir")).distinct().collect()]
+    note = {"gone": gone, "schema": stored_schema(df, keys).jsonValue()}
     files.write_small(spark, f"{root}/{PENDING}", json.dumps(note))
     finish_swap(spark, root)
 
 
 def finish_swap(spark: SparkSession, root: str) -> None:
-    """Carry out the pending partition swap, if there is one."""
+    """Carry out the pending partition swap, if there is one: partition directories are
+    renamed into place one by one."""
     if not files.exists(spark, f"{root}/{PENDING}"):
         return
     note = json.loads(files.read_small(spark, f"{root}/{PENDING}"))
     now = pointer(spark, root)
     target = f"{root}/{now['version']}"
-    staged = spark.read.schema(T.StructType.fromJson(note["schema"])).orc(f"{root}/aside")
-    spread(staged, note["keys"]).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*note["keys"]).orc(target)
+    for directory in partition_dirs(spark, f"{root}/aside"):
+        files.move(spark, f"{root}/aside/{directory}", f"{target}/{directory}")
     for directory in note["gone"]:
         files.delete(spark, f"{target}/{directory}")
     known = T.StructType.fromJson(now["schema"])
-    if set(staged.columns) - set(known.names):
-        set_pointer(spark, root, now["version"], stored_schema(staged, note["keys"]))
+    staged = T.StructType.fromJson(note["schema"])
+    if set(staged.names) - set(known.names):
+        set_pointer(spark, root, now["version"], staged)
     files.delete(spark, f"{root}/{PENDING}")
     files.delete(spark, f"{root}/aside")
 
 
+def partition_dirs(spark: SparkSession, base: str, below: str = "") -> list[str]:
+    """Innermost ``key=value`` directories of a partitioned directory."""
+    here = [n for n in files.children(spark, f"{base}/{below}".rstrip("/")) if "=" in n]
+    if not here:
+        return [below] if below else []
+    return [
+        leaf
+        for name in here
+        for leaf in partition_dirs(spark, base, f"{below}/{name}".lstrip("/"))
+    ]
+
+
 def append(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> None:
     """Add rows to the current version; columns they bring along are added to the table."""
     spark = df.sparkSession

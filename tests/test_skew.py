@@ -54,6 +54,16 @@ def test_keyed_join_split(spark, no_broadcast, how):
     assert rows_of(split) == rows_of(left.join(right, ["k"], how))
 
 
+@pytest.mark.parametrize("how", ["inner", "left_anti"])
+def test_keyed_join_null_safe(spark, no_broadcast, how):
+    left = skewed(spark)
+    right = left.groupBy("k").agg(F.max("id").alias("m")).where("m > 5990")
+    split = keyed_join(left, right, ["k"], how, share=0.01, min_rows=1, null_safe=True)
+    renamed = right.withColumnRenamed("k", "rk")
+    plain = left.join(renamed, left.k.eqNullSafe(renamed.rk), how).drop("rk")
+    assert rows_of(split) == rows_of(plain)
+
+
 def test_keyed_join_float_zero_and_two_keys(spark, no_broadcast):
     left = spark.createDataFrame(
         [(0.0, 1, i) for i in range(50)] + [(-0.0, 1, i) for i in range(50)] + [(2.5, 2, 0)],

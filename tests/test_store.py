@@ -54,6 +54,15 @@ def test_replace_drops_emptied_partitions(spark, root):
     assert rows_of(store.read_table(spark, root)) == [(3, "b")]
 
 
+def test_odd_partition_values(spark, root):
+    df = spark.createDataFrame(
+        [(1, "a b/c", "x:1"), (2, "+%", "é"), (3, None, "y")], "id int, p string, q string")
+    store.publish(df, root, ["p", "q"])
+    cleared = df.where("id <> 2").select("p", "q")
+    store.replace_partitions(df.where("id = 2").withColumn("id", F.lit(5)), root, ["p", "q"], cleared)
+    assert rows_of(store.read_table(spark, root)) == [(5, "+%", "é")]
+
+
 def test_cut_short_swap_is_finished_later(spark, root, monkeypatch):
     schema = monthly(spark, root)
     new = spark.createDataFrame([(9, "b")], schema)
@@ -126,7 +135,7 @@ def test_bundle_is_ready_only_at_the_end(spark, tmp_path):
     with pytest.raises(ValueError):
         exchange.read_manifest(spark, path)
     rows = spark.createDataFrame([("t", "all", "replace", None, spark.range(1).schema.json(), 2)], exchange.MANIFEST_SCHEMA)
-    exchange.write_bundle(spark.range(2), rows, path)
+    exchange.write_bundle(spark.range(2), lambda written: rows, path)
     assert rows_of(exchange.read_bundle(spark, path)) == [(0,), (1,)]
     assert rows_of(exchange.import_create(spark, path, str(tmp_path / "new"))) == [(0,), (1,)]
     with pytest.raises(ValueError):
