@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import DEFAULT_TYPE_NAMES
-from granary.operators import layout, loads, schema
+from granary.operators import layout, ledger, loads, schema
 from granary.sources import files, landing, store
 
 
@@ -94,6 +96,9 @@ def run_load(
     rows = landing.read_landing(spark, paths["txt"], text_schema)
     typed = schema.cast_to_target(rows, columns, job.type_names)
     day = F.expr(job.day).cast("string") if job.day else etl_date
+    for row in declared:
+        if row.comment:
+            typed = typed.withMetadata(row.column_name, {"comment": row.comment})
     src = loads.with_audit(typed, job.system_id, day)
 
     if job.load_type in ("merge", "update"):
@@ -199,3 +204,53 @@ def _append_days(
     state = loads.load_add(new, held.select(*new.columns), loads.ETL_DATE, etl_date, job.def_etl_date)
     cleared = spark.createDataFrame([(name,) for name in touched], f"{PARTITION} string")
     store.replace_partitions(state, root, [PARTITION], cleared=cleared)
+
+
+LOG_SCHEMA = (
+    "id string, batch_id string, job_id string, task_status string, table_name string, "
+    "etl_date string, src_count long, tar_count long, event_time timestamp_ntz, job_info string"
+)
+
+
+def open_runs(log: DataFrame, table: str, etl_date: str) -> DataFrame:
+    """Runs of a table and day that have started and not ended."""
+    day = log.where((F.col("table_name") == table) & (F.col("etl_date") == etl_date))
+    return ledger.runs_by_id(day, "id", "event_time", "task_status").where("end_time is null")
+
+
+def run_logged(
+    spark: SparkSession,
+    job: LoadJob,
+    history: str,
+    etl_date: str,
+    root: str,
+    log_root: str,
+    batch_id: str,
+    registry: DataFrame | None = None,
+    second_try: bool = False,
+) -> LoadResult | None:
+    """``run_load`` with its start and end appended to a job log.
+
+    Does nothing while another run of the table and day is open. A failure is logged, as
+    ``error1`` in the retry pass, and raised again.
+    """
+    exists = store.table_exists(spark, log_root)
+    if exists and not open_runs(store.read_table(spark, log_root), job.table, etl_date).isEmpty():
+        return None
+    run_id = uuid.uuid4().hex
+
+    def log(status: str, expected: int = -1, loaded: int = 0, info: str = "") -> None:
+        row = (run_id, batch_id, job.name, status, job.table, etl_date, expected, loaded,
+               datetime.now(timezone.utc).replace(tzinfo=None), info[: ledger.INFO_LIMIT])
+        store.append(spark.createDataFrame([row], LOG_SCHEMA), log_root)
+
+    failed = ledger.ERROR_AGAIN if second_try else ledger.ERROR
+    log(ledger.RUNNING)
+    try:
+        result = run_load(spark, job, history, etl_date, root, registry)
+    except Exception as error:
+        log(failed, info=str(error))
+        raise
+    status = ledger.SUCCESS if result.status == "success" else failed
+    log(status, result.expected, result.loaded, "; ".join(result.warnings))
+    return result

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -104,6 +105,19 @@ def list_files(spark: SparkSession, root: str, pattern: str | None = None) -> Da
     return listing.unionByName(spark.createDataFrame(empty, listing.schema))
 
 
+def list_entries(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
+    """Entries directly below each root as ``root, path, length, modified``.
+
+    One file-system call per root; the entries are day directories and the like.
+    """
+    rows = []
+    for root in roots:
+        for s in _fs(spark, root).listStatus(_path(spark, root)):
+            at = datetime.fromtimestamp(s.getModificationTime() / 1000)
+            rows.append((root, s.getPath().toString(), s.getLen(), at))
+    return spark.createDataFrame(rows, "root string, path string, length long, modified timestamp")
+
+
 def shared_dir(spark: SparkSession, name: str = "work") -> str:
     """A fresh directory every executor can reach, below ``spark.checkpoint.dir``.
 

@@ -163,6 +163,19 @@ def partition_dirs(spark: SparkSession, base: str, below: str = "") -> list[str]
     ]
 
 
+def retain_partitions(spark: SparkSession, root: str, key: str, keep_n: int) -> list[str]:
+    """Drop all but the ``keep_n`` greatest partitions of a day-partitioned table.
+
+    Directories are dropped whole; no row is read or rewritten.
+    """
+    target = current_path(spark, root)
+    names = sorted(n for n in files.children(spark, target) if n.startswith(f"{key}="))
+    dropped = names[: max(0, len(names) - keep_n)]
+    for name in dropped:
+        files.delete(spark, f"{target}/{name}")
+    return dropped
+
+
 def append(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> None:
     """Add rows to the current version; columns they bring along are added to the table."""
     spark = df.sparkSession

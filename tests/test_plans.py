@@ -115,6 +115,32 @@ def test_add_by_day_late(zone):
     assert zone.rows("k", "day") == [(1, "20240101"), (3, "20240103"), (9, "20240102")]
 
 
+def test_logged_runs(zone, spark, tmp_path):
+    log = str(tmp_path / "log")
+    job = daily.LoadJob("sales.t", "S", "t", "full")
+    hist = str(tmp_path / "hist")
+    deliver(tmp_path / "hist", "20240101", "S/t", "t", SQL=DDL, END="1")
+    (tmp_path / "hist/20240101/S/t/data").mkdir()
+    (tmp_path / "hist/20240101/S/t/data/t.txt").write_text("1#&d#&a\n")
+    assert daily.run_logged(spark, job, hist, "20240101", zone.root, log, "b1").status == "success"
+    with pytest.raises(Exception):
+        daily.run_logged(spark, job, hist, "20240102", zone.root, log, "b1", second_try=True)
+    rows = store.read_table(spark, log)
+    assert rows_of(rows.select("etl_date", "task_status", "tar_count")) == [
+        ("20240101", "running", 0), ("20240101", "success", 1),
+        ("20240102", "error1", 0), ("20240102", "running", 0)]
+    assert daily.open_runs(rows, "sales.t", "20240101").isEmpty()
+    open_run = rows.where("etl_date = '20240101' and task_status = 'running'").withColumn("id", F.lit("other"))
+    store.append(open_run, log)
+    assert daily.run_logged(spark, job, hist, "20240101", zone.root, log, "b2") is None
+
+
+def test_comments_become_metadata(zone, spark):
+    ddl = DDL + "comment on column sales.t.v is 'the value';\n"
+    zone.load("20240101", ["1#&d#&a"], load_type="full", ddl=ddl)
+    assert store.read_table(spark, zone.root).schema["v"].metadata == {"comment": "the value"}
+
+
 @pytest.fixture
 def sales(spark, tmp_path):
     root = str(tmp_path / "src")

@@ -140,3 +140,25 @@ def test_bundle_is_ready_only_at_the_end(spark, tmp_path):
     assert rows_of(exchange.import_create(spark, path, str(tmp_path / "new"))) == [(0,), (1,)]
     with pytest.raises(ValueError):
         exchange.import_create(spark, path, str(tmp_path / "new"))
+
+
+def test_retain_partitions(spark, root):
+    df = spark.createDataFrame([(i, f"2024010{i}") for i in range(1, 6)], "id int, day string")
+    store.publish(df, root, ["day"])
+    assert store.retain_partitions(spark, root, "day", 2) == [f"day=2024010{i}" for i in (1, 2, 3)]
+    assert rows_of(store.read_table(spark, root)) == [(4, "20240104"), (5, "20240105")]
+    assert store.retain_partitions(spark, root, "day", 2) == []
+
+
+def test_drop_expired_directories(spark, tmp_path):
+    import os
+
+    from granary.plans.retain import drop_expired
+
+    for zone in ("cur", "hist"):
+        for i in range(1, 5):
+            (tmp_path / zone / f"2024010{i}" / "S").mkdir(parents=True)
+            os.utime(tmp_path / zone / f"2024010{i}", (1_700_000_000 + i * 86400,) * 2)
+    dropped = drop_expired(spark, [str(tmp_path / "cur"), str(tmp_path / "hist")], 3)
+    assert len(dropped) == 2
+    assert sorted(p.name for p in (tmp_path / "cur").iterdir()) == ["20240102", "20240103", "20240104"]
