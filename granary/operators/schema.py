@@ -56,12 +56,14 @@ def extract_schema(ddl: DataFrame, text: str = "value") -> DataFrame:
     body = (
         ddl.select(*kept, lines.alias("_lines"))
         .withColumn("_open", first_where(F.col("_lines"), lambda line: line.contains("(")))
-        .where(F.col("_open") > 0)
-        .withColumn("_rest", F.slice("_lines", F.col("_open") + 1, F.size("_lines")))
+        .withColumn(
+            "_rest",
+            F.when(F.col("_open") > 0, F.slice("_lines", F.col("_open") + 1, F.size("_lines"))),
+        )
         .withColumn("_stop", first_where(F.col("_rest"), lambda line: line.rlike(BODY_END)))
         .select(
             *kept,
-            F.regexp_extract(F.element_at("_lines", 1), TABLE_NAME, 1).alias("table_name"),
+            F.regexp_extract(F.try_element_at("_lines", F.lit(1)), TABLE_NAME, 1).alias("table_name"),
             F.when(F.col("_stop") == 0, F.col("_rest"))
             .otherwise(F.slice("_rest", 1, F.greatest(F.col("_stop") - 1, F.lit(0))))
             .alias("_columns"),
@@ -88,8 +90,11 @@ def extract_schema(ddl: DataFrame, text: str = "value") -> DataFrame:
     )
     line = F.col("_line")
     name = F.regexp_extract(line, COLUMN_NAME, 1)
+    # The outer form keeps the planner from testing the array for emptiness below, which
+    # would take every script apart twice.
     return (
-        body.select("*", F.posexplode("_columns").alias("pos", "_line"))
+        body.select("*", F.posexplode_outer("_columns").alias("pos", "_line"))
+        .where("pos is not null")
         .withColumn("column_name", name)
         .select(
             *kept,
