@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import is_true, parse_day, shift_day
 from granary.functions.columns import as_column
+from granary.operators.skew import listed_join
 
 MINVALUE, MAXVALUE = "MINVALUE", "MAXVALUE"
 
@@ -133,7 +134,7 @@ def filter_list_partitions(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     names = [part.split("=", 1)[0] for part in labels[0].split("/")]
     wanted = df.sparkSession.createDataFrame(rows, names)
     wanted = wanted.select(*[F.col(n).cast(df.schema[n].dataType).alias(n) for n in names])
-    return df.join(F.broadcast(wanted.distinct()), names, "left_semi")
+    return listed_join(df, wanted, names, "left_semi")
 
 
 def partition_summary(tables: DataFrame, partitions: DataFrame, buckets: DataFrame) -> DataFrame:
@@ -186,8 +187,8 @@ def pack_day_partitions(
     reaches the limit closes the partition and is its exclusive upper bound, so its own
     rows open the next one. The last upper bound lies after the last day.
 
-    The fold runs over the histogram, one entry per calendar day and table,
-    never over rows.
+    The fold runs over the histogram, one entry per calendar day and table, never over
+    rows. Text that is no calendar day fails the query, so the list cannot outgrow the calendar.
     """
     last = F.try_element_at("days", F.lit(-1))["day"]
     first = F.try_element_at("days", F.lit(1))["day"]
@@ -229,7 +230,9 @@ def pack_day_partitions(
         shift_day(first, -1).alias("lower"),
         F.array().cast(f"array<{part}>").alias("parts"),
     )
-    days = histogram.groupBy(*by).agg(
+    no_day = F.raise_error(F.concat(F.lit("not a calendar day: "), F.col("day"))).cast("string")
+    checked = F.when(parse_day("day").isNotNull(), F.col("day")).otherwise(no_day)
+    days = histogram.withColumn("day", checked).groupBy(*by).agg(
         F.array_sort(F.collect_list(F.struct("day", "n"))).alias("days"),
         F.sum("n").alias("all_rows"),
     )

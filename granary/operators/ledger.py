@@ -168,14 +168,14 @@ def run_durations(
     ``started`` selects start events after the pairing; ``carry`` names columns taken from
     the following event, such as its status. ``info`` is cut to its stored length.
     """
+    if info:
+        events = events.withColumn(info, F.substring(info, 1, INFO_LIMIT))
     paired = next_in_order(events, keys, [at, tie], [at, *carry], share, min_rows)
     ended = F.unix_micros(F.col(f"next_{at}").cast("timestamp"))
     began = F.unix_micros(F.col(at).cast("timestamp"))
     out = paired.withColumn(
         "used_seconds", F.floor((ended - began) / 1_000_000).cast("long")
     )
-    if info:
-        out = out.withColumn(info, F.substring(info, 1, INFO_LIMIT))
     return out if started is None else out.where(as_column(started))
 
 

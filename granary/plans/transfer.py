@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from granary.operators import exchange as ops
 from granary.operators import layout, schema
+from granary.operators.skew import listed_join
 from granary.sources import exchange as bundles
 from granary.sources import files, store
 
@@ -118,7 +119,7 @@ def import_table(
         touched = reduce(
             DataFrame.union, [tgt.where(p).select(*keys) for p in predicates], staged.select(*keys)
         ).distinct()
-        held = tgt.join(F.broadcast(touched), keys, "left_semi").select(*agreed.names)
+        held = listed_join(tgt, touched, keys, "left_semi").select(*agreed.names)
         store.replace_partitions(ops.import_sql(staged, held, predicates), root, keys, touched)
     elif keys:
         label = partition_label(keys)
@@ -131,9 +132,8 @@ def import_table(
             *[F.col(key).cast(tgt.schema[key].dataType).alias(key) for key in keys]
         )
         replaced = plan.where("action = 'replace'").select("partition_name")
-        chosen = staged.withColumn("partition_name", label).join(
-            F.broadcast(replaced), "partition_name", "left_semi"
-        )
+        labelled = staged.withColumn("partition_name", label)
+        chosen = listed_join(labelled, replaced, ["partition_name"], "left_semi")
         store.replace_partitions(chosen.select(*agreed.names), root, keys, cleared)
     elif not plan.where(F.col("action").isin("replace", "truncate")).isEmpty():
         store.publish(staged, root)

@@ -91,6 +91,8 @@ def list_files(spark: SparkSession, root: str, pattern: str | None = None) -> Da
     found = reader.load(root)
     listing = found.select("path", "length", F.col("modificationTime").alias("modified"))
     names = found.inputFiles()
+    if len(names) == listing.count():
+        return listing
     indexed = spark.createDataFrame([(name,) for name in names], "value string")
     decoded = F.url_decode(F.replace("value", F.lit("+"), F.lit("%2B")))
     plain = F.regexp_replace(decoded, "^file:/+", "file:/")

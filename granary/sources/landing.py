@@ -134,7 +134,7 @@ def archive_landing(spark: SparkSession, ready: DataFrame, current: str, history
     """
     moved = 0
     rows = ready.where("status = 'ready'").select("etl_date", "system_id", "name")
-    for row in rows.toLocalIterator():
+    for row in rows.collect():  # one row per delivery, fetched before anything moves
         source = f"{current}/{row.etl_date}/{row.system_id}/{row.name}"
         target = f"{history}/{row.etl_date}/{row.system_id}/{row.name}"
         files.move(spark, f"{source}.txt", f"{target}/data/{row.name}.txt")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.operators.skew import join_on
+from granary.operators.skew import join_on, listed_join
 from granary.sources import files
 
 POINTER, PENDING = "CURRENT", "PENDING"
@@ -122,7 +122,7 @@ def replace_partitions(
     if cleared is not None:
         filled = spark.read.schema(df.schema).orc(aside).select(*keys).distinct()
         emptied = join_on(cleared.select(*keys).distinct(), filled, keys, "left_anti", True)
-        held = join_on(read_table(spark, root), F.broadcast(emptied), keys, "left_semi", True)
+        held = listed_join(read_table(spark, root), emptied, keys, "left_semi")
         where = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
         names = [F.element_at(F.split(where, "/"), i - 1 - len(keys)) for i in range(len(keys))]
         gone = [row.dir for row in held.select(F.concat_ws("/", *names).alias("dir")).distinct().collect()]

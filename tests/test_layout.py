@@ -62,6 +62,12 @@ def test_pack_of_an_empty_delivery(spark):
     assert layout.pack_day_partitions(empty, 10.0, 1.0).count() == 0
 
 
+def test_text_that_is_no_day_fails(spark):
+    df = spark.createDataFrame([("20240101", 5), ("20240231", 1)], "day string, n long")
+    with pytest.raises(Exception, match="not a calendar day"):
+        layout.pack_day_partitions(df, 10.0, 1.0).collect()
+
+
 def test_null_day_fails(spark):
     df = spark.createDataFrame([("20240101",), (None,)], "day string")
     with pytest.raises(Exception, match="holds NULL"):
