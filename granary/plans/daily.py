@@ -11,8 +11,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from granary.functions import DEFAULT_TYPE_NAMES
+from granary.functions import DEFAULT_TYPE_NAMES, replaced_day
 from granary.operators import layout, ledger, loads, schema
+from granary.operators.skew import keyed_join, listed_join
 from granary.sources import files, landing, store
 
 
@@ -25,7 +26,7 @@ class LoadJob:
     name: str
     load_type: str
     keys: Sequence[str] = ()
-    day: str | None = None  # user's day expression: the target is day-partitioned
+    day: str | None = None  # day of a row in an add load; the load day without one
     def_etl_date: str | None = None
     bucket_mb: int = layout.BUCKET_MB
     type_names: Mapping[str, str] = field(default_factory=lambda: DEFAULT_TYPE_NAMES)
@@ -90,7 +91,7 @@ def run_load(
         warnings.append("columns added: " + ", ".join(added))
     exists = store.table_exists(spark, root)
     if registry is not None and not registered_columns(registry, job.table) and exists:
-        loads.load_initial(ddl, registered=False, exists=True)
+        raise ValueError(f"{job.table} is not registered but its target exists")
 
     text_schema = schema.spark_schema([(n, "varchar2", None) for n, _ in columns])
     rows = landing.read_landing(spark, paths["txt"], text_schema)
@@ -114,30 +115,30 @@ def run_load(
     size_mb = files.total_bytes(spark, paths["txt"]) / 1024 / 1024 / layout.COMPRESSION_RATIO
     seen = Observation()
     counted = src.observe(seen, F.count(F.lit(1)).alias("n"))
-    if job.day and job.load_type == "add":
-        if exists:
-            _append_days(job, src, counted, etl_date, root, size_mb)
-        else:
-            _first_days(job, src, counted, root, size_mb)
-        loaded = seen.get["n"] if size_mb else 0
+    by_day = files.exists(spark, f"{root}/{BOUNDS}")
+    if job.load_type == "add" and not exists:
+        _first_days(job, src, counted, etl_date, root, size_mb)
+    elif job.load_type == "add":
+        _append_days(job, src, counted, etl_date, root, size_mb)
     elif not exists:
-        files.delete(spark, f"{root}/{BOUNDS}")
         store.publish(counted, root, n_files=int(size_mb // job.bucket_mb) + 1)
-        loaded = seen.get["n"] if size_mb else 0
+    elif job.load_type == "update" and by_day:
+        _update_days(job, src, etl_date, root, size_mb)
     else:
-        tgt = store.read_table(spark, root)
-        tgt = schema.evolve_add_columns(tgt, [f for f in src.schema if f.name in added])
-        tgt = tgt.select(*src.columns)
-        if job.load_type in ("merge", "update"):
-            state = loads.apply_load(src, tgt, job.load_type, etl_date, job.keys)
-            store.publish(state, root)
-            loaded = src.count()
+        tgt = _wide_enough(store.read_table(spark, root), src).select(*src.columns)
+        rows_in = counted if job.load_type == "full" else src
+        state = loads.apply_load(
+            rows_in, tgt, job.load_type, etl_date, job.keys, partitioned=by_day
+        )
+        if by_day:
+            bounds = _bounds_for(job, etl_date, root, size_mb, spark)
+            store.publish(_labelled(state, bounds), root, [PARTITION])
         else:
-            state = loads.apply_load(
-                counted, tgt, job.load_type, etl_date, (), job.day, job.def_etl_date
-            )
             store.publish(state, root)
-            loaded = seen.get["n"] if size_mb else 0
+    if job.load_type in ("merge", "update"):
+        loaded = src.count()
+    else:
+        loaded = seen.get["n"] if size_mb else 0
 
     if job.load_type in ("merge", "update"):
         files.delete(spark, delivery)
@@ -152,8 +153,13 @@ def run_load(
     return LoadResult(expected_rows, loaded, status, tuple(warnings))
 
 
+def _wide_enough(tgt: DataFrame, src: DataFrame) -> DataFrame:
+    """The target with the columns the delivery has appended."""
+    return schema.evolve_add_columns(tgt, src.schema.fields)
+
+
 def _first_days(
-    job: LoadJob, src: DataFrame, counted: DataFrame, root: str, size_mb: float
+    job: LoadJob, src: DataFrame, counted: DataFrame, etl_date: str, root: str, size_mb: float
 ) -> None:
     """Create the day-partitioned target: pack its days, keep the bounds, write once."""
     spark = src.sparkSession
@@ -162,12 +168,39 @@ def _first_days(
     span_mb = min(
         size_mb / max(days, 1) * layout.PARTITION_DAYS, float(layout.MAX_BUCKETS * job.bucket_mb)
     )
-    parts = layout.pack_day_partitions(histogram, size_mb, span_mb)
-    bounds = layout.packed_bounds(parts)
+    bounds = layout.packed_bounds(layout.pack_day_partitions(histogram, size_mb, span_mb))
+    if not bounds:  # an empty first delivery
+        day = replaced_day(etl_date, "T-2")
+        bounds = [(f"partition_{day}", (day,))]
     files.write_small(spark, f"{root}/{BOUNDS}", json.dumps(bounds))
     store.publish(_labelled(counted, bounds), root, [PARTITION])
 
 
+def _bounds_for(
+    job: LoadJob, etl_date: str, root: str, size_mb: float, spark: SparkSession
+) -> list[tuple]:
+    """Bounds of a day-partitioned target; a day past the newest opens a partition."""
+    if not files.exists(spark, f"{root}/{BOUNDS}"):
+        raise ValueError(f"{job.table} is not partitioned by day")
+    text = files.read_small(spark, f"{root}/{BOUNDS}")
+    bounds = [(name, tuple(upper)) for name, upper in json.loads(text)]
+    name, (end,) = bounds[-1]
+    if etl_date < end:
+        return bounds
+    start = bounds[-2][1][0] if len(bounds) > 1 else layout.MINVALUE
+    newest = f"{store.current_path(spark, root)}/{PARTITION}={name}"
+    stats = spark.range(1).select(
+        F.lit(start).alias("newest_start"),
+        F.lit(end).alias("newest_end"),
+        F.lit(files.total_bytes(spark, newest) / 1024 / 1024).alias("newest_mb"),
+        F.lit(layout.MAX_BUCKETS).alias("bucket_number"),
+    )
+    bound = layout.next_partition_bound(stats, etl_date, size_mb, job.bucket_mb).first()
+    bounds.append((f"partition_{etl_date}", (bound.next_bound,)))
+    files.write_small(spark, f"{root}/{BOUNDS}", json.dumps(bounds))
+    return bounds
+
+
 def _labelled(df: DataFrame, bounds: Sequence[tuple]) -> DataFrame:
     inside = layout.assign_range_partition(df, [loads.ETL_DATE], bounds, PARTITION)
     outside = F.raise_error(F.concat(F.lit("no partition for day "), F.col(loads.ETL_DATE)))
@@ -180,32 +213,36 @@ def _append_days(
     """Append to a day-partitioned target, rewriting only partitions that lose or gain rows."""
     spark = src.sparkSession
     store.finish_swap(spark, root)
-    bounds = [(name, tuple(u)) for name, u in json.loads(files.read_small(spark, f"{root}/{BOUNDS}"))]
-    name, (end,) = bounds[-1]
-    if etl_date >= end:
-        start = bounds[-2][1][0] if len(bounds) > 1 else layout.MINVALUE
-        newest = f"{store.current_path(spark, root)}/{PARTITION}={name}"
-        last_mb = files.total_bytes(spark, newest) / 1024 / 1024
-        stats = spark.range(1).select(
-            F.lit(start).alias("newest_start"),
-            F.lit(end).alias("newest_end"),
-            F.lit(last_mb).alias("newest_mb"),
-            F.lit(layout.MAX_BUCKETS).alias("bucket_number"),
-        )
-        bound = layout.next_partition_bound(stats, etl_date, size_mb, job.bucket_mb).first()
-        bounds.append((f"partition_{etl_date}", (bound.next_bound,)))
-        files.write_small(spark, f"{root}/{BOUNDS}", json.dumps(bounds))
-    gone = loads.replaced_day(etl_date, job.def_etl_date)
+    bounds = _bounds_for(job, etl_date, root, size_mb, spark)
+    gone = replaced_day(etl_date, job.def_etl_date)
     home = next((name for name, (upper,) in bounds if gone < upper), None)
     new = _labelled(counted, bounds)
     gaining = _labelled(src, bounds).select(PARTITION).distinct().collect()
     touched = sorted({row[PARTITION] for row in gaining} | ({home} if home else set()))
     held = store.read_table(spark, root).where(F.col(PARTITION).isin(touched))
-    state = loads.load_add(new, held.select(*new.columns), loads.ETL_DATE, etl_date, job.def_etl_date)
+    held = _wide_enough(held, new).select(*new.columns)
+    state = loads.load_add(new, held, loads.ETL_DATE, etl_date, job.def_etl_date)
     cleared = spark.createDataFrame([(name,) for name in touched], f"{PARTITION} string")
     store.replace_partitions(state, root, [PARTITION], cleared=cleared)
 
 
+def _update_days(
+    job: LoadJob, src: DataFrame, etl_date: str, root: str, size_mb: float
+) -> None:
+    """Keyed update of a day-partitioned target: only partitions that hold a delivered key or
+    gain rows are rewritten."""
+    spark = src.sparkSession
+    store.finish_swap(spark, root)
+    new = _labelled(src, _bounds_for(job, etl_date, root, size_mb, spark))
+    tgt = _wide_enough(store.read_table(spark, root), new).select(*new.columns)
+    keys = list(job.keys)
+    losing = keyed_join(tgt, new.select(*keys).distinct(), keys, "left_semi")
+    touched = losing.select(PARTITION).unionByName(new.select(PARTITION)).distinct()
+    held = listed_join(tgt, touched, [PARTITION], "left_semi")
+    state = loads.load_update(new, held, keys)
+    store.replace_partitions(state, root, [PARTITION], cleared=touched)
+
+
 LOG_SCHEMA = (
     "id string, batch_id string, job_id string, task_status string, table_name string, "
     "etl_date string, src_count long, tar_count long, event_time timestamp_ntz, job_info string"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.functions import day_of, join_fields
+from granary.functions import day_of
 from granary.operators import exchange, layout, ledger, loads, retention, schema
 from granary.plans import transfer
 from granary.sources import exchange as bundles

@@ -141,6 +141,27 @@ def test_comments_become_metadata(zone, spark):
     assert store.read_table(spark, zone.root).schema["v"].metadata == {"comment": "the value"}
 
 
+def test_day_partitioned_target_in_other_modes(zone, spark):
+    zone.load("20240102", [], load_type="add", day="day")  # empty first delivery
+    zone.load("20240103", ["1#&20240102#&a", "2#&20240103#&b"], load_type="add", day="day")
+    with pytest.raises(ValueError, match="partitioned"):
+        zone.load("20240104", ["1#&20240102#&c"], load_type="merge", keys=["k"])
+    zone.load("20240104", ["1#&20240104#&moved", "3#&20240104#&new"], load_type="update", keys=["k"], day="day")
+    assert zone.rows() == [(1, "moved", "20240104"), (2, "b", "20240103"), (3, "new", "20240104")]
+    wider = DDL.replace("  primary", "  extra number(5,1),\n  primary")
+    zone.load("20240105", ["5#&20240105#&w#&1.5"], ddl=wider, load_type="add", day="day")
+    assert [(k, x is None) for k, x in zone.rows("k", "extra")] == [(1, True), (2, True), (3, True), (5, False)]
+    zone.load("20240106", ["9#&20240106#&all#&1"], ddl=wider, load_type="full", day="day")
+    assert zone.rows() == [(9, "all", "20240106")]
+    assert daily.PARTITION in store.read_table(spark, zone.root).columns
+
+
+def test_add_to_a_target_without_days_is_refused(zone):
+    zone.load("20240101", ["1#&d#&a"], load_type="full")
+    with pytest.raises(ValueError, match="not partitioned by day"):
+        zone.load("20240102", ["1#&d#&a"], load_type="add")
+
+
 @pytest.fixture
 def sales(spark, tmp_path):
     root = str(tmp_path / "src")
