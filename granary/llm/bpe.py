@@ -32,7 +32,9 @@ PATTERN = (
 )
 NEVER = np.int64(1) << 40
 #: Words that a Python worker remembers; longer words than this many bytes are worked out each time.
-REMEMBERED, SHORT = 600_000, 48
+REMEMBERED, SHORT = 200_000, 48
+#: Bytes of text that are cut into words at a time.
+SLICE = 1 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -75,9 +77,6 @@ class Vocabulary:
         self.pair_ranks = np.array([rank for rank, _ in self.merges.values()], np.int64)[order]
         self.byte_id = [self.ids[bytes([b])] for b in range(256)]
         self.stable = np.array([bool(t) and self.merge(t) == [i] for i, t in enumerate(self.text)])
-        lengths = np.array([len(t) for t in self.text], np.int64)
-        self.lengths, self.starts = lengths, np.cumsum(lengths) - lengths
-        self.flat = np.frombuffer(b"".join(self.text), np.uint8)
 
     def merge(self, word: bytes) -> list[int]:
         """Exact merging: the earliest merge first, from the left."""
@@ -155,11 +154,22 @@ class Vocabulary:
             proposed[i] = self.merge(words[i])
         return proposed, int(failing.sum())
 
-    def decode(self, numbers: np.ndarray) -> bytes:
+
+class Decoder:
+    """The tokens' bytes in one array."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.lengths = np.array([len(t) for t in tokens], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def __call__(self, numbers: np.ndarray) -> bytes:
+        return b"".join(self._block(numbers[i : i + SLICE // 4]) for i in range(0, len(numbers), SLICE // 4))
+
+    def _block(self, numbers: np.ndarray) -> bytes:
         lengths = self.lengths[numbers]
-        total = int(lengths.sum())
         starts = np.cumsum(lengths) - lengths
-        return self.flat[np.repeat(self.starts[numbers] - starts, lengths) + np.arange(total)].tobytes()
+        return self.flat[np.repeat(self.starts[numbers] - starts, lengths) + np.arange(int(lengths.sum()))].tobytes()
 
 
 class Encoder:
@@ -220,7 +230,7 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(name, shared)
-        for batch in rounds(batches, "text"):
+        for batch in rounds(batches, "text", SLICE):
             packed = encoder.texts([t or "" for t in batch.column("text").to_pylist()])
             counts = pa.array([len(p) // 4 for p in packed], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("id"), counts, pa.array(packed, pa.binary())], ["id", "n_tokens", "ids"])
@@ -235,18 +245,20 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     Bytes that are no UTF-8 become U+FFFD, as whole texts never hold any but cut ids may.
     """
-    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    shared = encoded.sparkSession.sparkContext.broadcast(Decoder(Vocabulary(path).text))
     where = encoded.columns.index("ids")
     names = [*encoded.columns, "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
-        for batch in batches:
-            texts = [
-                None if x is None else vocabulary.decode(np.frombuffer(x, "<u4")).decode("utf-8", "replace")
-                for x in batch.column(where).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
+        decoder = shared.value
+        for whole in batches:
+            named = pa.RecordBatch.from_arrays(whole.columns, [str(i) for i in range(whole.num_columns)])
+            for batch in rounds([named], str(where)):
+                texts = [
+                    None if x is None else decoder(np.frombuffer(x, "<u4")).decode("utf-8", "replace")
+                    for x in batch.column(where).to_pylist()
+                ]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(run, f"{fields}, decoded string")
