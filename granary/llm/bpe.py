@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from granary.llm.common import rounds
+from granary.llm.common import extended, numbered, rounds
 
 #: The published pre-tokenizer pattern of this vocabulary family, with its white space spelled out.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -246,19 +246,17 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     Bytes that are no UTF-8 become U+FFFD, as whole texts never hold any but cut ids may.
     """
     shared = encoded.sparkSession.sparkContext.broadcast(Decoder(Vocabulary(path).text))
-    where = encoded.columns.index("ids")
-    names = [*encoded.columns, "decoded"]
+    kept, schema = extended(encoded, "decoded string")
+    where, names = kept.columns.index("ids"), schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = shared.value
         for whole in batches:
-            named = pa.RecordBatch.from_arrays(whole.columns, [str(i) for i in range(whole.num_columns)])
-            for batch in rounds([named], str(where)):
+            for batch in rounds([numbered(whole)], str(where)):
                 texts = [
                     None if x is None else decoder(np.frombuffer(x, "<u4")).decode("utf-8", "replace")
                     for x in batch.column(where).to_pylist()
                 ]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(run, f"{fields}, decoded string")
+    return kept.mapInArrow(run, schema)

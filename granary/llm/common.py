@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from granary.sources.files import shared_dir
 
@@ -44,6 +45,18 @@ def rounds(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
             yield batch.slice(start)
 
 
+def extended(docs: DataFrame, ddl: str) -> tuple[DataFrame, StructType]:
+    """The rows without columns that clash with the new ones of ``ddl``, and the schema with both."""
+    new = StructType.fromDDL(ddl)
+    kept = docs.drop(*new.fieldNames())
+    return kept, StructType([*kept.schema.fields, *new.fields])
+
+
+def numbered(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The batch with its columns named by position, so that no name matters."""
+    return pa.RecordBatch.from_arrays(batch.columns, [str(i) for i in range(batch.num_columns)])
+
+
 def encoded(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8; a null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
@@ -55,6 +68,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(spark, f"{name}-{uuid.uuid4().hex[:8]}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-__all__ = ["LOWER_TABLE", "SPACE_TABLE", "WORD_TABLE", "encoded", "fold", "rounds", "table", "written"]

@@ -25,7 +25,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from granary.llm.common import rounds
+from granary.llm.common import extended, numbered, rounds
 
 UNKNOWN = "und"
 #: The bound of the labelled sample: texts for each language, and bytes of each.
@@ -106,22 +106,19 @@ def verdict(languages: list[str], sizes: list[int], length: int, margin: float)
     return languages[order[0]], score, bool(narrow)
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_column: str = "text", margin: float = MARGIN,
-             prefix: str = "") -> DataFrame:
-    """The rows with ``lang_pred``, ``lang_score`` and ``lang_rejected`` (names begin with ``prefix``).
+def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_column: str = "text", margin: float = MARGIN) -> DataFrame:
+    """The rows with ``lang_pred``, ``lang_score`` and ``lang_rejected``, which replace columns of these names.
 
     The other columns pass through; the dictionaries, of bounded size, go with the tasks.
     """
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
-    where = docs.columns.index(text_column)
-    added = [f"{prefix}lang_pred", f"{prefix}lang_score", f"{prefix}lang_rejected"]
-    names = [*docs.columns, *added]
+    kept, schema = extended(docs, "lang_pred string, lang_score double, lang_rejected boolean")
+    where, names = kept.columns.index(text_column), schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(shared.value)
         for whole in batches:
-            named = pa.RecordBatch.from_arrays(whole.columns, [str(i) for i in range(whole.num_columns)])
-            for batch in rounds([named], str(where)):
+            for batch in rounds([numbered(whole)], str(where)):
                 found = []
                 for text in batch.column(where).to_pylist():
                     if text is None or not LETTER.search(text):
@@ -132,5 +129,4 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_column: str =
                 columns = [pa.array([x[i] for x in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, `{added[0]}` string, `{added[1]}` double, `{added[2]}` boolean")
+    return kept.mapInArrow(run, schema)

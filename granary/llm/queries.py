@@ -5,10 +5,64 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from granary.llm import bpe, langid, simhash
+from granary.llm import bpe, decontam, langid, simhash, toxicity
 from granary.llm.common import fold, table
 
 
+def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontam.mark(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "doc_id",
+        "n_words",
+        decontam.n_hit().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (decontam.n_hit() > 0).alias("contaminated"),
+    )
+
+
+#: Whole windows of words of every item, and the documents' words that they cover.
+OP4_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents),
+items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+windows AS (
+    SELECT DISTINCT item, n, array_to_string(w[k:k + n - 1], ' ') AS phrase
+    FROM (SELECT item, w, least(10, len(w)) AS n, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS k
+          FROM items WHERE len(w) > 0)),
+places AS (
+    SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS phrase
+    FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS k
+          FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+found AS (SELECT r, k, n, item FROM places JOIN windows USING (n, phrase)),
+words AS (SELECT r, count(DISTINCT p) AS hit FROM (SELECT r, unnest(generate_series(k, k + n - 1)) AS p FROM found) GROUP BY r),
+listed AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s
+           FROM (SELECT DISTINCT r, item FROM found WHERE item IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(hit, 0) AS n_hit, coalesce(listed.n, 0) AS n_items,
+    sha256(coalesce(s, '')) AS items_sha256, coalesce(hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN listed USING (r)
+"""
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
+    found = toxicity.score(docs.withColumn("held_out", fold("doc_id", 5) == 0), lexicon)
+    return found.select(
+        "doc_id",
+        "held_out",
+        F.col("toxicity").alias("score"),
+        F.when(F.col("toxicity") >= 0.5, 1).otherwise(0).alias("predicted"),
+        F.array_join("toxic_hits", ",").alias("hits"),
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
@@ -33,5 +87,5 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op8_bpe": op8_bpe, "op9_simhash": op9_simhash, "op10_langid": op10_langid}
-ORACLE: dict[str, str] = {}
+QUERIES = {"op4_decontam": op4_decontam, "op6_toxicity": op6_toxicity, "op8_bpe": op8_bpe, "op9_simhash": op9_simhash, "op10_langid": op10_langid}
+ORACLE: dict[str, str] = {"op4_decontam": OP4_SQL}

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from granary.llm.common import rounds
+from granary.llm.common import extended, numbered, rounds
 
 #: The bound of the labelled sample, in texts, and of the candidate entries that the driver compares.
 SAMPLE, CANDIDATES = 20_000, 10_000
@@ -333,19 +333,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     return Lexicon(kept, weights, prior)
 
 
-def score(docs: DataFrame, lexicon: Lexicon, text_column: str = "text", prefix: str = "") -> DataFrame:
-    """The rows with ``toxicity`` (0 to 1) and ``toxic_hits``, the sorted entries found (names begin with ``prefix``)."""
+def score(docs: DataFrame, lexicon: Lexicon, text_column: str = "text") -> DataFrame:
+    """The rows with ``toxicity`` (0 to 1) and ``toxic_hits``, the sorted entries found; columns of these names are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
-    where = docs.columns.index(text_column)
-    added = [f"{prefix}toxicity", f"{prefix}toxic_hits"]
-    names = [*docs.columns, *added]
+    kept, schema = extended(docs, "toxicity double, toxic_hits array<string>")
+    where, names = kept.columns.index(text_column), schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         matcher = Matcher(model.entries)
         for whole in batches:
-            named = pa.RecordBatch.from_arrays(whole.columns, [str(i) for i in range(whole.num_columns)])
-            for batch in rounds([named], str(where)):
+            for batch in rounds([numbered(whole)], str(where)):
                 scores, found = [], []
                 for text in batch.column(where).to_pylist():
                     own, n = hits(text or "", matcher)
@@ -355,5 +353,4 @@ def score(docs: DataFrame, lexicon: Lexicon, text_column: str = "text", prefix:
                     [*batch.columns, pa.array(scores, pa.float64()), pa.array(found, pa.list_(pa.string()))], names
                 )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, `{added[0]}` double, `{added[1]}` array<string>")
+    return kept.mapInArrow(run, schema)
