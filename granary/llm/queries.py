@@ -5,10 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from granary.llm import bpe, decontam, langid, simhash, toxicity
+from granary.llm import bpe, decontam, langid, licenses, sharding, simhash, toxicity
 from granary.llm.common import fold, table
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = sharding.interleaved_shards(table(spark, sf_dir, "documents"), 8)
+    return shards.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = decontam.mark(docs, table(spark, sf_dir, "benchmark"))
@@ -63,6 +71,21 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.array_distinct("places.label")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.word").alias("first_word"),
+        F.array_max("places.word").alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, F.col("notices.label"))), ",").alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max("notices.score"), F.lit(0.0))).alias("score"),
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
@@ -87,5 +110,5 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_decontam": op4_decontam, "op6_toxicity": op6_toxicity, "op8_bpe": op8_bpe, "op9_simhash": op9_simhash, "op10_langid": op10_langid}
+QUERIES = {"op1_sharding": op1_sharding, "op7_licenses": op7_licenses, "op4_decontam": op4_decontam, "op6_toxicity": op6_toxicity, "op8_bpe": op8_bpe, "op9_simhash": op9_simhash, "op10_langid": op10_langid}
 ORACLE: dict[str, str] = {"op4_decontam": OP4_SQL}
