@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from granary.llm import bpe, decontam, langid, licenses, sharding, simhash, toxicity
+from granary.llm import bpe, chat, decontam, langid, licenses, sharding, simhash, toxicity
 from granary.llm.common import fold, table
 
 
@@ -58,6 +58,29 @@ FROM docs LEFT JOIN words USING (r) LEFT JOIN listed USING (r)
 """
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], said.schema)
+    return chat.read_back(chat.formatted(said.unionAll(probe)))
+
+
+#: The template's lengths: opening and closing mark, role and line end, text, and a backslash for each control string.
+OP5_SQL = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN 7 ELSE 18 END + 1
+        + length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '([<\[])(\\*)(/?(s>|INST\]))', '\1\2\\\3', 'g'))
+        + length(regexp_replace(text, '([<\[])(\\*)(/?(s>|INST\]))', '\1\2\\\3', 'g'))) AS BIGINT) AS formatted_chars
+FROM said GROUP BY conv_id
+"""
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
@@ -110,5 +133,5 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op7_licenses": op7_licenses, "op4_decontam": op4_decontam, "op6_toxicity": op6_toxicity, "op8_bpe": op8_bpe, "op9_simhash": op9_simhash, "op10_langid": op10_langid}
-ORACLE: dict[str, str] = {"op4_decontam": OP4_SQL}
+QUERIES = {"op5_chat": op5_chat, "op1_sharding": op1_sharding, "op7_licenses": op7_licenses, "op4_decontam": op4_decontam, "op6_toxicity": op6_toxicity, "op8_bpe": op8_bpe, "op9_simhash": op9_simhash, "op10_langid": op10_langid}
+ORACLE: dict[str, str] = {"op4_decontam": OP4_SQL, "op5_chat": OP5_SQL}
