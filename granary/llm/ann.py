@@ -2,8 +2,9 @@
 
 The trees are fitted on a bounded sample: a node splits its sample at the median of its projection on the
 difference of two of its members. Every vector is indexed: it goes down each tree to a leaf. A query goes
-down all trees at once, through one priority queue of the branches not taken, ordered by their
-distance from the splitting planes, until it has reached ``probes`` leaves. Within each leaf the
+down all trees at once, through one priority queue of the branches not taken, ordered by the sum of squared
+distances from the planes on their wrong side, until it has reached the share ``probed`` of all leaves,
+and ``LEAST`` of them at least. Within each leaf the
 candidates are ranked by exact cosines in double precision, in blocks, and only a query's
 best few leave it.
 
@@ -31,7 +32,7 @@ from granary.llm.common import written
 
 #: The bound of the sample that the trees are fitted on.
 SAMPLE = 16_384
-TREES, LEAF, PROBES, NEAREST = 12, 96, 160, 5
+TREES, LEAF, PROBED, LEAST, NEAREST = 12, 256, 0.06, 48, 5
 LEAF_ROWS = 4096
 SLACK = 1e-9
 
@@ -101,7 +102,7 @@ class Forest:
             while node >= 0:
                 margin = margins[tree][node]
                 near, other = children[tree][node][margin > 0], children[tree][node][margin <= 0]
-                heapq.heappush(queue, (max(far, abs(margin)), tree, other))
+                heapq.heappush(queue, (far + margin * margin, tree, other))
                 node = near
             out.append((tree, -node))
         return out
@@ -112,19 +113,20 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """``id, vec`` of the vectors that take part, as doubles."""
-    vec = F.col(vector_column).cast("array<double>")
+    """``id, vec`` of the vectors that take part; floats stay floats, which are the same numbers as doubles."""
+    single = vectors.schema[vector_column].dataType.simpleString() == "array<float>"
+    vec = F.col(vector_column) if single else F.col(vector_column).cast("array<double>")
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), vec.alias("vec"))
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == math.inf))
     return rows.where(F.col("id").isNotNull() & ~bad & F.exists("vec", lambda x: x != 0))
 
 
 def nearest(vectors: DataFrame, queries: Column, id_column: str = "vec_id", vector_column: str = "embedding",
-            k: int = NEAREST, trees: int = TREES, leaf: int = LEAF, probes: int = PROBES, sample: int = SAMPLE) -> DataFrame:
+            k: int = NEAREST, trees: int = TREES, leaf: int = LEAF, probed: float = PROBED, sample: int = SAMPLE) -> DataFrame:
     """``query_id, rank, id, score`` of each query's nearest found; ``queries`` is a condition on ``id``."""
     good = usable(vectors, id_column, vector_column)
     widths = [r.n for r in good.select(F.size("vec").alias("n")).distinct().orderBy("n").collect()]
-    found = [_of_width(written(good.where(F.size("vec") == n), "vectors"), n, queries, k, trees, leaf, probes, sample) for n in widths]
+    found = [_of_width(written(good.where(F.size("vec") == n), "vectors"), n, queries, k, trees, leaf, probed, sample) for n in widths]
     empty = vectors.sparkSession.createDataFrame([], "query_id long, rank int, id long, score double")
     out = found[0] if found else empty
     for other in found[1:]:
@@ -132,7 +134,7 @@ def nearest(vectors: DataFrame, queries: Column, id_column: str = "vec_id", vect
     return out
 
 
-def _of_width(rows: DataFrame, width: int, queries: Column, k: int, trees: int, leaf: int, probes: int, sample: int) -> DataFrame:
+def _of_width(rows: DataFrame, width: int, queries: Column, k: int, trees: int, leaf: int, probed: float, sample: int) -> DataFrame:
     spark = rows.sparkSession
     # copies of a vector beyond the k + 1 of smallest id are never among the nearest
     alike = Window.partitionBy("vec").orderBy("id")
@@ -145,7 +147,9 @@ def _of_width(rows: DataFrame, width: int, queries: Column, k: int, trees: int,
     total = indexed.count()
     # leaves of about the same number of vectors at every size, as far as the sample can tell them apart
     share = max(2, round(leaf * len(fitted) / max(1, total)))
-    forest = spark.sparkContext.broadcast(Forest(fitted, share, trees))
+    grown = Forest(fitted, share, trees)
+    probes = max(LEAST, math.ceil(probed * sum(t.leaves for t in grown.trees)))
+    forest = spark.sparkContext.broadcast(grown)
     # vectors in a leaf and so its salts: the sample's leaves are even, a leaf has about total / leaves vectors
     salts = max(1, math.ceil(total * share / max(1, len(fitted)) / LEAF_ROWS))
 
@@ -222,7 +226,7 @@ def _of_width(rows: DataFrame, width: int, queries: Column, k: int, trees: int,
             yield out(found)
         yield out(list(best()))
 
-    kind = "cell long, id long, vec array<double>"
+    kind = f"cell long, id long, vec {rows.schema['vec'].dataType.simpleString()}"
     salt = F.pmod(F.xxhash64("id", "vec"), F.lit(salts)).cast("int")
     homes = indexed.mapInArrow(home, kind).withColumn("indexed", F.lit(True)).withColumn("salt", salt)
     asked = rows.where(queries).mapInArrow(probe, kind).withColumn("indexed", F.lit(False))

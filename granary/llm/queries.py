@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from granary.llm import ann, bpe, chat, decontam, langid, licenses, sharding, simhash, toxicity
+from granary.llm import ann, bpe, chat, decontam, langid, licenses, lm, sharding, simhash, toxicity
 from granary.llm.common import fold, table
 
 
@@ -17,6 +17,16 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model, counts = lm.fit(docs.where(fold("doc_id", 7) != 2).select("text"))
+    scored = lm.score(docs, model, counts)
+    return scored.select(
+        "doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    )
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
@@ -138,5 +148,5 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_neighbours": op3_neighbours, "op5_chat": op5_chat, "op1_sharding": op1_sharding, "op7_licenses": op7_licenses, "op4_decontam": op4_decontam, "op6_toxicity": op6_toxicity, "op8_bpe": op8_bpe, "op9_simhash": op9_simhash, "op10_langid": op10_langid}
+QUERIES = {"op2_lm": op2_lm, "op3_neighbours": op3_neighbours, "op5_chat": op5_chat, "op1_sharding": op1_sharding, "op7_licenses": op7_licenses, "op4_decontam": op4_decontam, "op6_toxicity": op6_toxicity, "op8_bpe": op8_bpe, "op9_simhash": op9_simhash, "op10_langid": op10_langid}
 ORACLE: dict[str, str] = {"op4_decontam": OP4_SQL, "op5_chat": OP5_SQL}
