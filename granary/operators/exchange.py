@@ -1,7 +1,8 @@
 """Change detection, export and import as row operators.
 
 A manifest is a small DataFrame with one row per partition or predicate:
-``table_name, partition_name, action, predicate, schema_json, row_count``.
+``table_name, partition_name, action, predicate, schema_json, row_count`` and, for tables with
+partition columns, their values as JSON in ``partition_values``.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import day_of, is_true, join_fields
-from granary.operators.skew import join_on, listed_join
+from granary.operators.skew import fetched, join_on, listed_join
 
 CHANGED, EMPTY, UNCHANGED, MISSING = "changed", "empty", "unchanged", "missing"
 
@@ -110,12 +111,14 @@ def export_rows(
 
 
 def manifest(
-    counts: DataFrame, table: str, action: str | Column, predicate: Column, schema_json: str
+    counts: DataFrame, table: str, action: str | Column, predicate: Column, schema_json: str,
+    name: Column | None = None, values: Column | None = None,
 ) -> DataFrame:
-    """Manifest rows from ``partition_name, row_count``."""
+    """Manifest rows from ``partition_name, row_count``, or from other columns that give the name."""
     return counts.select(
         F.lit(table).alias("table_name"),
-        "partition_name",
+        (F.col("partition_name") if name is None else name).alias("partition_name"),
+        *([] if values is None else [values.alias("partition_values")]),
         (F.lit(action) if isinstance(action, str) else action).alias("action"),
         predicate.alias("predicate"),
         F.lit(schema_json).alias("schema_json"),
@@ -124,26 +127,23 @@ def manifest(
 
 
 def plan_export(
-    changes: DataFrame, counts: DataFrame, predicates: DataFrame, table: str, schema_json: str
+    changes: DataFrame, counts: DataFrame, predicates: DataFrame, table: str, schema_json: str,
+    keys: Sequence[str] = ("partition_name",), name: Column | None = None, values: Column | None = None,
 ) -> DataFrame:
     """Manifest of an automatic export.
 
     Changed partitions are replaced on the far side, empty ones truncated there, missing
     ones reported; unchanged ones do not appear. ``counts`` has exported rows and
-    ``predicates`` the row predicate per ``partition_name``.
+    ``predicates`` the row predicate per partition, by ``keys`` in which NULL is a value.
     """
     action = (
         F.when(F.col("state") == CHANGED, "replace")
         .when(F.col("state") == EMPTY, "truncate")
         .otherwise("missing")
     )
-    rows = (
-        changes.where(F.col("state") != UNCHANGED)
-        .join(counts, "partition_name", "left")
-        .join(predicates, "partition_name", "left")
-        .fillna(0, ["row_count"])
-    )
-    return manifest(rows, table, action, F.col("predicate"), schema_json)
+    rows = join_on(changes.where(F.col("state") != UNCHANGED), counts, keys, "left", null_safe=True)
+    rows = join_on(rows, predicates, keys, "left", null_safe=True).fillna(0, ["row_count"])
+    return manifest(rows, table, action, F.col("predicate"), schema_json, name, values)
 
 
 def import_partition(
@@ -154,7 +154,7 @@ def import_partition(
 
     Rows staged for a partition that the manifest does not replace are not taken.
     """
-    listed = actions.where(F.col("action").isin("replace", "truncate"))
+    listed = fetched(actions.where(F.col("action").isin("replace", "truncate")), [*keys, "action"])
     replaced = listed.where(F.col("action") == "replace")
     kept = listed_join(tgt, listed, keys, "left_anti").select(*tgt.columns)
     new = listed_join(staged, replaced, keys, "left_semi").select(*tgt.columns)

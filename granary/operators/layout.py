@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 from functools import reduce
-from operator import or_
+from itertools import groupby
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from granary.functions import is_true, parse_day, shift_day
 from granary.functions.columns import as_column
@@ -23,52 +24,37 @@ PARTITION_DAYS = 49
 COMPRESSION_RATIO = 10
 MAX_SPAN_DAYS = 365 * 30
 
-MANY_LABELS = 64
 FEW_BOUNDS = 64
 
 
-def _literal(value) -> str:
-    if isinstance(value, str):
-        return "'" + value.replace("'", "\\'") + "'"
-    if isinstance(value, date):
-        return f"'{value.isoformat()}'"
-    return repr(value)
+def intervals(uppers: Sequence) -> list[tuple]:
+    """Lower and upper bound of every partition in one column; a repeated bound keeps its interval."""
+    runs = [(upper, len(list(run))) for upper, run in groupby(uppers)]
+    lowers = [MINVALUE, *(upper for upper, _ in runs)]
+    return [(lower, upper) for lower, (upper, size) in zip(lowers, runs) for _ in range(size)]
 
 
-def range_predicates(columns: Sequence[str], bounds: Sequence[tuple]) -> list[tuple[str, str]]:
-    """SQL predicate of each range partition.
+def within(column: str, lower, upper) -> Column:
+    """Whether a value lies in ``[lower, upper)``; nothing lies below MINVALUE, and NULL nowhere."""
+    value = F.col(column)
+    parts = [F.lit(False)] if upper == MINVALUE else [value.isNotNull()]
+    parts += [] if lower == MINVALUE else [value >= F.lit(lower)]
+    parts += [] if upper in (MINVALUE, MAXVALUE) else [value < F.lit(upper)]
+    return reduce(and_, parts)
 
-    ``bounds`` are ordered ``(name, (upper, ...))``. The first partition is
-    ``c < v``, a MAXVALUE one ``c >= previous``, any other both. A column whose bound
-    repeats the previous partition's keeps that partition's predicate.
-    """
-    out, previous, kept = [], None, {}
-    for name, uppers in bounds:
-        parts = []
-        for i, column in enumerate(columns):
-            upper = uppers[i]
-            if previous is not None and upper == previous[i]:
-                parts.append(kept[column])
-                continue
-            if upper == MINVALUE:
-                text = "false"
-            elif previous is None or previous[i] == MINVALUE:
-                text = f"{column} is not null" if upper == MAXVALUE else f"{column} < {_literal(upper)}"
-            elif upper == MAXVALUE:
-                text = f"{column} >= {_literal(previous[i])}"
-            else:
-                text = f"{column} >= {_literal(previous[i])} and {column} < {_literal(upper)}"
-            kept[column] = text
-            parts.append(text)
-        out.append((name, "(" + " and ".join(parts) + ")"))
-        previous = uppers
-    return out
-
-
-def list_predicate(label: str) -> str:
-    """``a=1/b=2`` as ``(a = '1' and b = '2')``."""
-    pairs = (part.split("=", 1) for part in label.split("/"))
-    return "(" + " and ".join(f"{name} = {_literal(value)}" for name, value in pairs) + ")"
+
+def range_conditions(columns: Sequence[str], bounds: Sequence[tuple]) -> list[tuple[str, Column]]:
+    """Condition of each range partition; ``bounds`` are ordered ``(name, (upper, ...))``."""
+    by_column = [intervals([uppers[i] for _, uppers in bounds]) for i in range(len(columns))]
+    return [
+        (name, reduce(and_, (within(c, *by_column[i][at]) for i, c in enumerate(columns))))
+        for at, (name, _) in enumerate(bounds)
+    ]
+
+
+def label_values(label: str) -> dict[str, str]:
+    """``a=1/b=2`` as names and values."""
+    return dict(part.split("=", 1) for part in label.split("/"))
 
 
 def range_label(col: Column, bounds: Sequence[tuple]) -> Column:
@@ -113,28 +99,27 @@ def assign_range_partition(
     """Add the range partition each row belongs to; NULL where it is in none."""
     if len(columns) == 1:
         return df.withColumn(label, range_label(F.col(columns[0]), bounds))
-    cases = [
-        F.when(F.expr(predicate), F.lit(name))
-        for name, predicate in range_predicates(columns, bounds)
-    ]
+    cases = [F.when(condition, F.lit(name)) for name, condition in range_conditions(columns, bounds)]
     return df.withColumn(label, F.coalesce(*cases))
 
 
 def filter_list_partitions(df: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Rows of the listed ``a=1/b=2`` partitions.
+    """Rows of the listed ``a=1/b=2`` partitions, which all name the same columns in any order.
 
-    A short list is a plain filter, which prunes partitions and reaches the scan; a
-    long one is a semi join with the list.
+    Each column's listed values are a filter that reaches the scan and prunes partitions; which of
+    them belong together is then a semi join with the list, whatever its length.
     """
-    if len(labels) <= MANY_LABELS:
-        if not labels:
-            return df.limit(0)
-        return df.where(reduce(or_, [F.expr(list_predicate(label)) for label in labels]))
-    rows = [tuple(part.split("=", 1)[1] for part in label.split("/")) for label in labels]
-    names = [part.split("=", 1)[0] for part in labels[0].split("/")]
-    wanted = df.sparkSession.createDataFrame(rows, names)
+    if not labels:
+        return df.limit(0)
+    listed = [label_values(label) for label in labels]
+    names = list(listed[0])
+    if any(set(values) != set(names) for values in listed):
+        raise ValueError("listed partitions name different columns")
+    rows = sorted({tuple(values[name] for name in names) for values in listed})
+    wanted = df.sparkSession.createDataFrame(rows, StructType([StructField(n, StringType()) for n in names]))
     wanted = wanted.select(*[F.col(n).cast(df.schema[n].dataType).alias(n) for n in names])
-    return listed_join(df, wanted, names, "left_semi")
+    pruned = [F.col(n).isin(*(F.lit(v).cast(df.schema[n].dataType) for v in sorted({r[i] for r in rows}))) for i, n in enumerate(names)]
+    return listed_join(df.where(reduce(and_, pruned)), wanted, names, "left_semi").select(*df.columns)
 
 
 def partition_summary(tables: DataFrame, partitions: DataFrame, buckets: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from granary.functions.columns import as_column
 from granary.operators.skew import MIN_ROWS, SHARE, keyed_join, next_in_order
 
 RUNNING, SUCCESS, ERROR, ERROR_AGAIN = "running", "success", "error", "error1"
-INFO_LIMIT = 5000
 
 
 def enabled_items(items: DataFrame) -> DataFrame:
@@ -20,7 +19,7 @@ def enabled_items(items: DataFrame) -> DataFrame:
 
 
 def keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*keys).distinct()
+    return df.select(*keys)
 
 
 def unprocessed(
@@ -158,7 +157,6 @@ def run_durations(
     at: str,
     tie: str,
     carry: Sequence[str] = (),
-    info: str | None = None,
     started: str | Column | None = None,
     share: float = SHARE,
     min_rows: int = MIN_ROWS,
@@ -166,10 +164,8 @@ def run_durations(
     """Seconds from every start event to the key's next event.
 
     ``started`` selects start events after the pairing; ``carry`` names columns taken from
-    the following event, such as its status. ``info`` is cut to its stored length.
+    the following event, such as its status.
     """
-    if info:
-        events = events.withColumn(info, F.substring(info, 1, INFO_LIMIT))
     paired = next_in_order(events, keys, [at, tie], [at, *carry], share, min_rows)
     ended = F.unix_micros(F.col(f"next_{at}").cast("timestamp"))
     began = F.unix_micros(F.col(at).cast("timestamp"))

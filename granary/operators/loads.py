@@ -4,13 +4,15 @@ the target's next state. Nothing is written here; see ``sources.store``."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import is_true, replaced_day
 from granary.functions.columns import as_column
-from granary.operators.skew import keyed_join, rows_without_match
+from granary.operators.skew import keyed_join, rows_without_match, will_broadcast
 
 BUCKET, SYSTEM, ETL_DATE = "bucket_id", "system_id", "etl_date"
 LOAD_TYPES = ("full", "add", "merge", "update")
@@ -44,8 +46,8 @@ def load_add(
 def load_update(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop target rows whose key was delivered, then append all source rows."""
     keys = list(keys)
-    delivered = src.select(*keys).distinct()
-    return keyed_join(tgt, delivered, keys, "left_anti").select(*tgt.columns).unionByName(src)
+    kept = keyed_join(tgt, src.select(*keys), keys, "left_anti")
+    return kept.select(*tgt.columns).unionByName(src)
 
 
 def load_merge(
@@ -55,30 +57,49 @@ def load_merge(
 
     A matched target row whose day is not after ``etl_date`` takes the source's
     non-key values and the new day and keeps its bucket and system id; a newer one
-    stays as it is. Source rows without a match are added. Source keys must be
-    unique (``schema.require_unique``).
+    stays as it is. Source rows without a match are added. Columns that only the source has
+    are appended. A key delivered twice fails the query; rows with a NULL in their key match
+    nothing and stay or are added as they are.
 
     The target is never re-keyed as a whole for a small delivery: it is streamed
     past the broadcast source once, and its key column once more to find which
-    source rows are new.
+    source rows are new. For a large one both sides are shuffled once, in one full join.
     """
     keys = list(keys)
     given = [name for name in src.columns if name not in keys]
-    new = src.select(*keys, F.struct(*[f"`{name}`" for name in given]).alias("_new"))
-    joined = keyed_join(tgt, new, keys, "left")
+    columns = [*tgt.columns, *(name for name in given if name not in tgt.columns)]
+    known = reduce(and_, [F.col(f"`{name}`").isNotNull() for name in keys])
+    values = F.struct(F.lit(True).alias("_given"), *[f"`{name}`" for name in given])
+    twice = F.raise_error(F.concat(F.lit("merge key delivered twice: "), F.to_json(F.struct(*keys))))
+    new = (
+        src.where(known)
+        .groupBy(*keys)
+        .agg(F.count("*").alias("_count"), F.first(values).alias("_new"))
+        .select(*keys, F.when(F.col("_count") > 1, twice).otherwise(F.col("_new")).alias("_new"))
+    )
+    held = tgt.where(known).withColumn("_held", F.lit(True))
+    small = will_broadcast(src)
+    joined = held.join(new, keys, "left" if small else "full_outer")
+    added = F.col("_held").isNull()
     fresh = is_true(F.col("_new").isNotNull() & (F.col(day) <= F.lit(etl_date)))
 
     def merged(name: str) -> Column:
+        old = F.col(f"`{name}`") if name in tgt.columns else F.lit(None)
+        delivered = F.col("_new")[name] if name in given else F.lit(None)
+        if name in keys:
+            return F.col(f"`{name}`")
         if name == day:
-            return F.when(fresh, F.lit(etl_date)).otherwise(F.col(day)).alias(name)
-        if name in given and name not in (BUCKET, SYSTEM):
-            value = F.when(fresh, F.col("_new")[name]).otherwise(F.col(f"`{name}`"))
-            return value.alias(name)
-        return F.col(f"`{name}`")
-
-    updated = joined.select(*[merged(name) for name in tgt.columns])
-    added = rows_without_match(src, tgt, keys)
-    return updated.unionByName(added.select(*src.columns), allowMissingColumns=True)
+            return F.when(added, delivered).when(fresh, F.lit(etl_date)).otherwise(old).alias(name)
+        taken = added if name in (BUCKET, SYSTEM) or name not in given else added | fresh
+        return F.when(taken, delivered).otherwise(old).alias(name)
+
+    out = joined.select(*[merged(name) for name in columns])
+    if small:
+        rest = rows_without_match(new, held, keys)
+        rest = rest.select(*keys, *[F.col("_new")[name].alias(name) for name in given])
+        out = out.unionByName(rest, allowMissingColumns=True)
+    out = out.unionByName(tgt.where(~known), allowMissingColumns=True)
+    return out.unionByName(src.where(~known), allowMissingColumns=True).select(*columns)
 
 
 def load_initial(src: DataFrame, registered: bool, exists: bool) -> DataFrame:

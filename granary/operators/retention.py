@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.operators.skew import keyed_join
 
+PARTS = 64
 KEEP = 7  # fixed value: entries kept per directory unless configured
 
 
@@ -19,15 +20,19 @@ def expired_entries(
 ) -> DataFrame:
     """Entries of each root beyond its newest ``keep_n``; equal times go by path.
 
-    Only each root's ``keep_n`` newest entries are ranked: the rank limit is applied before
-    the shuffle, so a root with most of the files is never sorted in one task. The rest
-    is compared with the last entry kept.
+    Entries are ranked within parts of their root first, and of each part only the newest
+    ``keep_n`` are ranked within the root; so a root with most of the files is sorted by many tasks, whatever
+    ``keep_n`` is. The rest is compared with the last entry kept.
     """
     if keep_n < 1:
         return listing
-    newest = Window.partitionBy(root).orderBy(F.col(modified).desc(), F.col(path))
+    order = [F.col(modified).desc(), F.col(path)]
+    part = F.pmod(F.xxhash64(path, modified), F.lit(PARTS)).alias("_part")
+    newest = Window.partitionBy(root).orderBy(*order)
     last_kept = (
-        listing.select(root, path, modified)
+        listing.select(root, path, modified, part)
+        .withColumn("_rank", F.row_number().over(Window.partitionBy(root, "_part").orderBy(*order)))
+        .where(F.col("_rank") <= keep_n)
         .withColumn("_rank", F.row_number().over(newest))
         .where(F.col("_rank") == keep_n)
         .select(root, F.col(modified).alias("_time"), F.col(path).alias("_path"))

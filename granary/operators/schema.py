@@ -40,30 +40,39 @@ def extract_schema(ddl: DataFrame, text: str = "value") -> DataFrame:
 
     def comments(kind: str) -> Column:
         pattern = COMMENT.format(kind)
-        return F.map_from_entries(
-            F.array_distinct(
-                F.transform(
-                    F.filter("_lines", lambda line: line.rlike(pattern)),
-                    lambda line: F.struct(
-                        F.regexp_extract(line, pattern, 1).alias("key"),
-                        F.regexp_extract(line, pattern, 2).alias("value"),
-                    ),
-                )
-            )
+        found = F.transform(
+            F.filter("_lines", lambda line: line.rlike(pattern)),
+            lambda line: F.struct(
+                F.regexp_extract(line, pattern, 1).alias("key"),
+                F.regexp_extract(line, pattern, 2).alias("value"),
+            ),
+        )
+        # of several comments on one name the last one holds
+        return F.aggregate(
+            found,
+            F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")),
+            lambda known, one: F.map_concat(
+                F.map_filter(known, lambda name, _: name != one["key"]),
+                F.map_from_arrays(F.array(one["key"]), F.array(one["value"])),
+            ),
         )
 
     kept = [name for name in ddl.columns if name != text]
     body = (
         ddl.select(*kept, lines.alias("_lines"))
-        .withColumn("_open", first_where(F.col("_lines"), lambda line: line.contains("(")))
+        .withColumn("_create", first_where(F.col("_lines"), lambda line: line.rlike(TABLE_NAME)))
+        .withColumn("_body", F.slice("_lines", F.greatest("_create", F.lit(1)), F.size("_lines")))
+        .withColumn("_open", first_where(F.col("_body"), lambda line: line.contains("(")))
         .withColumn(
             "_rest",
-            F.when(F.col("_open") > 0, F.slice("_lines", F.col("_open") + 1, F.size("_lines"))),
+            F.when(F.col("_open") > 0, F.slice("_body", F.col("_open") + 1, F.size("_body"))),
         )
         .withColumn("_stop", first_where(F.col("_rest"), lambda line: line.rlike(BODY_END)))
         .select(
             *kept,
-            F.regexp_extract(F.try_element_at("_lines", F.lit(1)), TABLE_NAME, 1).alias("table_name"),
+            F.regexp_extract(
+                F.try_element_at(F.filter("_lines", lambda line: line.rlike(TABLE_NAME)), F.lit(1)), TABLE_NAME, 1
+            ).alias("table_name"),
             F.when(F.col("_stop") == 0, F.col("_rest"))
             .otherwise(F.slice("_rest", 1, F.greatest(F.col("_stop") - 1, F.lit(0))))
             .alias("_columns"),

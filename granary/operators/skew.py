@@ -86,19 +86,18 @@ def keyed_join(
     min_rows: int = MIN_ROWS,
     null_safe: bool = False,
 ) -> DataFrame:
-    """Join where ``right`` has at most one row per key; ``left`` may be skewed.
+    """Join where ``left`` may be skewed.
 
-    A small right side is broadcast by the planner and nothing is shuffled.
-    Otherwise the rows of heavy left keys meet the few right rows they need in a
+    A semi or anti join is a plain one: both its shuffles are the join's own, so a hot left
+    key is split at run time. For other joins ``right`` must have at most one row per key.
+    A small right side is broadcast by the planner and nothing is shuffled. Otherwise the rows of heavy left keys meet the few right rows they need in a
     broadcast join (one right row per heavy key, so its size is bounded) and
     only the rest is shuffled. NULL keys hash like any other and are split off
     too once they are heavy.
     """
     keys = list(keys)
-    for name in keys:
-        if left.schema[name].dataType != right.schema[name].dataType:
-            raise TypeError(f"join key {name} has different types on the two sides")
-    if will_broadcast(right):
+    same_types(left, right, keys)
+    if how in ("left_semi", "left_anti") or will_broadcast(right):
         return join_on(left, right, keys, how, null_safe)
     heavy = list(heavy_keys(left, keys, share, min_rows))
     if not heavy:
@@ -111,6 +110,31 @@ def keyed_join(
     return rest.unionByName(hot)
 
 
+def same_types(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
+    for name in keys:
+        if left.schema[name].dataType != right.schema[name].dataType:
+            raise TypeError(f"join key {name} has different types on the two sides")
+
+
+def is_local(df: DataFrame) -> bool:
+    """Whether the rows are in the plan itself, so that taking them starts no job."""
+    return df._jdf.queryExecution().optimizedPlan().getClass().getSimpleName() == "LocalRelation"
+
+
+def fetched(listed: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A list's distinct rows, taken out of their query once, so that several joins can use them.
+
+    A list of more than ``LIST_ROWS`` stays a query.
+    """
+    entries = listed.select(*columns)
+    if is_local(entries):
+        return entries
+    rows = entries.distinct().limit(LIST_ROWS + 1).collect()
+    if len(rows) > LIST_ROWS:
+        return entries
+    return listed.sparkSession.createDataFrame(rows, entries.schema)
+
+
 def listed_join(
     left: DataFrame, listed: DataFrame, keys: Sequence[str], how: str
 ) -> DataFrame:
@@ -120,12 +144,11 @@ def listed_join(
     files or rows. So up to ``LIST_ROWS`` entries are fetched and broadcast; a longer list is
     joined as any other side.
     """
-    entries = listed.select(*keys).distinct()
-    rows = entries.limit(LIST_ROWS + 1).collect()
-    if len(rows) > LIST_ROWS:
-        return keyed_join(left, entries, keys, how, null_safe=True)
-    fetched = left.sparkSession.createDataFrame(rows, entries.schema)
-    return join_on(left, F.broadcast(fetched), keys, how, null_safe=True)
+    same_types(left, listed, keys)
+    entries = fetched(listed, keys)
+    if is_local(entries):
+        return join_on(left, F.broadcast(entries.distinct()), keys, how, null_safe=True)
+    return keyed_join(left, entries.distinct(), keys, how, null_safe=True)
 
 
 def rows_without_match(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -141,7 +164,7 @@ def rows_without_match(df: DataFrame, other: DataFrame, keys: Sequence[str]) ->
         # at most the keys of df, which are within the broadcast limit
         found = known.join(F.broadcast(wanted), keys, "left_semi").distinct()
         return df.join(F.broadcast(found), keys, "left_anti")
-    return keyed_join(df, known.distinct(), keys, "left_anti")
+    return keyed_join(df, known, keys, "left_anti")
 
 
 def next_in_order(

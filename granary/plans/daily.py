@@ -236,13 +236,16 @@ def _update_days(
     new = _labelled(src, _bounds_for(job, etl_date, root, size_mb, spark))
     tgt = _wide_enough(store.read_table(spark, root), new).select(*new.columns)
     keys = list(job.keys)
-    losing = keyed_join(tgt, new.select(*keys).distinct(), keys, "left_semi")
+    losing = keyed_join(tgt, new.select(*keys), keys, "left_semi")
     touched = losing.select(PARTITION).unionByName(new.select(PARTITION)).distinct()
     held = listed_join(tgt, touched, [PARTITION], "left_semi")
     state = loads.load_update(new, held, keys)
     store.replace_partitions(state, root, [PARTITION], cleared=touched)
 
 
+# Fixed value: characters of a message that the job log keeps.
+INFO_LIMIT = 5000
+
 LOG_SCHEMA = (
     "id string, batch_id string, job_id string, task_status string, table_name string, "
     "etl_date string, src_count long, tar_count long, event_time timestamp_ntz, job_info string"
@@ -278,7 +281,7 @@ def run_logged(
 
     def log(status: str, expected: int = -1, loaded: int = 0, info: str = "") -> None:
         row = (run_id, batch_id, job.name, status, job.table, etl_date, expected, loaded,
-               datetime.now(timezone.utc).replace(tzinfo=None), info[: ledger.INFO_LIMIT])
+               datetime.now(timezone.utc).replace(tzinfo=None), info[:INFO_LIMIT])
         store.append(spark.createDataFrame([row], LOG_SCHEMA), log_root)
 
     failed = ledger.ERROR_AGAIN if second_try else ledger.ERROR

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from granary.functions import day_of
 from granary.operators import exchange, layout, ledger, loads, retention, schema
+from granary.operators.skew import join_on
 from granary.plans import transfer
 from granary.sources import exchange as bundles
 from granary.sources import files, landing, store
@@ -227,7 +228,65 @@ def export_bundle(spark, sf_dir):
     transfer.export_table(
         spark, f"{path}/table", f"{path}/out", "sales.orders", "all", "20240101", ["o_orderstatus"]
     )
-    return bundles.read_manifest(spark, f"{path}/out").drop("schema_json")
+    return bundles.read_manifest(spark, f"{path}/out").drop("schema_json", "partition_values")
+
+
+ODD_SQL = """
+WITH odd AS (
+  SELECT o_orderkey, o_totalprice,
+         CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN 'x:y' WHEN '3-MEDIUM' THEN 'k/l'
+              WHEN '5-LOW' THEN '50%25' ELSE 'p q+' END AS k,
+         CASE o_orderstatus WHEN 'F' THEN NULL WHEN 'O' THEN 'a=b/c=d' ELSE o_orderstatus END AS l
+  FROM orders)
+"""
+
+
+def odd_partitions(spark, sf_dir):
+    """Orders under partition values that need escaping in a path, and NULL."""
+    k = F.when(F.col("o_orderpriority") == "1-URGENT", None)
+    for name, value in (("2-HIGH", "x:y"), ("3-MEDIUM", "k/l"), ("5-LOW", "50%25")):
+        k = k.when(F.col("o_orderpriority") == name, value)
+    l = F.when(F.col("o_orderstatus") == "F", None).when(F.col("o_orderstatus") == "O", "a=b/c=d")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", k.otherwise("p q+").alias("k"), l.otherwise(F.col("o_orderstatus")).alias("l")
+    )
+
+
+def exported(spark, sf_dir, mode):
+    """A bundle's rows, each with its partition's count in the manifest."""
+    path = files.shared_dir(spark, "odd")
+    store.publish(odd_partitions(spark, sf_dir), f"{path}/table", ["k", "l"])
+    transfer.export_table(spark, f"{path}/table", f"{path}/out", "s.odd", mode, "20000101", ["k", "l"])
+    rows = bundles.read_bundle(spark, f"{path}/out")
+    values = F.from_json("partition_values", "k string, l string")
+    plan = bundles.read_manifest(spark, f"{path}/out").select("action", "row_count", values.alias("v"))
+    plan = plan.select("action", "row_count", "v.k", "v.l")
+    return join_on(rows, plan, ["k", "l"], "left", null_safe=True)
+
+
+@query(ODD_SQL + "SELECT *, 'replace' AS action, count(*) OVER (PARTITION BY k, l) AS row_count FROM odd")
+def export_table_all(spark, sf_dir):
+    return exported(spark, sf_dir, "all")
+
+
+@query(ODD_SQL + "SELECT *, 'replace' AS action, count(*) OVER (PARTITION BY k, l) AS row_count FROM odd")
+def export_table_auto(spark, sf_dir):
+    return exported(spark, sf_dir, "auto")
+
+
+@query(ODD_SQL + """
+SELECT * FROM odd UNION ALL SELECT o_orderkey, 0, 'kept', NULL FROM odd WHERE k = 'x:y'
+""")
+def import_table(spark, sf_dir):
+    path = files.shared_dir(spark, "odd")
+    rows = odd_partitions(spark, sf_dir)
+    store.publish(rows, f"{path}/table", ["k", "l"])
+    old = rows.withColumn("o_totalprice", F.lit(0.0).cast(rows.schema["o_totalprice"].dataType))
+    kept = old.where("k = 'x:y'").withColumns({"k": F.lit("kept"), "l": F.lit(None).cast("string")})
+    store.publish(old.unionByName(kept), f"{path}/far", ["k", "l"])
+    transfer.export_table(spark, f"{path}/table", f"{path}/out", "s.odd", "auto", "20000101", ["k", "l"])
+    transfer.import_table(spark, f"{path}/out", f"{path}/far", ["k", "l"])
+    return store.read_table(spark, f"{path}/far")
 
 
 @query("""
@@ -441,6 +500,13 @@ def filter_list_partitions(spark, sf_dir):
     return layout.filter_list_partitions(table(spark, sf_dir, "lineitem"), labels)
 
 
+@query("SELECT * FROM lineitem WHERE l_partkey BETWEEN 1 AND 149 AND l_linenumber = l_partkey % 7 + 1")
+def filter_list_partitions_many(spark, sf_dir):
+    pairs = [(f"l_partkey={i}", f"l_linenumber={i % 7 + 1}") for i in range(1, 150)]
+    labels = ["/".join(pair if i % 2 else pair[::-1]) for i, pair in enumerate(pairs)]
+    return layout.filter_list_partitions(table(spark, sf_dir, "lineitem"), labels)
+
+
 @query("""
 WITH parts AS (
   SELECT o_custkey AS tab, 'p' || o_orderkey AS partition_name,
@@ -628,6 +694,20 @@ def load_merge(spark, sf_dir):
     )
 
 
+@query(CUSTOMER_SQL + "SELECT *, CASE WHEN etl_date = '20240201' THEN 'g' || c_custkey END AS grade FROM merged")
+def load_merge_evolved(spark, sf_dir):
+    src = delivered_customers(spark, sf_dir).withColumn("grade", F.concat(F.lit("g"), "c_custkey"))
+    return loads.load_merge(src, loaded_customers(spark, sf_dir), ["c_custkey"], "20240201")
+
+
+@query(CUSTOMER_SQL + "SELECT *, CASE WHEN etl_date = '20240201' THEN 'g' || c_custkey END AS grade FROM merged")
+def load_merge_large(spark, sf_dir):
+    """The plan of a delivery too large to broadcast, in a session of its own."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    return load_merge_evolved(session, sf_dir)
+
+
 @query("SELECT * FROM orders")
 def load_initial(spark, sf_dir):
     root = files.shared_dir(spark, "initial")
@@ -1103,7 +1183,7 @@ def top_by_priority(spark, sf_dir):
 
 @query("""
 WITH paired AS (
-  SELECT event_id, ts, user_id, event_type, substr(props, 1, 5000) AS props,
+  SELECT event_id, ts, user_id, event_type, props,
          lead(ts) OVER w AS next_ts, lead(event_type) OVER w AS next_event_type
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 SELECT *, (epoch_us(next_ts) - epoch_us(ts)) // 1000000 AS used_seconds
@@ -1117,7 +1197,6 @@ def run_durations(spark, sf_dir):
         "ts",
         "event_id",
         carry=["event_type"],
-        info="props",
         started="event_type = 'view'",
     )
 
@@ -1179,6 +1258,15 @@ def expired_entries(spark, sf_dir):
     return retention.expired_entries(events, 8, "user_id", "event_id", "ts")
 
 
+@query("""
+SELECT event_type, event_id, ts FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) > 1200
+""")
+def expired_entries_many(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_type", "event_id", "ts")
+    return retention.expired_entries(events, 1200, "event_type", "event_id", "ts")
+
+
 @query("""
 SELECT *, strftime(o_orderdate, '%Y%m%d') AS etl_date FROM orders
 WHERE o_orderdate IN (SELECT DISTINCT o_orderdate FROM orders ORDER BY 1 DESC LIMIT 30)

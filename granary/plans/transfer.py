@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from granary.functions import is_true
 from granary.operators import exchange as ops
-from granary.operators import layout, schema
+from granary.operators import schema
 from granary.operators.skew import listed_join
 from granary.sources import exchange as bundles
 from granary.sources import files, store
@@ -17,25 +21,52 @@ from granary.sources import files, store
 ALL = "all"
 
 
-def partition_label(keys: Sequence[str]):
-    """``a=1/b=2`` of a row, as its partition directory is called."""
-    parts = [F.concat(F.lit(f"{key}="), F.col(key).cast("string")) for key in keys]
+# Fixed value: the directory value that stands for NULL and for empty text.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_label(keys: Sequence[str]) -> Column:
+    """``a=1/b=2`` of a row, for people to read; only the values say which partition it is."""
+    parts = [
+        F.concat(F.lit(f"{key}="), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(NO_VALUE)))
+        for key in keys
+    ]
     return F.concat_ws("/", *parts)
 
 
+def directory_value(path: Column, key: str) -> Column:
+    """Value of a key in a file's path, as text: unescaped, NULL for the directory without one."""
+    name = F.regexp_extract(path, f"/{re.escape(key)}=([^/]*)/(?:[^/=]+=[^/]*/)*[^/]*$", 1)
+    plain = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(name != NO_VALUE, plain)
+
+
 def table_changes(
-    spark: SparkSession, root: str, etl_date: str, keys: Sequence[str]
+    spark: SparkSession, root: str, etl_date: str, keys: Sequence[str], schema: T.StructType
 ) -> DataFrame:
-    """Change state of every partition directory of a table, or of the whole table."""
+    """Change state of every partition of a table, by its values in ``keys``, or of the whole table."""
     base = store.current_path(spark, root)
     listing = files.list_files(spark, base)
     if not keys:
         listing = listing.withColumn("partition_name", F.lit(ALL))
         return ops.detect_changes(listing.select("partition_name"), listing, etl_date)
-    pattern = "((?:[^/=]+=[^/]+/)+)[^/]+$"
-    label = F.rtrim(F.regexp_extract("path", pattern, 1), F.lit("/"))
-    listing = listing.withColumn("partition_name", label)
-    return ops.detect_changes(listing.select("partition_name"), listing, etl_date)
+    listing = listing.withColumns(
+        {key: directory_value(F.col("path"), key).cast(schema[key].dataType) for key in keys}
+    )
+    return ops.detect_changes(listing.select(*keys), listing, etl_date, keys)
+
+
+def values_text(keys: Sequence[str]) -> Column:
+    """Partition values as JSON text; a missing value is NULL."""
+    return F.to_json(F.struct(*[F.col(f"`{key}`").cast("string").alias(key) for key in keys]))
+
+
+def values_of(plan: DataFrame, keys: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Manifest rows with the partition values as columns of the table's types."""
+    parsed = F.from_json("partition_values", T.StructType([T.StructField(key, T.StringType()) for key in keys]))
+    return plan.withColumn("_values", parsed).select(
+        "action", *[F.col("_values")[key].cast(schema[key].dataType).alias(key) for key in keys]
+    )
 
 
 def export_table(
@@ -53,7 +84,6 @@ def export_table(
     rows = store.read_table(spark, root)
     schema_json = rows.schema.json()
     keys = list(partition_by)
-    label = partition_label(keys) if keys else F.lit(ALL)
     if mode not in ("all", "auto", "sql"):
         raise ValueError(f"unknown export mode {mode!r}")
     if mode == "sql":
@@ -71,22 +101,21 @@ def export_table(
         return
 
     chosen = rows
-    changes = table_changes(spark, root, etl_date, keys)
+    changes = table_changes(spark, root, etl_date, keys, rows.schema)
     if mode == "all":
         changes = changes.withColumn("state", F.lit(ops.CHANGED))
     elif keys:
-        changed = changes.where(F.col("state") == ops.CHANGED).select("partition_name")
-        # one row per partition directory
-        chosen = layout.filter_list_partitions(rows, [r.partition_name for r in changed.collect()])
+        chosen = ops.export_auto(rows, changes, keys)
     elif changes.where(F.col("state") == ops.CHANGED).isEmpty():
         chosen = rows.where("false")
 
     def plan(written: DataFrame) -> DataFrame:
-        counts = written.groupBy(label.alias("partition_name")).agg(
-            F.count("*").alias("row_count")
-        )
-        none = changes.select("partition_name", F.lit(None).cast("string").alias("predicate"))
-        return ops.plan_export(changes, counts, none, table, schema_json)
+        by = keys or ["partition_name"]
+        source = written if keys else written.withColumn("partition_name", F.lit(ALL))
+        counts = source.groupBy(*by).agg(F.count("*").alias("row_count"))
+        none = changes.select(*by, F.lit(None).cast("string").alias("predicate"))
+        names = (partition_label(keys), values_text(keys)) if keys else ()
+        return ops.plan_export(changes, counts, none, table, schema_json, by, *names)
 
     bundles.write_bundle(chosen, plan, bundle, keys)
 
@@ -116,24 +145,15 @@ def import_table(
             store.publish(ops.import_sql(staged, tgt, predicates), root)
             return
         # only partitions that lose or gain rows are rewritten
-        touched = reduce(
-            DataFrame.union, [tgt.where(p).select(*keys) for p in predicates], staged.select(*keys)
-        ).distinct()
+        lost = tgt.where(reduce(or_, [is_true(p) for p in predicates]))
+        touched = lost.select(*keys).union(staged.select(*keys)).distinct()
         held = listed_join(tgt, touched, keys, "left_semi").select(*agreed.names)
         store.replace_partitions(ops.import_sql(staged, held, predicates), root, keys, touched)
     elif keys:
-        label = partition_label(keys)
-        listed = plan.where(F.col("action").isin("replace", "truncate"))
-        names = [row.partition_name for row in listed.select("partition_name").collect()]
-        pairs = [tuple(part.split("=", 1)[1] for part in name.split("/")) for name in names]
-        if not pairs:
+        listed = values_of(plan, keys, tgt.schema).where(F.col("action").isin("replace", "truncate"))
+        if listed.isEmpty():
             return
-        cleared = spark.createDataFrame(pairs, [*keys]).select(
-            *[F.col(key).cast(tgt.schema[key].dataType).alias(key) for key in keys]
-        )
-        replaced = plan.where("action = 'replace'").select("partition_name")
-        labelled = staged.withColumn("partition_name", label)
-        chosen = listed_join(labelled, replaced, ["partition_name"], "left_semi")
-        store.replace_partitions(chosen.select(*agreed.names), root, keys, cleared)
+        chosen = listed_join(staged, listed.where("action = 'replace'"), keys, "left_semi")
+        store.replace_partitions(chosen.select(*agreed.names), root, keys, listed.select(*keys))
     elif not plan.where(F.col("action").isin("replace", "truncate")).isEmpty():
         store.publish(staged, root)

@@ -14,7 +14,7 @@ from granary.sources import files, store
 
 MANIFEST_SCHEMA = (
     "table_name string, partition_name string, action string, predicate string, "
-    "schema_json string, row_count long"
+    "schema_json string, row_count long, partition_values string"
 )
 MARKER, SCHEMA = "END", "SCHEMA"
 

@@ -2,7 +2,8 @@
 
 A new state is written beside the current one and becomes visible by one rename of the
 pointer, so a reader, a failed job or a re-run never meets half a table. Partitioned tables
-replace single partitions inside their current version.
+replace single partitions inside their current version, by one rename each: there a reader that
+is under way may miss files, and sees old and new partitions side by side until the swap is through.
 """
 
 from __future__ import annotations
@@ -77,6 +78,7 @@ def publish(
     name = f"v{number:08d}"
     write_target(df, f"{root}/{name}", partition_by, n_files)
     set_pointer(spark, root, name, stored_schema(df, partition_by))
+    drop_swap(spark, root)  # it was meant for the version before
     for old in versions:
         if old != now:
             files.delete(spark, f"{root}/{old}")
@@ -126,18 +128,22 @@ def replace_partitions(
         where = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
         names = [F.element_at(F.split(where, "/"), i - 1 - len(keys)) for i in range(len(keys))]
         gone = [row.dir for row in held.select(F.concat_ws("/", *names).alias("dir")).distinct().collect()]
-    note = {"gone": gone, "schema": stored_schema(df, keys).jsonValue()}
+    version = pointer(spark, root)["version"]
+    note = {"version": version, "gone": gone, "schema": stored_schema(df, keys).jsonValue()}
     files.write_small(spark, f"{root}/{PENDING}", json.dumps(note))
     finish_swap(spark, root)
 
 
 def finish_swap(spark: SparkSession, root: str) -> None:
     """Carry out the pending partition swap, if there is one: partition directories are
-    renamed into place one by one."""
+    renamed into place one by one. A swap made for another version than the current one is void."""
     if not files.exists(spark, f"{root}/{PENDING}"):
         return
     note = json.loads(files.read_small(spark, f"{root}/{PENDING}"))
     now = pointer(spark, root)
+    if note.get("version") != now["version"]:
+        drop_swap(spark, root)
+        return
     target = f"{root}/{now['version']}"
     for directory in partition_dirs(spark, f"{root}/aside"):
         files.move(spark, f"{root}/aside/{directory}", f"{target}/{directory}")
@@ -147,6 +153,10 @@ def finish_swap(spark: SparkSession, root: str) -> None:
     staged = T.StructType.fromJson(note["schema"])
     if set(staged.names) - set(known.names):
         set_pointer(spark, root, now["version"], staged)
+    drop_swap(spark, root)
+
+
+def drop_swap(spark: SparkSession, root: str) -> None:
     files.delete(spark, f"{root}/{PENDING}")
     files.delete(spark, f"{root}/aside")
 

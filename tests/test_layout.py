@@ -87,21 +87,21 @@ def test_range_label_agrees_with_predicates(spark, monkeypatch, few):
             spark.sql("select cast(null as int) c")
         )
         labelled = layout.assign_range_partition(df, ["c"], bounds)
-        for name, predicate in layout.range_predicates(["c"], bounds):
+        for name, predicate in layout.range_conditions(["c"], bounds):
             want = rows_of(df.where(predicate))
             assert rows_of(labelled.where(F.col("partition_name") == name).select("c")) == want
         lost = labelled.where("partition_name is null")
         assert lost.count() == (1 if with_max else 1 + 1050 - values[-1])
 
 
-def test_range_predicates_carry_over():
-    bounds = [("a", (1, 10)), ("b", (1, 20)), ("c", (2, 30)), ("d", ("MAXVALUE", "MAXVALUE"))]
-    assert layout.range_predicates(["x", "y"], bounds) == [
-        ("a", "(x < 1 and y < 10)"),
-        ("b", "(x < 1 and y >= 10 and y < 20)"),
-        ("c", "(x >= 1 and x < 2 and y >= 20 and y < 30)"),
-        ("d", "(x >= 2 and y >= 30)"),
-    ]
+def test_repeated_bounds_keep_their_interval(spark):
+    low, high = layout.MINVALUE, layout.MAXVALUE
+    assert layout.intervals([1, 1, 2, high]) == [(low, 1), (low, 1), (1, 2), (2, high)]
+    assert layout.intervals([low, 5]) == [(low, low), (low, 5)]
+    bounds = [("a", (1, 10)), ("b", (1, 20)), ("c", (2, 30)), ("d", (high, high))]
+    df = spark.createDataFrame([(0, 5), (0, 15), (1, 25), (2, 30), (0, 25), (None, 5), (1, None)], "x int, y int")
+    got = layout.assign_range_partition(df, ["x", "y"], bounds).select("partition_name").collect()
+    assert [r[0] for r in got] == ["a", "b", "c", "d", None, None, None]
 
 
 def test_minvalue_bound_holds_nothing(spark):
@@ -115,18 +115,22 @@ def test_unordered_bounds_are_refused(spark):
         layout.assign_range_partition(spark.range(3), ["id"], [("a", (5,)), ("b", (2,))])
 
 
-def test_list_partitions_short_and_long(spark, monkeypatch):
+def test_list_partitions_short_and_long(spark):
     df = spark.range(100).select((F.col("id") % 5).alias("a"), F.concat(F.lit("v"), F.col("id") % 3).alias("b"))
     labels = ["a=1/b=v2", "a=4/b=v0", "a=9/b=v0"]
     short = rows_of(layout.filter_list_partitions(df, labels))
-    monkeypatch.setattr(layout, "MANY_LABELS", 1)
-    assert rows_of(layout.filter_list_partitions(df, labels).select("a", "b")) == short
     assert len(short) == 13
+    more = [f"b=v{9 + i}/a={i}" for i in range(200)]  # in another order of the columns
+    assert rows_of(layout.filter_list_partitions(df, labels + more)) == short
+    with pytest.raises(ValueError):
+        layout.filter_list_partitions(df, ["a=1", "b=v2"])
     assert layout.filter_list_partitions(df, []).count() == 0
 
 
-def test_quotes_in_values():
-    assert layout.list_predicate("a=o'x") == "(a = 'o\\'x')"
+def test_quotes_and_backslashes_in_values(spark):
+    df = spark.createDataFrame([("o'x",), ("a\\b",), ("c=d",)], "a string")
+    for value in ("o'x", "a\\b", "c=d"):
+        assert rows_of(layout.filter_list_partitions(df, [f"a={value}"])) == [(value,)]
 
 
 def test_summary_keeps_tables_without_ranges(spark):

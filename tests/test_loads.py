@@ -127,3 +127,21 @@ def test_types(text, want):
 def test_sized_number_needs_a_mapping():
     with pytest.raises(ValueError):
         resolve_type("number(10)", {})
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_merge_appends_columns_and_refuses_keys_delivered_twice(spark, broadcast, request):
+    if not broadcast:
+        request.getfixturevalue("no_broadcast")
+    tgt = spark.createDataFrame([(1, "a", "20240101"), (2, "b", "20240301"), (None, "n", "20240101"), (4, "d", "20240101")], "k int, v string, etl_date string")
+    src = spark.createDataFrame([(1, "A", "20240201", 7), (2, "B", "20240201", 8), (3, "C", "20240201", 9), (None, "N", "20240201", 5), (None, "N", "20240201", 5)],
+                                "k int, v string, etl_date string, w int")
+    merged = loads.load_merge(src, tgt, ["k"], "20240201")
+    assert rows_of(merged) == sorted([(1, "A", "20240201", 7), (2, "b", "20240301", None), (3, "C", "20240201", 9), (4, "d", "20240101", None),
+                                      (None, "n", "20240101", None), (None, "N", "20240201", 5), (None, "N", "20240201", 5)], key=repr)
+    if not broadcast:
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FullOuter") and "BroadcastHashJoin" not in plan
+    for twice in (src.union(src.where("k = 1")), src.union(src.where("k = 3"))):
+        with pytest.raises(Exception, match="delivered twice"):
+            loads.load_merge(twice, tgt, ["k"], "20240201").collect()

@@ -224,3 +224,18 @@ def test_emptied_table_is_truncated_on_the_far_side(spark, tmp_path):
     transfer.export_table(spark, src, bundle, "s.t", "auto", TODAY)
     transfer.import_table(spark, bundle, dst)
     assert store.read_table(spark, dst).count() == 0
+
+
+def test_exchange_of_odd_partition_values(spark, tmp_path):
+    src, dst, bundle = (str(tmp_path / n) for n in ("src", "dst", "bundle"))
+    values = ["a", None, "x:y", "p q", "k/l", "b", "1%2", "c=d", "+", "%41"]
+    rows = [(i, k, i % 3 if i % 3 else None) for i, k in enumerate(values * 3)]
+    frame = spark.createDataFrame(rows, "n int, k string, m int")
+    for mode in ("all", "auto"):
+        store.publish(frame, src, ["k", "m"])
+        store.publish(frame.where("k = 'b' or k is null").withColumn("n", F.lit(-1)), dst, ["k", "m"])
+        transfer.export_table(spark, src, bundle, "s.t", mode, TODAY, ["k", "m"])
+        assert exchange.read_manifest(spark, bundle).agg({"row_count": "sum"}).first()[0] == len(rows)
+        for _ in range(2):
+            transfer.import_table(spark, bundle, dst, ["k", "m"])
+            assert rows_of(store.read_table(spark, dst)) == sorted(rows, key=repr)

@@ -76,3 +76,9 @@ def test_evolve_is_idempotent(spark):
     fields = struct("id bigint, extra string").fields
     once = schema.evolve_add_columns(spark.range(2), fields)
     assert schema.evolve_add_columns(once, fields).columns == ["id", "extra"]
+
+
+def test_last_comment_wins_and_lines_may_lead(spark):
+    ddl = "-- made by hand\n\ncreate table a.t (\n x int,\n y varchar(3)\n);\ncomment on column a.t.x is 'one';\ncomment on column a.t.x is 'two';\ncomment on table a.t is 'old';\ncomment on table a.t is 'new';"
+    rows = schema.extract_schema(spark.createDataFrame([(ddl,), ("select 1",)], "value string")).collect()
+    assert [(r.table_name, r.column_name, r.comment, r.table_comment) for r in rows] == [("a.t", "x", "two", "new"), ("a.t", "y", None, "new")]

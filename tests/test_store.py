@@ -134,7 +134,7 @@ def test_bundle_is_ready_only_at_the_end(spark, tmp_path):
     path = str(tmp_path / "b")
     with pytest.raises(ValueError):
         exchange.read_manifest(spark, path)
-    rows = spark.createDataFrame([("t", "all", "replace", None, spark.range(1).schema.json(), 2)], exchange.MANIFEST_SCHEMA)
+    rows = spark.createDataFrame([("t", "all", "replace", None, spark.range(1).schema.json(), 2, None)], exchange.MANIFEST_SCHEMA)
     exchange.write_bundle(spark.range(2), lambda written: rows, path)
     assert rows_of(exchange.read_bundle(spark, path)) == [(0,), (1,)]
     assert rows_of(exchange.import_create(spark, path, str(tmp_path / "new"))) == [(0,), (1,)]
@@ -162,3 +162,22 @@ def test_drop_expired_directories(spark, tmp_path):
     dropped = drop_expired(spark, [str(tmp_path / "cur"), str(tmp_path / "hist")], 3)
     assert len(dropped) == 2
     assert sorted(p.name for p in (tmp_path / "cur").iterdir()) == ["20240102", "20240103", "20240104"]
+
+
+@pytest.mark.parametrize("note_first", [True, False])
+def test_a_swap_cut_short_never_overwrites_a_later_version(spark, tmp_path, monkeypatch, note_first):
+    root = str(tmp_path / "t")
+    frame = lambda *rows: spark.createDataFrame(list(rows), "v string, k string")
+    store.publish(frame(("old", "a"), ("old", "b")), root, ["k"])
+    with monkeypatch.context() as cut:
+        cut.setattr(store, "partition_dirs", lambda *_: (_ for _ in ()).throw(OSError("cut short")))
+        with pytest.raises(OSError):
+            store.replace_partitions(frame(("stale", "a")), root, ["k"])
+    if note_first:  # a version published by a writer that does not know the note
+        with monkeypatch.context() as other:
+            other.setattr(store, "drop_swap", lambda *_: None)
+            store.publish(frame(("new", "a"), ("new", "b")), root, ["k"])
+    else:
+        store.publish(frame(("new", "a"), ("new", "b")), root, ["k"])
+    store.replace_partitions(frame(("newer", "b")), root, ["k"])
+    assert rows_of(store.read_table(spark, root)) == [("new", "a"), ("newer", "b")]
