@@ -44,9 +44,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the benchmark's passages; one that has no other word goes."""
     marked = decontam.mark(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
-    clean = decontam.removed(marked).where((F.size("spans") == 0) | (decontam.n_hit() < F.col("n_words")))
-    length = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return clean.withColumn("n_chars", length).select(*COLUMNS)
+    clean = marked.where((F.size("spans") == 0) | (decontam.n_hit() < F.col("n_words")))
+    length = F.when(F.size("spans") > 0, F.length("cleaned").cast("long")).otherwise(F.col("n_chars"))
+    return clean.withColumns({"text": F.col("cleaned"), "n_chars": length}).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ def fold(column: str, parts: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % parts, F.lit(-1))
 
 
-def rounds(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def rounds(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices whose texts hold about ``limit`` bytes; a longer text is a slice of its own."""
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
@@ -43,6 +43,7 @@ def rounds(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
             held += size
         if start < batch.num_rows:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # the worker stays for later tasks
 
 
 def extended(docs: DataFrame, ddl: str) -> tuple[DataFrame, StructType]:

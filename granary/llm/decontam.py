@@ -211,19 +211,21 @@ def blocks(benchmark: DataFrame, item_column: str, text_column: str, size: int)
         yield block
 
 
-ADDED = "n_words long, spans array<struct<begin:long,end:long>>, items array<string>"
+ADDED = "n_words long, spans array<struct<begin:long,end:long>>, items array<string>, cleaned string"
 SPAN = pa.struct([("begin", pa.int64()), ("end", pa.int64())])
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id",
          item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows with ``n_words``, ``spans`` (of hit words, the end excluded) and ``items`` (ids as sorted strings)."""
+    """The rows with ``n_words``, ``spans`` (of hit words, the end excluded), ``items`` (ids as sorted strings) and
+    ``cleaned``, the text without the spans; columns of these names are replaced."""
     kept, _ = extended(docs, ADDED)
     columns = kept.columns
     out = kept.withColumns({
         "n_words": F.lit(None).cast("long"),
         "spans": F.array().cast("array<struct<begin:long,end:long>>"),
         "items": F.array().cast("array<string>"),
+        "cleaned": F.lit(None).cast("string"),
     })
     searched = False
     for block in blocks(benchmark, item_column, item_text, block_bytes):
@@ -246,9 +248,12 @@ def _pass(df: DataFrame, windows: Windows, columns: list[str], text_column: str)
                 for (_, new, hits), old, listed in zip(found, *(batch.column(len(columns) + i).to_pylist() for i in (1, 2)), strict=True):
                     spans.append([{"begin": b, "end": e} for b, e in merged([*new, *((s["begin"], s["end"]) for s in old)])])
                     items.append(sorted({*listed, *(own.items[i] for i in hits)}))
+                texts = batch.column(where)
+                if any(spans):
+                    texts = pa.array([cut(t, s) if s else t for t, s in zip(texts.to_pylist(), spans, strict=True)], pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[: len(columns)], pa.array([n for n, *_ in found], pa.int64()),
-                     pa.array(spans, pa.list_(SPAN)), pa.array(items, pa.list_(pa.string()))], names
+                     pa.array(spans, pa.list_(SPAN)), pa.array(items, pa.list_(pa.string())), texts], names
                 )
 
     return df.mapInArrow(run, schema)
@@ -259,32 +264,14 @@ def n_hit() -> Column:
     return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
 
 
-def cut(text: str, spans: list[tuple[int, int]]) -> str:
+def cut(text: str, spans: list[dict[str, int]]) -> str:
     """The text without the spans' words and what stands between them."""
     found = list(WORD.finditer(text.translate(LOWER)))
     out, at = [], 0
-    for begin, end in spans:
-        out.append(text[at : found[begin].start()])
-        at = found[end - 1].end()
+    for span in spans:
+        out.append(text[at : found[span["begin"]].start()])
+        at = found[span["end"] - 1].end()
     return "".join([*out, text[at:]])
 
 
 LOWER = {c: c + 32 for c in range(65, 91)}
-
-
-def removed(marked: DataFrame, text_column: str = "text") -> DataFrame:
-    """The rows with their spans cut out of the text; the columns of ``mark`` stay."""
-    names = marked.columns
-    where, spans = names.index(text_column), names.index("spans")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [
-                cut(t, [(s["begin"], s["end"]) for s in found]) if found else t
-                for t, found in zip(batch.column(where).to_pylist(), batch.column(spans).to_pylist(), strict=True)
-            ]
-            columns = list(batch.columns)
-            columns[where] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    return marked.mapInArrow(run, marked.schema)

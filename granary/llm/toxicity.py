@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from granary.llm.common import extended, numbered, rounds
+from granary.llm.common import extended, numbered, rounds, written
 
 #: The bound of the labelled sample, in texts, and of the candidate entries that the driver compares.
 SAMPLE, CANDIDATES = 20_000, 10_000
@@ -42,8 +42,8 @@ WORD = re.compile(r"[^\W\d_]+")
 OPENING, CLOSING = set("\"“„«‹'‘”"), set("\"”“»›'’")
 #: Words of speech in the four languages of the sample tables.
 SPEECH = frozenset("said says quote quoted called wrote reported sagte sagt zitat schrieb dit cite écrit dijo dice cita escribió".split())
-#: States and words that a worker remembers.
-REMEMBERED = 400_000
+#: Words and states that a worker remembers.
+REMEMBERED, STATES = 100_000, 20_000
 
 
 @dataclass
@@ -123,7 +123,7 @@ class Matcher:
         """Errors and number of the best entry that the word is, or is an inflection of."""
         if word in self.words:
             return self.words[word]
-        if len(self.words) > REMEMBERED or len(self.sets) > REMEMBERED:
+        if len(self.words) > REMEMBERED or len(self.sets) > STATES:
             self._forget()
         state, best = self.start, None
         for letter in word:
@@ -312,6 +312,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     """
     rows = sample(docs, labels, id_column, text_column, label_column, size)
     rows = rows.mapInArrow(_with_copy_key, "label int, text string, copy long").dropDuplicates(["label", "copy"]).select("label", "text")
+    rows = written(rows, "toxic-sample")  # read several times from here on
     counts = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
     prior = (toxic + 0.5) / (toxic + clean + 1) if toxic or clean else 0.0

@@ -216,8 +216,9 @@ def test_decontamination_against_plain_search(spark, window, block):
     marked = decontam.mark(docs, bench, window=window, block_bytes=block)
     got = {r.doc_id: (r.n_words, r.h, r["items"]) for r in marked.withColumn("h", decontam.n_hit()).collect()}
     assert [got[i] for i in range(len(texts))] == plain_hits(texts, items, window)
-    for r in decontam.removed(marked).collect():
-        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r.text or "").translate(LOWER))
+    for r in marked.collect():
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r.cleaned or "").translate(LOWER))
+        assert r.spans or r.cleaned == r.text
         assert len(words) == r.n_words - sum(s.end - s.begin for s in r.spans)
 
 
