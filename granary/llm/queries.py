@@ -17,6 +17,34 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: CRC-32 by its table of 256 remainders, ranks within sources, and runs of the interleaved order.
+OP1_SQL = """
+WITH RECURSIVE steps AS (
+    SELECT i AS b, i AS c, 0 AS k FROM range(256) t(i)
+    UNION ALL
+    SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+remainders AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8),
+docs AS (
+    SELECT doc_id, source, coalesce(octet_length(encode(text)), 0) + 1 AS size,
+        md5(concat_ws(':', 'mixture', CAST(doc_id AS VARCHAR))) AS draw,
+        xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+            list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS text_crc32
+    FROM documents, remainders),
+ranked AS (
+    SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY draw, doc_id NULLS FIRST, text_crc32 NULLS FIRST, size) - 1)
+        / (2.0 * count(*) OVER (PARTITION BY source)) AS fraction
+    FROM docs),
+placed AS (
+    SELECT *, row_number() OVER (ORDER BY fraction, draw, source NULLS FIRST, doc_id NULLS FIRST, text_crc32 NULLS FIRST, size) - 1 AS p,
+        count(*) OVER () AS n
+    FROM ranked)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p * 8 // n AS INTEGER) AS shard,
+    p - (p * 8 // n * n + 7) // 8 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM placed
+"""
+
+
 def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model, counts = lm.fit(docs.where(fold("doc_id", 7) != 2).select("text"))
@@ -149,4 +177,4 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_lm": op2_lm, "op3_neighbours": op3_neighbours, "op5_chat": op5_chat, "op1_sharding": op1_sharding, "op7_licenses": op7_licenses, "op4_decontam": op4_decontam, "op6_toxicity": op6_toxicity, "op8_bpe": op8_bpe, "op9_simhash": op9_simhash, "op10_langid": op10_langid}
-ORACLE: dict[str, str] = {"op4_decontam": OP4_SQL, "op5_chat": OP5_SQL}
+ORACLE: dict[str, str] = {"op1_sharding": OP1_SQL, "op4_decontam": OP4_SQL, "op5_chat": OP5_SQL}

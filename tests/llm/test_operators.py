@@ -57,7 +57,7 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-@pytest.mark.parametrize("name", ["op4_decontam", "op5_chat"])
+@pytest.mark.parametrize("name", ["op1_sharding", "op4_decontam", "op5_chat"])
 def test_sql(spark, name):
     assert differences(spark, connect(SF), name, SF) == []
 
