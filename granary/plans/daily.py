@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import DEFAULT_TYPE_NAMES, replaced_day
@@ -41,6 +41,7 @@ class LoadResult:
 
 
 PARTITION = "load_partition"
+FAILED = "_failed"  # names of the values of a row that do not fit their type
 BOUNDS = "BOUNDS"  # upper bounds of a day-partitioned target, kept beside its data
 
 
@@ -75,7 +76,9 @@ def run_load(
     """Load one archived delivery.
 
     Reads the declared count and schema, compares the schema with the registry, casts the
-    rows, brings the target to its next state and checks the loaded count.
+    rows and counts them; a count that is not the declared one is an error and leaves the target as
+    it was. Then the target is brought to its next state. A merge takes any count, and
+    warns where the rows it inserted or updated are not as many as declared.
     """
     paths = landing.history_paths(history, etl_date, job.system_id, job.name)
     warnings: list[str] = []
@@ -94,63 +97,63 @@ def run_load(
         raise ValueError(f"{job.table} is not registered but its target exists")
 
     text_schema = schema.spark_schema([(n, "varchar2", None) for n, _ in columns])
-    rows = landing.read_landing(spark, paths["txt"], text_schema)
-    typed = schema.cast_to_target(rows, columns, job.type_names)
+    rows = landing.read_landing(spark, paths["txt"], text_schema, corrupt=True)
+    typed = schema.cast_to_target(rows, columns, job.type_names, failed=FAILED)
     day = F.expr(job.day).cast("string") if job.day else etl_date
     for row in declared:
         if row.comment:
             typed = typed.withMetadata(row.column_name, {"comment": row.comment})
-    src = loads.with_audit(typed, job.system_id, day)
 
+    # the text is parsed and its rows numbered only once, whatever is read from them below
+    delivery = f"{root}/delivery"
+    staged = loads.with_audit(typed, job.system_id, day)
+    store.write_target(staged, delivery, mode="overwrite")
+    staged = spark.read.schema(staged.schema).orc(delivery)
+    found = staged.agg(
+        F.count("*").alias("n"), F.count_if(F.size(FAILED) > 0).alias("bad"), F.count(landing.CORRUPT).alias("odd")
+    ).first()
+    src = staged.drop(FAILED, landing.CORRUPT)
+    loaded = found.n
+    if found.bad:
+        warnings.append(f"{found.bad} rows hold values that do not fit their type")
+    if found.odd:
+        warnings.append(f"{found.odd} lines have another number of fields")
     if job.load_type in ("merge", "update"):
         key = [row.column_name for row in declared if row.is_key]
         if list(job.keys) != key:
             warnings.append(f"load key {list(job.keys)} is not the declared key {key}")
-        # read more than once below, so the text is parsed and numbered only once
-        delivery = f"{root}/delivery"
-        store.write_target(src, delivery, mode="overwrite")
-        src = spark.read.schema(src.schema).orc(delivery)
+    if job.load_type != "merge" and loaded != expected_rows:
+        # nothing is changed by a delivery that is not whole
+        files.delete(spark, delivery)
+        return LoadResult(expected_rows, loaded, "error", tuple(warnings))
+
     if job.load_type == "merge":
         schema.require_unique(src, job.keys)
+        if exists:
+            newer = store.read_table(spark, root).where(F.col(loads.ETL_DATE) > etl_date)
+            loaded -= keyed_join(src, newer.select(*job.keys), job.keys, "left_semi").count()
     size_mb = files.total_bytes(spark, paths["txt"]) / 1024 / 1024 / layout.COMPRESSION_RATIO
-    seen = Observation()
-    counted = src.observe(seen, F.count(F.lit(1)).alias("n"))
     by_day = files.exists(spark, f"{root}/{BOUNDS}")
     if job.load_type == "add" and not exists:
-        _first_days(job, src, counted, etl_date, root, size_mb)
+        _first_days(job, src, etl_date, root, size_mb)
     elif job.load_type == "add":
-        _append_days(job, src, counted, etl_date, root, size_mb)
+        _append_days(job, src, etl_date, root, size_mb)
     elif not exists:
-        store.publish(counted, root, n_files=int(size_mb // job.bucket_mb) + 1)
+        store.publish(src, root, n_files=int(size_mb // job.bucket_mb) + 1)
     elif job.load_type == "update" and by_day:
         _update_days(job, src, etl_date, root, size_mb)
     else:
         tgt = _wide_enough(store.read_table(spark, root), src).select(*src.columns)
-        rows_in = counted if job.load_type == "full" else src
-        state = loads.apply_load(
-            rows_in, tgt, job.load_type, etl_date, job.keys, partitioned=by_day
-        )
+        state = loads.apply_load(src, tgt, job.load_type, etl_date, job.keys, partitioned=by_day)
         if by_day:
             bounds = _bounds_for(job, etl_date, root, size_mb, spark)
             store.publish(_labelled(state, bounds), root, [PARTITION])
         else:
             store.publish(state, root)
-    if job.load_type in ("merge", "update"):
-        loaded = src.count()
-    else:
-        loaded = seen.get["n"] if size_mb else 0
-
-    if job.load_type in ("merge", "update"):
-        files.delete(spark, delivery)
-
-    if loaded == expected_rows:
-        status = "success"
-    elif job.load_type == "merge":
-        status = "success"
+    files.delete(spark, delivery)
+    if loaded != expected_rows:
         warnings.append(f"declared {expected_rows} rows, loaded {loaded}")
-    else:
-        status = "error"
-    return LoadResult(expected_rows, loaded, status, tuple(warnings))
+    return LoadResult(expected_rows, loaded, "success", tuple(warnings))
 
 
 def _wide_enough(tgt: DataFrame, src: DataFrame) -> DataFrame:
@@ -159,7 +162,7 @@ def _wide_enough(tgt: DataFrame, src: DataFrame) -> DataFrame:
 
 
 def _first_days(
-    job: LoadJob, src: DataFrame, counted: DataFrame, etl_date: str, root: str, size_mb: float
+    job: LoadJob, src: DataFrame, etl_date: str, root: str, size_mb: float
 ) -> None:
     """Create the day-partitioned target: pack its days, keep the bounds, write once."""
     spark = src.sparkSession
@@ -173,7 +176,7 @@ def _first_days(
         day = replaced_day(etl_date, "T-2")
         bounds = [(f"partition_{day}", (day,))]
     files.write_small(spark, f"{root}/{BOUNDS}", json.dumps(bounds))
-    store.publish(_labelled(counted, bounds), root, [PARTITION])
+    store.publish(_labelled(src, bounds), root, [PARTITION])
 
 
 def _bounds_for(
@@ -208,7 +211,7 @@ def _labelled(df: DataFrame, bounds: Sequence[tuple]) -> DataFrame:
 
 
 def _append_days(
-    job: LoadJob, src: DataFrame, counted: DataFrame, etl_date: str, root: str, size_mb: float
+    job: LoadJob, src: DataFrame, etl_date: str, root: str, size_mb: float
 ) -> None:
     """Append to a day-partitioned target, rewriting only partitions that lose or gain rows."""
     spark = src.sparkSession
@@ -216,8 +219,8 @@ def _append_days(
     bounds = _bounds_for(job, etl_date, root, size_mb, spark)
     gone = replaced_day(etl_date, job.def_etl_date)
     home = next((name for name, (upper,) in bounds if gone < upper), None)
-    new = _labelled(counted, bounds)
-    gaining = _labelled(src, bounds).select(PARTITION).distinct().collect()
+    new = _labelled(src, bounds)
+    gaining = new.select(PARTITION).distinct().collect()
     touched = sorted({row[PARTITION] for row in gaining} | ({home} if home else set()))
     held = store.read_table(spark, root).where(F.col(PARTITION).isin(touched))
     held = _wide_enough(held, new).select(*new.columns)

@@ -165,7 +165,7 @@ def write_target(spark, sf_dir):
 def split_text(spark, sf_dir):
     path = files.shared_dir(spark, "split")
     bundles.write_delimited(table(spark, sf_dir, "orders"), f"{path}/whole")
-    bundles.split_text(spark, f"{path}/whole", f"{path}/pieces", 110_000_000)
+    bundles.split_text(spark, f"{path}/whole", f"{path}/pieces", 20_000)
     return spark.read.text(f"{path}/pieces")
 
 

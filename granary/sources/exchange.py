@@ -106,14 +106,10 @@ def split_text(spark: SparkSession, src: str, dst: str, max_bytes: int) -> None:
         "spark.sql.files.openCostInBytes": "0",
         "spark.sql.files.minPartitionNum": "1",
     }
-    before = {key: spark.conf.get(key, None) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        spark.read.text(src).write.mode("overwrite").text(dst)
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    own = spark.newSession()  # other queries keep their own settings
+    for key, value in settings.items():
+        own.conf.set(key, value)
+    own.read.text(src).write.mode("overwrite").text(dst)
 
 
 def split_records(df: DataFrame, dst: str, max_records: int) -> None:

@@ -239,3 +239,21 @@ def test_exchange_of_odd_partition_values(spark, tmp_path):
         for _ in range(2):
             transfer.import_table(spark, bundle, dst, ["k", "m"])
             assert rows_of(store.read_table(spark, dst)) == sorted(rows, key=repr)
+
+
+def test_a_wrong_count_leaves_the_old_state(zone):
+    zone.load("20240101", ["1#&d#&a"], load_type="full")
+    got = zone.load("20240102", ["2#&d#&b"], count=7, load_type="full")
+    assert (got.status, got.loaded) == ("error", 1) and zone.rows() == [(1, "a", "20240101")]
+
+
+def test_bad_values_and_odd_lines_are_counted(zone):
+    got = zone.load("20240101", ["1#&d#&a", "x#&d#&b", "3#&d#&c#&more", "4"], load_type="full")
+    assert got.status == "success"
+    assert got.warnings == ("1 rows hold values that do not fit their type", "2 lines have another number of fields")
+
+
+def test_stale_rows_of_a_merge_warn(zone):
+    zone.load("20240105", ["1#&d#&a", "2#&d#&b"], load_type="merge", keys=["k"])
+    got = zone.load("20240102", ["1#&d#&late", "3#&d#&c"], load_type="merge", keys=["k"])
+    assert (got.loaded, got.warnings) == (1, ("declared 2 rows, loaded 1",))
