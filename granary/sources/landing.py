@@ -14,9 +14,11 @@ from granary.sources import files
 SEPARATOR = "#&"
 CORRUPT = "_corrupt_record"
 
-# Fixed pattern: <root>/<day>/<SYSTEM>/<name>.<kind>, in history one or two directories deeper.
-BUNDLE_PATH = r"^.*?/(\d{8})/([^/]+)/(?:[^/]+/)?(?:data/)?([^/]+)\.(txt|SQL|END)$"
-PARTS = "\u0001"
+# Fixed values: <root>/<day>/<SYSTEM>/<name>.<kind>, in history one or two directories deeper,
+# of which the inner one is then called data.
+KINDS = r"[^/]\.(?:txt|SQL|END)$"
+DAY = r"^\d{8}$"
+DATA = "data"
 
 
 def landing_options(sep: str = SEPARATOR, encoding: str = "UTF-8") -> dict[str, str]:
@@ -50,13 +52,29 @@ def read_landing(
 
 def bundle_files(listing: DataFrame) -> DataFrame:
     """Delivery day, system, name and kind of each listed file; other files are dropped."""
-    parts = F.split(
-        F.regexp_replace("path", BUNDLE_PATH, PARTS.join(["$1", "$2", "$3", "$4"])), PARTS
+
+    def part(back: int) -> Column:
+        return F.try_element_at("_parts", F.lit(-back))
+
+    def is_day(back: int) -> Column:
+        return (F.size("_parts") > back) & part(back).rlike(DAY) & (part(back - 1) != "")
+
+    # the outermost directory that can be the day
+    depth = F.when(is_day(5) & (part(2) == DATA) & (part(3) != ""), 5).when(is_day(4) & (part(2) != ""), 4).when(is_day(3), 3)
+    found = (
+        listing.where(F.col("path").rlike(KINDS))
+        .withColumn("_parts", F.split("path", "/"))
+        .withColumn("_depth", depth)
+        .where(F.col("_depth").isNotNull())
     )
-    names = ["etl_date", "system_id", "name", "kind"]
-    found = listing.withColumn("_parts", parts).where(F.size("_parts") == len(names))
+    file = part(1)
+    kind = F.substring_index(file, ".", -1)
     return found.select(
-        *listing.columns, *[F.col("_parts")[i].alias(name) for i, name in enumerate(names)]
+        *listing.columns,
+        F.element_at("_parts", -F.col("_depth")).alias("etl_date"),
+        F.element_at("_parts", 1 - F.col("_depth")).alias("system_id"),
+        F.substring(file, F.lit(1), F.length(file) - 1 - F.length(kind)).alias("name"),
+        kind.alias("kind"),
     )
 
 
