@@ -38,7 +38,8 @@ ERRORS = 1
 FUZZY_FROM, STRAY = 5, 0.0005
 #: Words around a hit that are its context, and what a quoted hit counts.
 WINDOW, QUOTED = 6, 0.25
-WORD = re.compile(r"[^\W\d_]+")
+#: Letters and digits, as digits stand in for letters in misspelled terms.
+WORD = re.compile(r"[^\W_]+")
 OPENING, CLOSING = set("\"“„«‹'‘”"), set("\"”“»›'’")
 #: Words of speech in the four languages of the sample tables.
 SPEECH = frozenset("said says quote quoted called wrote reported sagte sagt zitat schrieb dit cite écrit dijo dice cita escribió".split())

@@ -290,7 +290,7 @@ def test_toxicity_held_out(spark):
 def test_toxicity_context_and_odd_rows(spark, odd, empty):
     model = toxicity.Lexicon([("idiot", False, 1), ("lowei", True, 0)], [-4.0, 3.0, 3.0, 3.0, 3.0, 0.0], 0.1)
     score = lambda t: [r.toxicity for r in toxicity.score(spark.createDataFrame([(t,)], "text string"), model).collect()][0]
-    assert score("you idiot") > 0.5 and score("you idi0t ididot") < score("you ididot idiot") and score("you idjot") > 0.5
+    assert score("you idiot") > 0.5 and score("you idi0t") > 0.5 and score("you 1diot") > 0.5 and score("you idjot") > 0.5
     assert score("a loweixyz here") > 0.5 and score("nothing") < 0.5
     assert score('he called it "idiot" there') < 0.5 < score("he is an idiot there")
     got = toxicity.score(odd.withColumn("toxicity", F.lit("x")), model).toPandas()
