@@ -38,6 +38,7 @@ class LoadResult:
     loaded: int
     status: str
     warnings: tuple[str, ...]
+    columns: tuple[tuple[str, str], ...] = ()  # as declared, for ``register``
 
 
 PARTITION = "load_partition"
@@ -53,6 +54,17 @@ def registered_columns(registry: DataFrame | None, table: str) -> list[tuple[str
     return [(row.column_name, row.column_type) for row in rows]
 
 
+def register(registry: DataFrame, table: str, columns: Sequence[tuple[str, str]]) -> DataFrame:
+    """The registry with the columns of a table's latest delivery, for the caller to store.
+
+    It holds a row per column of each table, so only as many rows are made here as the table is wide.
+    """
+    rows = [(table, pos, name, kind) for pos, (name, kind) in enumerate(columns)]
+    new = registry.sparkSession.createDataFrame(rows, "table_name string, pos int, column_name string, column_type string")
+    others = registry.where(~F.col("table_name").eqNullSafe(F.lit(table)))
+    return others.unionByName(new, allowMissingColumns=True).select(*registry.columns)
+
+
 def check_growth(
     declared: Sequence[tuple[str, str]], registered: Sequence[tuple[str, str]], table: str
 ) -> list[str]:
@@ -88,6 +100,8 @@ def run_load(
     expected_rows = -1 if expected is None else expected.n
     ddl = spark.read.text(paths["sql"], wholetext=True)
     declared = schema.extract_schema(ddl).orderBy("pos").collect()
+    if not declared:
+        raise ValueError(f"{job.table}: the declaration names no column")
     columns = [(row.column_name, row.column_type) for row in declared]
     added = check_growth(columns, registered_columns(registry, job.table), job.table)
     if added:
@@ -153,7 +167,7 @@ def run_load(
     files.delete(spark, delivery)
     if loaded != expected_rows:
         warnings.append(f"declared {expected_rows} rows, loaded {loaded}")
-    return LoadResult(expected_rows, loaded, "success", tuple(warnings))
+    return LoadResult(expected_rows, loaded, "success", tuple(warnings), tuple(columns))
 
 
 def _wide_enough(tgt: DataFrame, src: DataFrame) -> DataFrame:

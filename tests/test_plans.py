@@ -257,3 +257,20 @@ def test_stale_rows_of_a_merge_warn(zone):
     zone.load("20240105", ["1#&d#&a", "2#&d#&b"], load_type="merge", keys=["k"])
     got = zone.load("20240102", ["1#&d#&late", "3#&d#&c"], load_type="merge", keys=["k"])
     assert (got.loaded, got.warnings) == (1, ("declared 2 rows, loaded 1",))
+
+
+def test_registry_grows_with_accepted_loads(zone, spark):
+    known = registry(spark).where("false")
+    got = zone.load("20240101", ["1#&d#&a"], registry=known, load_type="full")
+    known = daily.register(known, "sales.t", got.columns)
+    assert zone.load("20240102", ["1#&d#&a"], registry=known, load_type="full").warnings == ()
+    wider = DDL.replace("v varchar2(20),", "v varchar2(20),\n  w varchar2(5),")
+    got = zone.load("20240103", ["1#&d#&a#&w"], registry=known, ddl=wider, load_type="full")
+    assert got.warnings == ("columns added: w",)
+    known = daily.register(known, "sales.t", got.columns)
+    assert zone.load("20240104", ["1#&d#&a#&w"], registry=known, ddl=wider, load_type="full").warnings == ()
+
+
+def test_a_declaration_without_columns_fails(zone):
+    with pytest.raises(ValueError, match="names no column"):
+        zone.load("20240101", ["1"], ddl="create table t (k number);", load_type="full")
