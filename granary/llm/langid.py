@@ -29,7 +29,7 @@ from granary.llm.common import extended, numbered, rounds
 
 UNKNOWN = "und"
 #: The bound of the labelled sample: texts for each language, and bytes of each.
-SAMPLE_TEXTS, SAMPLE_BYTES = 256, 512
+SAMPLE_TEXTS, SAMPLE_BYTES, PARTS = 256, 512, 64
 BLOCK, LEVEL, SHORT = 1024, 6, 256
 LEAD = b" " * 200
 #: The smallest share by which the second-best total must exceed the best.
@@ -62,8 +62,11 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
     room = F.greatest(F.length("text") - size, F.lit(0)) + 1
     piece = F.substring("text", F.pmod(F.xxhash64("text"), room).cast("int") + 1, F.lit(size))
     picked = rows.select("lang", key.alias("key"), F.xxhash64("text").alias("tie"), piece.alias("piece"))
-    order = Window.partitionBy("lang").orderBy("key", "tie")
-    picked = picked.withColumn("place", F.row_number().over(order)).where(F.col("place") <= texts)
+    # first within parts of a language, so that no task ranks what all tasks send of one language
+    picked = picked.withColumn("part", F.pmod("key", F.lit(PARTS)))
+    for groups in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*groups).orderBy("key", "tie")
+        picked = picked.withColumn("place", F.row_number().over(order)).where(F.col("place") <= texts)
     out: dict[str, list[bytes]] = {}
     for row in picked.orderBy("lang", "place").collect():
         out.setdefault(row.lang, []).append(piece_of(row.piece, size))
