@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from granary.sources.files import shared_dir
 
-#: Upper case to lower case for A-Z alone; other letters keep their case.
-LOWER_TABLE = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Lower-cases A-Z and turns every byte outside 0-9, a-z and non-ASCII into a space.
 WORD_TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256)
@@ -34,7 +31,7 @@ def fold(column: str, parts: int) -> Column:
 def rounds(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices whose texts hold about ``limit`` bytes; a longer text is a slice of its own."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = held = 0
         for i, size in enumerate(sizes):
             if i > start and held + size > limit:
@@ -66,6 +63,6 @@ def encoded(column: pa.Array) -> list[bytes]:
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, written once to the folder that all executors share and read back from there."""
     spark = df.sparkSession
-    path = shared_dir(spark, f"{name}-{uuid.uuid4().hex[:8]}")
+    path = shared_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
