@@ -32,7 +32,7 @@ from granary.llm.common import written
 
 #: The bound of the sample that the trees are fitted on.
 SAMPLE = 16_384
-TREES, LEAF, PROBED, LEAST, NEAREST = 12, 256, 0.06, 48, 5
+TREES, LEAF, PROBED, LEAST, NEAREST = 12, 256, 0.08, 48, 5
 LEAF_ROWS = 4096
 SLACK = 1e-9
 
