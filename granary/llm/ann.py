@@ -6,7 +6,7 @@ down all trees at once, through one priority queue of the branches not taken, or
 distances from the planes on their wrong side, until it has reached the share ``probed`` of all leaves,
 and ``LEAST`` of them at least. Within each leaf the
 candidates are ranked by exact cosines in double precision, in blocks, and only a query's
-best few leave it.
+best few of all its leaves in a task leave that task.
 
 Leaves are dealt by tree and leaf and, where many vectors fall into one, by a salt, so no task holds
 more than about ``LEAF_ROWS`` of a leaf at a time. Of equal vectors only the ``k + 1`` of smallest id
@@ -35,6 +35,8 @@ SAMPLE = 16_384
 TREES, LEAF, PROBED, LEAST, NEAREST = 12, 256, 0.08, 48, 5
 LEAF_ROWS = 4096
 SLACK = 1e-9
+#: Candidates that a task holds before it cuts them down to each query's best.
+HELD = 400_000
 
 
 class Tree:
@@ -112,6 +114,20 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.array(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, width) if len(column) else np.zeros((0, width))
 
 
+def foremost(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of query, id and score the k best different ones of each query."""
+    query, ids, score = (np.concatenate([f[i] for f in found]) for i in range(3))
+    order = np.lexsort((ids, -score, query))
+    query, ids, score = query[order], ids[order], score[order]
+    other = np.ones(len(query), bool)
+    other[1:] = (query[1:] != query[:-1]) | (ids[1:] != ids[:-1]) | (score[1:] != score[:-1])
+    query, ids, score = query[other], ids[other], score[other]
+    begins = np.flatnonzero(np.concatenate(([True], query[1:] != query[:-1])))
+    place = np.arange(len(query)) - np.repeat(begins, np.diff(np.append(begins, len(query))))
+    kept = place < k
+    return query[kept], ids[kept], score[kept]
+
+
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     """``id, vec`` of the vectors that take part; floats stay floats, which are the same numbers as doubles."""
     single = vectors.schema[vector_column].dataType.simpleString() == "array<float>"
@@ -181,10 +197,13 @@ def _of_width(rows: DataFrame, width: int, queries: Column, k: int, trees: int,
                 )
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by cell, queries first: a query's best candidates of every block of its cell."""
+        """Rows sorted by cell, queries first: a query's best candidates of all the task's blocks."""
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
         cell, asked, asked_vec, block, block_vec = None, [], [], [], []
 
-        def best() -> Iterator[tuple[list[int], list[int], list[float]]]:
+        def best() -> None:
+            nonlocal size
             if not asked or not block:
                 return
             names, ids = np.array(asked), np.array(block)
@@ -199,20 +218,23 @@ def _of_width(rows: DataFrame, width: int, queries: Column, k: int, trees: int,
                 row += at
                 # summed in one fixed order, so that equal vectors have equal scores in every block
                 score = (q[row] * v[column]).sum(1) / (q_size[row] * v_size[column])
-                yield names[row].tolist(), ids[column].tolist(), score.tolist()
+                held.append((names[row], ids[column], score))
+                size += len(score)
 
-        def out(found: list) -> pa.RecordBatch:
-            columns = [[x for f in found for x in f[i]] for i in range(3)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], ["query_id", "id", "score"]
-            )
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], ["query_id", "id", "score"])
 
         for batch in batches:
-            found = []
             values = matrix(batch.column("vec"), width)
             for key, is_row, name, vec in zip(*(batch.column(c).to_pylist() for c in ("cell", "indexed", "id")), values, strict=True):
                 if key != cell:
-                    found += best()
+                    best()
+                    if size > HELD:
+                        held[:] = [foremost(held, k)]
+                        size = len(held[0][0])
+                        if size > HELD // 2:
+                            yield out()
+                            size = 0
                     cell, asked, asked_vec, block, block_vec = key, [], [], [], []
                 if not is_row:
                     asked.append(name)
@@ -221,10 +243,12 @@ def _of_width(rows: DataFrame, width: int, queries: Column, k: int, trees: int,
                     block.append(name)
                     block_vec.append(vec)
                     if len(block) >= LEAF_ROWS:
-                        found += best()
+                        best()
                         block, block_vec = [], []
-            yield out(found)
-        yield out(list(best()))
+        best()
+        if held:
+            held[:] = [foremost(held, k)]
+            yield out()
 
     kind = f"cell long, id long, vec {rows.schema['vec'].dataType.simpleString()}"
     salt = F.pmod(F.xxhash64("id", "vec"), F.lit(salts)).cast("int")
