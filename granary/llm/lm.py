@@ -11,10 +11,11 @@ and one that is not found g(h) p(w); g(h) is what the discounts and the bigrams
 leave over, and p(w) the add-one unigram model, from exact counts. Levels are rounded so that
 probabilities come out too small rather than too large.
 
-What is broadcast has a bound at every size of the corpus: stored are bigrams of at least the share
-``2 ** -GRAMS`` of all tokens, of which there are ``2 ** GRAMS`` at most, and words of at least
-the share ``2 ** -HOT``. All counts are taken over the whole training corpus before. The counts of
-other words are joined; no such word has more than that share, so no join key is hot.
+Every bigram is stored, also one that is seen once, at every size of the corpus, and nothing of the model is
+broadcast or collected. The filter lies in segments of about ``SEGMENT`` entries, whose number grows
+with the corpus. A slice of texts sends its distinct bigrams and words to the segments that hold them, packed by
+segment, and the levels and exact counts that come back meet the slice again: work and traffic
+grow in line with the input, and a hot word or context is asked for once a slice.
 
 Defined cases: a null text is an empty one, which is a single end token. Without training texts every
 token has probability 1. A text of any length is counted and scored whole, repeated rows and null ids
@@ -31,6 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -38,13 +40,13 @@ from granary.llm.common import SPACE_TABLE, encoded, rounds, written
 
 END = b"\n"
 SEED = 42
-#: Bounds: at most 2 ** 25 bigrams and 2 ** 20 words are broadcast.
-GRAMS, HOT = 25, 20
 #: The step of the logarithmic scale, the discount, bits for each level of an entry, and probes.
 BASE, DISCOUNT, BITS, PROBES = math.sqrt(2), 0.75, 10, 5
-#: Entries of one segment, tokens that a task counts at a time, and words that it remembers.
-SEGMENT, BUFFER, REMEMBERED = 1 << 20, 2_000_000, 200_000
+#: Entries of one segment, tokens that a task counts at a time, words that it remembers, and bytes of a slice of texts.
+SEGMENT, BUFFER, REMEMBERED, SLICE = 1 << 20, 2_000_000, 200_000, 4 << 20
 BIGRAM, CONTEXT, BACKOFF = 1, 2, 3
+#: What segments answer: levels of bigrams, levels of words as contexts, their back-off weights and exact counts.
+ANSWERS = ("bigram", "context", "backoff", "count")
 
 
 class Hashes(dict):
@@ -111,12 +113,12 @@ class Filter:
 
 @dataclass
 class Model:
-    """What scoring tasks get: the filter, the hot words' exact counts, and the corpus' totals."""
+    """The filter's segments as tables ``segment, bits``, of bigrams and of contexts, and the corpus' totals."""
 
-    filter: Filter
-    hot: np.ndarray
-    hot_counts: np.ndarray
-    least: int
+    grams: DataFrame
+    contexts: DataFrame
+    gram_segments: int
+    context_segments: int
     tokens: int
     types: int
 
@@ -151,23 +153,29 @@ def keys_of(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return before << np.uint64(32) | low
 
 
-def count_bigrams(texts: DataFrame, segments: int, least: int) -> DataFrame:
-    """``key, c`` of the bigrams that occur at least so often.
+def dealt(keys: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """The order of keys by segment, the segments, and where each begins and ends in that order."""
+    segment = (mix(keys) % np.uint64(count)).astype(np.int64)
+    order = np.argsort(segment, kind="stable")
+    own, starts = np.unique(segment[order], return_index=True)
+    return order, own, list(zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True)) if len(keys) else []
 
-    Tasks send sorted keys and their counts as packed arrays, one row for each segment of the keys;
-    a segment is counted whole in one group of about ``SEGMENT`` entries.
-    """
+
+def short(keys: np.ndarray) -> np.ndarray:
+    """32 bits of each bigram, by which its segment knows it: among 2 ** 20 entries one unseen bigram in 4,000 meets
+    another's, beside the filter's own share of about one in a hundred."""
+    return mix(keys ^ np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+
+
+def packed_bigrams(texts: DataFrame, segments: int) -> DataFrame:
+    """``segment, keys, counts``: tasks' sorted keys and their counts as packed arrays, one row for each segment of the keys."""
 
     def pack(keys: np.ndarray) -> pa.RecordBatch:
         found, counts = np.unique(keys, return_counts=True)
-        segment = (mix(found) % np.uint64(segments)).astype(np.int64)
-        order = np.argsort(segment, kind="stable")
-        found, counts, segment = found[order], counts[order], segment[order]
-        own, starts = np.unique(segment, return_index=True)
-        ends = [*starts[1:], len(found)]
+        order, own, cuts = dealt(found, segments)
+        found, counts = found[order], counts[order].astype(np.uint32)
         return pa.RecordBatch.from_arrays(
-            [pa.array(own, pa.int64()), pa.array([found[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary()),
-             pa.array([counts[a:b].astype(np.uint32).tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())],
+            [pa.array(own, pa.int64()), *(pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (found, counts))],
             ["segment", "keys", "counts"],
         )
 
@@ -185,149 +193,255 @@ def count_bigrams(texts: DataFrame, segments: int, least: int) -> DataFrame:
         if held:
             yield pack(np.concatenate(held))
 
+    return texts.mapInArrow(run, "segment long, keys binary, counts binary")
+
+
+def joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """Packed arrays one after another; nulls are passed over."""
+    return np.concatenate([np.empty(0, kind), *(np.frombuffer(x, kind) for x in column.to_pylist() if x is not None)])
+
+
+def summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order, and sums of each of the values."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+    return keys[starts], *(np.add.reduceat(x[order].astype(np.int64), starts) if len(keys) else x.astype(np.int64) for x in values)
+
+
+def count_bigrams(texts: DataFrame, segments: int, least: int) -> DataFrame:
+    """``key, c`` of the bigrams that occur at least so often; a segment is counted whole in one group."""
+
     def total(group: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(x, np.uint64) for x in group.column("keys").to_pylist()])
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in group.column("counts").to_pylist()])
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        sums = np.add.reduceat(counts[order].astype(np.int64), starts)
+        keys, sums = summed(joined(group.column("keys"), np.uint64), joined(group.column("counts"), np.uint32))
         kept = sums >= least
-        return pa.table({"key": pa.array(keys[starts][kept].view(np.int64)), "c": pa.array(sums[kept])})
+        return pa.table({"key": pa.array(keys[kept].view(np.int64)), "c": pa.array(sums[kept])})
+
+    return packed_bigrams(texts, segments).groupBy("segment").applyInArrow(total, "key long, c long")
+
 
-    packed = texts.mapInArrow(run, "segment long, keys binary, counts binary")
-    return packed.groupBy("segment").applyInArrow(total, "key long, c long")
+def count_levels(counts: np.ndarray) -> np.ndarray:
+    """Levels of counts on the logarithmic scale, rounded down."""
+    return 1 + np.floor(np.log(counts) / math.log(BASE) + 1e-9).astype(np.int64)
 
 
-def entries(bigrams: DataFrame, counts: DataFrame, least: int) -> DataFrame:
-    """``kind, key, level`` of the filter's entries."""
-    log = lambda x: F.log(x) / math.log(BASE)
-    level = lambda c: F.floor(log(c / F.lit(least)) + 1e-9)
-    context = F.shiftrightunsigned("key", 32)
-    grams = bigrams.select(F.lit(BIGRAM).alias("kind"), "key", (1 + level(F.col("c"))).alias("level"))
-    mass = bigrams.groupBy(context.alias("key")).agg(F.sum(F.col("c") - DISCOUNT).alias("mass"))
-    whole = counts.groupBy(F.xxhash64("token").bitwiseAND(F.lit(0xFFFFFFFF)).alias("key")).agg(F.sum("c").alias("c"))
-    contexts = mass.join(whole, "key")
-    rest = F.greatest(1 - F.col("mass") / F.col("c"), F.lit(1e-6))
-    backoff = contexts.select(F.lit(BACKOFF).alias("kind"), "key", F.ceil(-log(rest) - 1e-9).alias("level"))
-    sizes = contexts.select(F.lit(CONTEXT).alias("kind"), "key", (1 + level(F.col("c"))).alias("level"))
-    return grams.unionAll(backoff).unionAll(sizes).where("level > 0")
+def bits_of(names: np.ndarray, levels: np.ndarray) -> bytes:
+    """A segment of the filter: its entries, once for each level."""
+    size = -(-int(levels.sum()) * BITS // 8) * 8
+    bits = np.zeros(size, bool)
+    for level in range(1, int(levels.max(initial=0)) + 1):
+        own = names[levels >= level]
+        bits[places(own, level, np.full(len(own), size)).ravel().astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes() or b"\0"
 
 
 def build_filter(rows: DataFrame) -> Filter:
-    """The filter of ``kind, key, level``; each segment's bits are set in one task of bounded size."""
-    total = rows.agg(F.coalesce(F.sum("level"), F.lit(0))).first()[0]
-    count = max(1, math.ceil(total / SEGMENT))
+    """One segment of the rows ``kind, key, level``, which must be few."""
+    got = rows.select("kind", "key", "level").toArrow()
+    kinds, keys, levels = (got.column(i).to_numpy() for i in range(3))
+    names = np.concatenate([named(kind, keys[kinds == kind].view(np.uint64)) for kind in (BIGRAM, CONTEXT, BACKOFF)])
+    return Filter({0: bits_of(names, np.concatenate([levels[kinds == kind] for kind in (BIGRAM, CONTEXT, BACKOFF)]))}, 1)
+
+
+def bigram_segments(texts: DataFrame, segments: int, context_segments: int) -> DataFrame:
+    """``segment, bits`` of all bigrams, and for each segment of contexts what it is to add up: ``deal, keys, c, n``.
+
+    Counts are exact and whole in a segment; its bits are set where they were counted. Of each context it sends the sum
+    and the number of its bigrams, so a hot context is one entry of each segment.
+    """
+
+    def total(group: pa.Table) -> pa.Table:
+        keys, sums = summed(joined(group.column("keys"), np.uint64), joined(group.column("counts"), np.uint32))
+        bits = bits_of(named(BIGRAM, short(keys)), count_levels(sums))
+        contexts, c, n = summed(keys >> np.uint64(32), sums, np.ones(len(sums), np.int64))
+        order, own, cuts = dealt(contexts, context_segments)
+        parts = [x[order] for x in (contexts.astype(np.uint32), c.astype(np.uint64), n.astype(np.uint32))]
+        none = [None] * len(cuts)
+        return pa.table({
+            "segment": pa.array([group.column("segment")[0].as_py(), *none], pa.int64()),
+            "bits": pa.array([bits, *none], pa.binary()),
+            "deal": pa.array([None, *own.tolist()], pa.int64()),
+            **{name: pa.array([None, *(x[a:b].tobytes() for a, b in cuts)], pa.binary()) for name, x in zip(("keys", "c", "n"), parts, strict=True)},
+        })
+
+    done = packed_bigrams(texts, segments).groupBy("segment")
+    return done.applyInArrow(total, "segment long, bits binary, deal long, keys binary, c binary, n binary")
+
+
+def low(hashes: np.ndarray) -> np.ndarray:
+    return hashes & np.uint64(0xFFFFFFFF)
 
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def word_rows(counts: DataFrame, segments: int) -> DataFrame:
+    """``segment, h, c`` of words; those of one context key share a segment."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds = batch.column("kind").to_numpy()
-            names = np.zeros(len(kinds), np.uint64)
-            for kind in (BIGRAM, CONTEXT, BACKOFF):
-                own = kinds == kind
-                names[own] = named(kind, batch.column("key").to_numpy()[own].view(np.uint64))
-            segment = (names % np.uint64(count)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(segment), pa.array(names.view(np.int64)), batch.column("level")], ["segment", "name", "level"])
-
-    def build(group: pa.Table) -> pa.Table:
-        names, levels = group.column("name").to_numpy().view(np.uint64), group.column("level").to_numpy()
-        size = -(-int(levels.sum()) * BITS // 8) * 8
-        bits = np.zeros(size, bool)
-        for level in range(1, int(levels.max()) + 1):
-            own = names[levels >= level]
-            bits[places(own, level, np.full(len(own), size)).ravel().astype(np.int64)] = True
-        return pa.table({"segment": group.column("segment").slice(0, 1), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
-
-    spread = rows.mapInArrow(name, "segment long, name long, level long")
-    done = spread.groupBy("segment").applyInArrow(build, "segment long, bits binary")
-    return Filter({row.segment: bytes(row.bits) for row in done.collect()}, count)
+            segment = (mix(low(batch.column("h").to_numpy().view(np.uint64))) % np.uint64(segments)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(segment), batch.column("h"), batch.column("c")], ["segment", "h", "c"])
+
+    return counts.select(F.xxhash64("token").alias("h"), "c").mapInArrow(run, "segment long, h long, c long")
+
+
+def context_segments(parts: DataFrame, words: DataFrame) -> DataFrame:
+    """``segment, bits`` of contexts' counts and back-off weights."""
+
+    def build(key: tuple, own: pa.Table, group: pa.Table) -> pa.Table:
+        seen, c, n = summed(joined(own.column("keys"), np.uint32).astype(np.uint64), *(joined(own.column(x), k) for x, k in (("c", np.uint64), ("n", np.uint32))))
+        names, whole = summed(low(group.column("h").to_numpy().view(np.uint64)), group.column("c").to_numpy())
+        place = np.minimum(np.searchsorted(names, seen), max(0, len(names) - 1))
+        there = names[place] == seen if len(names) else np.zeros(len(seen), bool)
+        seen, c, n, whole = seen[there], c[there], n[there], whole[place[there]]
+        rest = np.maximum(1 - (c - DISCOUNT * n) / whole, 1e-6)
+        backoff = np.ceil(-np.log(rest) / math.log(BASE) - 1e-9).astype(np.int64)
+        bits = bits_of(np.concatenate((named(CONTEXT, seen), named(BACKOFF, seen))), np.concatenate((count_levels(whole), backoff)))
+        return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([bits], pa.binary())})
+
+    sent = parts.where("deal IS NOT NULL").select(F.col("deal").alias("segment"), "keys", "c", "n")
+    return sent.groupBy("segment").cogroup(words.groupBy("segment")).applyInArrow(build, "segment long, bits binary")
 
 
 def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     """The model of the column ``text``, and the table ``token, c`` of all exact counts."""
     counts = written(count_words(texts), "lm-words")
     tokens, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    hot = counts.where(F.col("c") * (1 << HOT) >= F.lit(tokens)).select(F.xxhash64("token").alias("h"), "c").toArrow()
-    hashes, values = hot.column("h").to_numpy().view(np.uint64), hot.column("c").to_numpy()
-    order = np.argsort(hashes)
-    least = max(1, -(-tokens >> GRAMS))
-    bigrams = written(count_bigrams(texts, max(1, -(-tokens // SEGMENT)), least), "lm-bigrams")
-    rows = written(entries(bigrams, counts, least), "lm-entries")
-    return Model(build_filter(rows), hashes[order], values[order], least, tokens, types), counts
-
-
-def score_slice(cut: list[list[bytes]], hashes: Hashes, model: Model) -> dict[str, list]:
-    """Of each text: sums over hot words and found bigrams, and the words whose counts are still to be joined."""
-    lengths = np.array([len(w) for w in cut])
-    owner = np.repeat(np.arange(len(cut)), lengths)
-    flat = [w for words in cut for w in words]
-    values = np.fromiter(map(hashes.__getitem__, flat), np.uint64, len(flat))
-    distinct, first, which = np.unique(values, return_index=True, return_inverse=True)
-    place = np.minimum(np.searchsorted(model.hot, distinct), max(0, len(model.hot) - 1))
-    is_hot = model.hot[place] == distinct if len(model.hot) else np.zeros(len(distinct), bool)
-    count = np.where(is_hot, model.hot_counts[place], 0) if len(model.hot) else np.zeros(len(distinct), np.int64)
-    total = model.tokens + model.types + 1
-    hot, log_count = is_hot[which], np.log10(count + 1.0)[which]
-
-    keys, where = np.unique(keys_of(values, np.cumsum(lengths) - lengths), return_inverse=True)
-    contexts, context_of = np.unique(keys >> np.uint64(32), return_inverse=True)
-    size = model.least * BASE ** model.filter.levels(CONTEXT, contexts).astype(float)
-    known = model.filter.levels(CONTEXT, contexts) > 0
-    left = BASE ** -model.filter.levels(BACKOFF, contexts).astype(float)
-    levels = model.filter.levels(BIGRAM, keys)
-    found = (levels > 0) & known[context_of]
-    seen = np.where(found, np.maximum(model.least * BASE ** (levels - 1.0) - DISCOUNT, 0) / size[context_of], 0.0)
-    seen, left, found = seen[where], left[context_of][where], found[where]
-    found &= seen > 0
-    unigram = np.where(hot, (count + 1.0)[which] / total, 0.0)
-    with np.errstate(divide="ignore"):
-        # a rare word's unigram share is left out beside a bigram that was found, and added by the join otherwise
-        own = np.where(found, np.log10(np.minimum(1.0, seen + left * unigram)), np.log10(left) + np.where(hot, log_count - math.log10(total), 0.0))
-    add = lambda x: np.bincount(owner, weights=x, minlength=len(cut))
-    rare = ~hot
-    pairs, index, times = np.unique(owner[rare] << 32 | which[rare], return_inverse=True, return_counts=True)
-    open_times = np.bincount(index, weights=~found[rare], minlength=len(pairs)).astype(np.int64)
-    offsets = np.searchsorted(pairs >> 32, np.arange(len(cut) + 1))
-    tokens = pa.array([flat[i] for i in first[pairs & 0xFFFFFFFF].tolist()], pa.binary())
-    rows = pa.StructArray.from_arrays([tokens, pa.array(times, pa.int64()), pa.array(open_times, pa.int64())], ["token", "n", "m"])
-    return {
-        "n_tokens": pa.array(lengths, pa.int64()),
-        "known": pa.array(add(hot).astype(np.int64)),
-        "base": pa.array(add(np.where(hot, log_count, 0.0))),
-        "model": pa.array(add(own)),
-        "rare": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rows),
-    }
+    # a segment of contexts gets a part from each segment of bigrams; four of these for one keep it small
+    segments, few = max(1, -(-tokens // SEGMENT)), max(1, -(-tokens // (4 * SEGMENT)))
+    parts = written(bigram_segments(texts, segments, few), "lm-bigrams")
+    contexts = written(context_segments(parts, word_rows(counts, few)), "lm-contexts")
+    return Model(parts.where("segment IS NOT NULL").select("segment", "bits"), contexts, segments, few, tokens, types), counts
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``id, n_tokens, n_known, base_score, score`` of every text, in log10."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def slices_of(source: DataFrame) -> DataFrame:
+    """``slice, ids, lengths, words, tokens``: of each slice of the columns ``id, text`` the distinct words' hashes, and each token's place in them, by byte planes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, number = Hashes(), TaskContext.get().partitionId() << 32
+        for batch in rounds(batches, "text", SLICE):
+            cut = [words_of(t) for t in encoded(batch.column("text"))]
+            lengths = np.array([len(w) for w in cut], np.int64)
+            values = np.fromiter((hashes[w] for words in cut for w in words), np.uint64, int(lengths.sum()))
+            words, tokens, times = np.unique(values, return_inverse=True, return_counts=True)
+            # the most frequent first, so that most numbers are small
+            order = np.argsort(-times, kind="stable")
+            place = np.empty(len(order), "<u4")
+            place[order] = np.arange(len(order))
+            words, tokens = words[order], place[tokens].view(np.uint8).reshape(-1, 4).T
+            ids = pa.ListArray.from_arrays(pa.array([0, len(cut)], pa.int32()), pa.concat_arrays([batch.column("id")]))
+            planes = zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(tokens).tobytes())
+            packed = [pa.array([x], pa.binary()) for x in (lengths.tobytes(), words.tobytes(), planes)]
+            yield pa.RecordBatch.from_arrays([pa.array([number]), ids, *packed], ["slice", "ids", "lengths", "words", "tokens"])
+            number += 1
+
+    kind = source.schema["id"].dataType.simpleString()
+    return source.mapInArrow(run, f"slice long, ids array<{kind}>, lengths binary, words binary, tokens binary")
+
+
+def unpacked(lengths: bytes, words: bytes, tokens: bytes) -> tuple[np.ndarray, ...]:
+    """A slice's lengths, words and tokens, its distinct bigrams in order, and each token's place in them."""
+    lengths, words = np.frombuffer(lengths, np.int64), np.frombuffer(words, np.uint64)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(tokens), np.uint8).reshape(4, -1)
+    tokens = np.ascontiguousarray(planes.T).view("<u4").ravel()
+    keys, where = np.unique(keys_of(words[tokens], np.cumsum(lengths) - lengths), return_inverse=True)
+    return lengths, words, tokens, keys, where
+
+
+def requests(slices: DataFrame, segments: int, of_words: bool) -> DataFrame:
+    """``segment, slice, keys``: the words or bigrams that each slice asks each segment for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, number = Hashes(), TaskContext.get().partitionId() << 40
-        for batch in rounds(batches, "text", 2 << 20):
-            done = score_slice([words_of(t) for t in encoded(batch.column("text"))], hashes, shared.value)
-            rows = pa.array(np.arange(number, number + batch.num_rows))
-            number += batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column("id"), rows, *done.values()], ["id", "row", *done])
+        for batch in batches:
+            for i in range(batch.num_rows):
+                number, *packed = (batch.column(x)[i].as_py() for x in range(4))
+                keys = np.frombuffer(packed[1], np.uint64) if of_words else unpacked(*packed)[3]
+                order, own, cuts = dealt(low(keys) if of_words else keys, segments)
+                asked = keys[order] if of_words else short(keys[order]).astype(np.uint32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own), pa.array(np.full(len(own), number)), pa.array([asked[a:b].tobytes() for a, b in cuts], pa.binary())],
+                    ["segment", "slice", "keys"],
+                )
+
+    return slices.select("slice", "lengths", "words", "tokens").mapInArrow(run, "segment long, slice long, keys binary")
+
+
+def answers(group: pa.Table, width: int, found: list[tuple[str, np.ndarray]]) -> pa.Table:
+    """The group's requests, of keys of so many bytes, with what was found for them: a packed array for each column."""
+    ends = np.cumsum([len(x) // width for x in group.column("keys").to_pylist()], dtype=np.int64).tolist()
+    cuts = list(zip([0, *ends[:-1]], ends, strict=True))
+    packed = {name: pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for name, x in found}
+    none = pa.nulls(group.num_rows, pa.binary())
+    return pa.table({"slice": group.column("slice"), "segment": group.column("segment"), **{x: packed.get(x, none) for x in ANSWERS}})
+
+
+def answer_bigrams(asked: pa.Table, held: pa.Table) -> pa.Table:
+    bits = held.column("bits").to_pylist()
+    levels = Filter({0: bits[0]} if bits else {}, 1).levels(BIGRAM, joined(asked.column("keys"), np.uint32))
+    return answers(asked, 4, [("bigram", levels.astype(np.uint8))])
+
+
+def answer_words(asked: pa.Table, held: pa.Table) -> pa.Table:
+    """Words' exact counts, and their levels as contexts."""
+    hashes, (bits, c) = joined(asked.column("keys"), np.uint64), (held.column(x) for x in ("bits", "c"))
+    own = [x for x in bits.to_pylist() if x is not None]
+    segment = Filter({0: own[0]} if own else {}, 1)
+    is_word = np.asarray(c.is_valid())
+    names, sums = summed(held.column("h").filter(pa.array(is_word)).to_numpy().view(np.uint64), c.filter(pa.array(is_word)).to_numpy())
+    place = np.minimum(np.searchsorted(names, hashes), max(0, len(names) - 1))
+    count = np.where(names[place] == hashes, sums[place], 0) if len(names) else np.zeros(len(hashes), np.int64)
+    levels = [(name, segment.levels(kind, low(hashes)).astype(np.uint8)) for name, kind in (("context", CONTEXT), ("backoff", BACKOFF))]
+    return answers(asked, 8, [*levels, ("count", count)])
+
+
+def score_slice(lengths: np.ndarray, words: np.ndarray, tokens: np.ndarray, keys: np.ndarray, where: np.ndarray,
+                levels: np.ndarray, by_word: list[np.ndarray], total: int) -> list[np.ndarray]:
+    """Of each text: tokens, known ones, and the sums of log10 under the unigram and the bigram model."""
+    size, left, count = by_word
+    before = np.searchsorted(low(words)[by_low := np.argsort(low(words), kind="stable")], keys >> np.uint64(32))
+    # a text's first word follows an end, which is a word of every slice
+    context_of = by_low[before]
+    known = size[context_of] > 0
+    seen = np.maximum(BASE ** (levels - 1.0) - DISCOUNT, 0) / BASE ** size[context_of].astype(float)
+    seen = np.where((levels > 0) & known, seen, 0.0)
+    weight = BASE ** -left[context_of].astype(float)
+    share = (count + 1.0) / total
+    own = np.log10(np.minimum(1.0, seen[where] + weight[where] * share[tokens]))
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    add = lambda x: np.bincount(owner, weights=x, minlength=len(lengths))
+    return [lengths, add(count[tokens] > 0).astype(np.int64), add(np.log10(share)[tokens]), add(own)]
 
+
+def score(docs: DataFrame, model: Model, counts: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``id, n_tokens, n_known, base_score, score`` of every text, in log10."""
+    grams, few, total = model.gram_segments, model.context_segments, model.tokens + model.types + 1
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    slices = written(slices_of(source), "lm-slices")
     kind = source.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, row long, n_tokens long, known long, base double, model double, rare array<struct<token:binary,n:long,m:long>>"
-    partial = written(source.mapInArrow(run, schema), "lm-scores")
-    total = math.log10(model.tokens + model.types + 1)
-    rare = partial.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.n", "r.m").join(counts, "token", "left")
-    value = F.log10(F.coalesce("c", F.lit(0)) + 1.0)
-    sums = rare.groupBy("row").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("n") * value).alias("rare_base"),
-        F.sum(F.col("m") * (value - total)).alias("rare_model"),
+    schema = "slice long, segment long, " + ", ".join(f"{x} binary" for x in ANSWERS)
+    none = F.lit(None)
+    of_words = model.contexts.select("segment", "bits", none.cast("long").alias("h"), none.cast("long").alias("c")).unionAll(
+        word_rows(counts, few).select("segment", none.cast("binary").alias("bits"), "h", "c")
     )
-    none = F.lit(0.0)
-    return partial.drop("rare").join(sums, "row", "left").select(
-        F.col("id").alias(id_column),
-        "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        (F.col("base") + F.coalesce("rare_base", none) - F.col("n_tokens") * total).alias("base_score"),
-        (F.col("model") + F.coalesce("rare_model", none)).alias("score"),
+    found = [
+        requests(slices, n, words).groupBy("segment").cogroup(held.groupBy("segment")).applyInArrow(answer, schema)
+        for n, words, held, answer in ((grams, False, model.grams, answer_bigrams), (few, True, of_words, answer_words))
+    ]
+
+    def run(own: pa.Table, got: pa.Table) -> pa.Table:
+        ids, *packed = (own.column(x)[0] for x in ("ids", "lengths", "words", "tokens"))
+        parts = unpacked(*(x.as_py() for x in packed))
+        got = got.sort_by("segment")
+        by_key, by_word = (dealt(x, n)[0] for x, n in ((parts[3], grams), (low(parts[1]), few)))
+
+        def back(name: str, kind: type, order: np.ndarray) -> np.ndarray:
+            out = np.empty(len(order), np.int64)
+            out[order] = joined(got.column(name), kind)
+            return out
+
+        words = [back(name, kind, by_word) for name, kind in (("context", np.uint8), ("backoff", np.uint8), ("count", np.int64))]
+        done = score_slice(*parts, back("bigram", np.uint8, by_key), words, total)
+        return pa.table({"id": ids.values, **{x: pa.array(v) for x, v in zip(("n_tokens", "n_known", "base_score", "score"), done, strict=True)}})
+
+    scored = slices.groupBy("slice").cogroup(found[0].unionAll(found[1]).groupBy("slice")).applyInArrow(
+        run, f"id {kind}, n_tokens long, n_known long, base_score double, score double"
     )
+    return scored.withColumnRenamed("id", id_column)

@@ -142,6 +142,39 @@ def test_lm_bigram_counts_with_a_bound(spark):
         assert sorted(got.values()) == sorted(c for c in pairs.values() if c >= least)
 
 
+def test_lm_keeps_rare_bigrams_at_every_size(spark, monkeypatch):
+    monkeypatch.setattr(lm, "GRAMS", 3, raising=False)  # a share that would have cut bigrams of this corpus
+    monkeypatch.setattr(lm, "SEGMENT", 16)  # several segments
+    filler = ["the cat sat on the mat and the dog sat on the log"] * 40
+    phrases = [f"w{i} x{i} y{i} z{i}" for i in range(50)]
+    texts = filler + phrases
+    model, counts = lm.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    asked = [*phrases, filler[0], "z1 y2 x3 w4", "mat unseen"]
+    got = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(list(enumerate(asked)), "doc_id int, text string").repartition(5), model, counts).collect()}
+    words, pairs, follow = Counter(), Counter(), defaultdict(list)
+    for t in texts:
+        cut = lm_words(t)
+        words.update(cut)
+        pairs.update(zip(["\n", *cut], cut))
+    for (h, _), c in pairs.items():
+        follow[h].append(c)
+    total, log = sum(words.values()) + len(words) + 1, lambda x: math.log(x) / math.log(lm.BASE)
+    want = []
+    for t in asked:
+        cut, sum_ = lm_words(t), 0.0
+        for h, w in zip(["\n", *cut], cut):
+            c = pairs[h, w]
+            level = 1 + math.floor(log(c) + 1e-9) if c else 0
+            size = 1 + math.floor(log(words[h]) + 1e-9) if words[h] else 0
+            rest = max(1 - sum(x - lm.DISCOUNT for x in follow[h]) / words[h], 1e-6) if words[h] else 1.0
+            seen = max(lm.BASE ** (level - 1) - lm.DISCOUNT, 0) / lm.BASE**size if c else 0.0
+            sum_ += math.log10(min(1.0, seen + lm.BASE ** -math.ceil(-log(rest) - 1e-9) * (words[w] + 1) / total))
+        want.append(sum_)
+    near = [abs(got[i] - x) < 1e-6 for i, x in enumerate(want)]
+    assert np.mean(near) > 0.8  # the filter's false positives aside
+    assert model.gram_segments > 1 and model.context_segments > 1
+
+
 def test_lm_odd_rows(spark, odd, empty):
     for train in (odd, empty):
         model, counts = lm.fit(train.select("text"))
