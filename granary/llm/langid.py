@@ -6,8 +6,8 @@ against every dictionary, and the language whose blocks come out smallest in tot
 dictionary bears on all of a long text and not on its start alone. A text whose two best totals
 are nearly equal is *rejected*: it is no text in any one of the languages. Texts of less than
 ``SHORT`` bytes are searched for shorter matches, behind a run of spaces, as zstandard stores
-a tiny block uncompressed; of them, none is rejected for its margin, since sizes in whole
-bytes do not tell a narrow margin from a wide one there.
+a tiny block uncompressed; sizes in whole bytes are coarse there, so their margin is counted in
+bytes: they are rejected where no more than ``SHORT_MARGIN`` lies between the two best.
 
 Defined cases: a null text, an empty one and one without a letter have language ``und``, score 0 and
 are rejected; so has every text where no language was learned (an empty table, no labels). Equal
@@ -32,8 +32,9 @@ UNKNOWN = "und"
 SAMPLE_TEXTS, SAMPLE_BYTES, PARTS = 256, 512, 64
 BLOCK, LEVEL, SHORT = 1024, 6, 256
 LEAD = b" " * 200
-#: The smallest share by which the second-best total must exceed the best.
-MARGIN = 0.002
+#: The share, and in short texts the bytes, by which the second-best total must exceed the best. On a quarter of sf0.1 the
+#: narrowest of 2,389 longer documents had 0.0125; of 111 short ones eight had no byte and none had one.
+MARGIN, SHORT_MARGIN = 0.012, 1
 LETTER = re.compile(r"[^\W\d_]")
 #: ASCII but for letters becomes a space; other letters are non-ASCII bytes, which stay.
 LETTERS = bytes(c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
@@ -105,7 +106,7 @@ def verdict(languages: list[str], sizes: list[int], length: int, margin: float)
     order = sorted(range(len(sizes)), key=lambda i: (sizes[i], languages[i]))
     best = sizes[order[0]]
     score = 1.0 / float(np.exp2(np.clip((best - np.array(sizes, float)) * 8, -1000, 0)).sum())
-    narrow = length >= SHORT and len(order) > 1 and sizes[order[1]] - best <= margin * sizes[order[1]]
+    narrow = len(order) > 1 and sizes[order[1]] - best <= (margin * sizes[order[1]] if length >= SHORT else SHORT_MARGIN)
     return languages[order[0]], score, bool(narrow)
 
 

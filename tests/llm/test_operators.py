@@ -483,6 +483,26 @@ def test_language_held_out(spark):
     assert rows.rejected.mean() < 0.01
 
 
+def test_language_rejects_random_and_mixed_texts(spark):
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    learned = langid.fit(docs.where(fold("doc_id", 3) != 1))
+    sizes, draw = langid.Sizes(learned), random.Random(1)
+
+    def rejected(text: bytes) -> bool:
+        return langid.verdict(sizes.languages, sizes(text), len(text), langid.MARGIN)[2]
+
+    def noise(words: int) -> bytes:
+        return " ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(2, 9))) for _ in range(words)).encode()
+
+    assert np.mean([rejected(noise(200)) for _ in range(60)]) > 0.9
+    assert np.mean([rejected(noise(20)) for _ in range(60)]) > 0.5
+    long = [r.text for r in docs.where("length(text) > 2000").select("lang", "text").dropDuplicates(["lang"]).collect()]
+    cut = [langid.words_of(t).split() for t in long]
+    starts = [[draw.randrange(len(own) - 50) for own in cut] for _ in range(60)]
+    mixed = [b" ".join(w for own, a in zip(cut, at) for w in own[a : a + 50]) for at in starts]
+    assert np.mean([rejected(t) for t in mixed]) > 0.1
+
+
 def test_language_odd_rows(spark, odd, empty):
     learned = {"en": b"the house and the dog of the fox over " * 20, "fr": b"le chien et la maison de le renard sur " * 20}
     got = {(r.doc_id, r.text): r for r in langid.identify(odd.withColumn("lang_pred", F.lit(1)), learned).collect()}
