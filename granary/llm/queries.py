@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from granary.llm import ann, bpe, chat, decontam, langid, licenses, lm, search, sharding, simhash, toxicity
+from granary.llm import ann, bpe, chat, decontam, langid, licenses, lm, repair, search, sharding, simhash, toxicity
 from granary.llm.common import fold, table
 
 
@@ -207,6 +207,22 @@ FROM scored WHERE score > 0 QUALIFY rank <= 10
 """
 
 
+def damaged(said: DataFrame) -> DataFrame:
+    """Conversations with every kind of damage: turns lost, emptied, cut short, repeated or given to the user."""
+    words = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    harm = F.crc32(F.concat_ws(":", *words)) % 20
+    text, role = (F.coalesce(c, F.lit(" ")) for c in ("text", "role"))
+    text = F.when(harm == 1, "").when(harm == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    rows = said.where(harm != 0).select("conv_id", "turn", F.when(harm == 4, "user").otherwise(role).alias("role"), text.alias("text"),
+                                        F.explode(F.sequence(F.lit(0), F.when(harm == 3, 1).otherwise(0))).alias("copy"))
+    return rows.drop("copy")
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.summarised(said, damaged(said))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_lm": op2_lm,
@@ -219,6 +235,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_langid": op10_langid,
     "op12_search": op12_search,
+    "op13_repair": op13_repair,
 }
 #: The others' results depend on learned models, compression, fuzzy matching or merging, which SQL cannot express.
 ORACLE: dict[str, str] = {"op1_sharding": OP1_SQL, "op4_decontam": OP4_SQL, "op5_chat": OP5_SQL, "op12_search": OP12_SQL}
