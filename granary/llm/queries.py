@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from granary.llm import ann, bpe, chat, decontam, langid, licenses, lm, repair, search, sharding, simhash, toxicity
+from granary.llm import ann, bpe, chat, decontam, langid, licenses, lm, pii, repair, search, sharding, simhash, toxicity
 from granary.llm.common import fold, table
 
 
@@ -176,6 +176,25 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    base = F.filter("pii", lambda s: s["base"])
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, pii.KINDS),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("pii")).alias("spans"),
+    )
+
+
 def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -234,6 +253,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_simhash": op9_simhash,
     "op10_langid": op10_langid,
+    "op11_pii": op11_pii,
     "op12_search": op12_search,
     "op13_repair": op13_repair,
 }
