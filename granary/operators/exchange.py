@@ -74,6 +74,17 @@ def detect_changes(
     )
 
 
+def partition_changes(
+    inventory: DataFrame, listing: DataFrame, etl_date: str, keys: Sequence[str]
+) -> DataFrame:
+    """State of every partition that an earlier export told the far side of or that has files today.
+
+    One of the inventory without a file today, dropped or emptied, is ``missing``.
+    """
+    known = inventory.select(*keys).unionByName(listing.select(*keys))
+    return detect_changes(known, listing, etl_date, keys)
+
+
 def export_all(df: DataFrame) -> DataFrame:
     """Full unload: every row; the importing side truncates first."""
     return df
@@ -129,17 +140,18 @@ def manifest(
 def plan_export(
     changes: DataFrame, counts: DataFrame, predicates: DataFrame, table: str, schema_json: str,
     keys: Sequence[str] = ("partition_name",), name: Column | None = None, values: Column | None = None,
+    missing: str = MISSING,
 ) -> DataFrame:
     """Manifest of an automatic export.
 
     Changed partitions are replaced on the far side, empty ones truncated there, missing
-    ones reported; unchanged ones do not appear. ``counts`` has exported rows and
+    ones reported, or what ``missing`` says; unchanged ones do not appear. ``counts`` has exported rows and
     ``predicates`` the row predicate per partition, by ``keys`` in which NULL is a value.
     """
     action = (
         F.when(F.col("state") == CHANGED, "replace")
         .when(F.col("state") == EMPTY, "truncate")
-        .otherwise("missing")
+        .otherwise(missing)
     )
     rows = join_on(changes.where(F.col("state") != UNCHANGED), counts, keys, "left", null_safe=True)
     rows = join_on(rows, predicates, keys, "left", null_safe=True).fillna(0, ["row_count"])

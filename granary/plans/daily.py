@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -43,7 +42,7 @@ class LoadResult:
 
 PARTITION = "load_partition"
 FAILED = "_failed"  # names of the values of a row that do not fit their type
-BOUNDS = "BOUNDS"  # upper bounds of a day-partitioned target, kept beside its data
+BOUNDS = "bounds"  # note with the upper bounds of a day-partitioned target, published with its data
 
 
 def registered_columns(registry: DataFrame | None, table: str) -> list[tuple[str, str]]:
@@ -147,7 +146,7 @@ def run_load(
             newer = store.read_table(spark, root).where(F.col(loads.ETL_DATE) > etl_date)
             loaded -= keyed_join(src, newer.select(*job.keys), job.keys, "left_semi").count()
     size_mb = files.total_bytes(spark, paths["txt"]) / 1024 / 1024 / layout.COMPRESSION_RATIO
-    by_day = files.exists(spark, f"{root}/{BOUNDS}")
+    by_day = exists and BOUNDS in store.pointer(spark, root).get("notes", {})
     if job.load_type == "add" and not exists:
         _first_days(job, src, etl_date, root, size_mb)
     elif job.load_type == "add":
@@ -161,7 +160,7 @@ def run_load(
         state = loads.apply_load(src, tgt, job.load_type, etl_date, job.keys, partitioned=by_day)
         if by_day:
             bounds = _bounds_for(job, etl_date, root, size_mb, spark)
-            store.publish(_labelled(state, bounds), root, [PARTITION])
+            store.publish(_labelled(state, bounds), root, [PARTITION], notes={BOUNDS: bounds})
         else:
             store.publish(state, root)
     files.delete(spark, delivery)
@@ -189,18 +188,19 @@ def _first_days(
     if not bounds:  # an empty first delivery
         day = replaced_day(etl_date, "T-2")
         bounds = [(f"partition_{day}", (day,))]
-    files.write_small(spark, f"{root}/{BOUNDS}", json.dumps(bounds))
-    store.publish(_labelled(src, bounds), root, [PARTITION])
+    store.publish(_labelled(src, bounds), root, [PARTITION], notes={BOUNDS: bounds})
 
 
 def _bounds_for(
     job: LoadJob, etl_date: str, root: str, size_mb: float, spark: SparkSession
 ) -> list[tuple]:
-    """Bounds of a day-partitioned target; a day past the newest opens a partition."""
-    if not files.exists(spark, f"{root}/{BOUNDS}"):
+    """Bounds of a day-partitioned target; a day past the newest opens a partition.
+
+    They count once they are published with the rows that need them."""
+    notes = store.pointer(spark, root).get("notes", {})
+    if BOUNDS not in notes:
         raise ValueError(f"{job.table} is not partitioned by day")
-    text = files.read_small(spark, f"{root}/{BOUNDS}")
-    bounds = [(name, tuple(upper)) for name, upper in json.loads(text)]
+    bounds = [(name, tuple(upper)) for name, upper in notes[BOUNDS]]
     name, (end,) = bounds[-1]
     if etl_date < end:
         return bounds
@@ -214,7 +214,6 @@ def _bounds_for(
     )
     bound = layout.next_partition_bound(stats, etl_date, size_mb, job.bucket_mb).first()
     bounds.append((f"partition_{etl_date}", (bound.next_bound,)))
-    files.write_small(spark, f"{root}/{BOUNDS}", json.dumps(bounds))
     return bounds
 
 
@@ -240,7 +239,7 @@ def _append_days(
     held = _wide_enough(held, new).select(*new.columns)
     state = loads.load_add(new, held, loads.ETL_DATE, etl_date, job.def_etl_date)
     cleared = spark.createDataFrame([(name,) for name in touched], f"{PARTITION} string")
-    store.replace_partitions(state, root, [PARTITION], cleared=cleared)
+    store.replace_partitions(state, root, [PARTITION], cleared=cleared, notes={BOUNDS: bounds})
 
 
 def _update_days(
@@ -250,14 +249,15 @@ def _update_days(
     gain rows are rewritten."""
     spark = src.sparkSession
     store.finish_swap(spark, root)
-    new = _labelled(src, _bounds_for(job, etl_date, root, size_mb, spark))
+    bounds = _bounds_for(job, etl_date, root, size_mb, spark)
+    new = _labelled(src, bounds)
     tgt = _wide_enough(store.read_table(spark, root), new).select(*new.columns)
     keys = list(job.keys)
     losing = keyed_join(tgt, new.select(*keys), keys, "left_semi")
     touched = losing.select(PARTITION).unionByName(new.select(PARTITION)).distinct()
     held = listed_join(tgt, touched, [PARTITION], "left_semi")
     state = loads.load_update(new, held, keys)
-    store.replace_partitions(state, root, [PARTITION], cleared=touched)
+    store.replace_partitions(state, root, [PARTITION], cleared=touched, notes={BOUNDS: bounds})
 
 
 # Fixed value: characters of a message that the job log keeps.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.functions import day_of
+from granary.functions import day_of, join_fields
 from granary.operators import exchange, layout, ledger, loads, retention, schema
 from granary.operators.skew import join_on
 from granary.plans import transfer
@@ -137,6 +137,63 @@ def stream_landing(spark, sf_dir):
     return spark.read.orc(f"{work}/out").drop(arrivals.BATCH)
 
 
+def order_years(spark, sf_dir, path):
+    """Orders of every year as one text file each, not yet delivered, and their counts by year."""
+    orders = table(spark, sf_dir, "orders").withColumn("y", F.year("o_orderdate"))
+    lines = orders.select(join_fields(orders.drop("y"), landing.SEPARATOR).alias("value"), "y")
+    lines.repartition("y").write.partitionBy("y").text(f"{path}/aside")
+    return {row.y: row["count"] for row in orders.groupBy("y").count().collect()}
+
+
+def deliver(spark, path, year, **kinds):
+    """Put files of a year's delivery in place: a text for END and SQL, its lines for txt."""
+    base = f"{path}/in/{year}1231/CRM/ord{year}"
+    for kind, text in kinds.items():
+        if kind == "txt":
+            (part,) = [n for n in files.children(spark, f"{path}/aside/y={year}") if n.startswith("part-")]
+            files.move(spark, f"{path}/aside/y={year}/{part}", f"{base}.txt")
+        else:
+            files.write_small(spark, f"{base}.{kind}", text)
+
+
+DELIVERED_SQL = """
+WITH counted AS (SELECT *, year(o_orderdate) AS y, count(*) OVER (PARTITION BY year(o_orderdate)) AS n FROM orders)
+"""
+
+
+@query(DELIVERED_SQL + """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       y || '1231' AS etl_date, 'CRM' AS system_id, 'ord' || y AS name,
+       CASE WHEN y % 7 IN (2, 5) THEN -1 ELSE n END::INTEGER AS expected
+FROM counted WHERE y % 7 NOT IN (3, 6)
+""")
+def stream_deliveries(spark, sf_dir):
+    """Whole, late, partial, repeated and blank deliveries over three runs; each whole one is loaded once."""
+    schema = table(spark, sf_dir, "orders").schema
+    path = files.shared_dir(spark, "deliveries")
+    counts = order_years(spark, sf_dir, path)
+    files.write_small(spark, f"{path}/in/README", "landing")
+    files.write_small(spark, f"{path}/notes/README", "")
+    first = {0: ("txt", "SQL", "END"), 1: ("txt", "SQL"), 2: ("txt", "SQL", "blank"), 3: ("SQL", "END"), 4: ("txt", "SQL", "END"), 5: ("txt", "SQL"), 6: ("txt", "END")}
+    later = {1: ("END",), 4: ("again",), 5: ("blank",)}
+
+    def load(ready, batch_id):
+        arrivals.append_once(f"{path}/out")(arrivals.ready_rows(ready, schema), batch_id)
+
+    for run in (first, later, {}):
+        for year, n in counts.items():
+            for kind in run.get(year % 7, ()):
+                if kind == "again":
+                    base = f"{path}/in/{year}1231/CRM/ord{year}"
+                    files.write_small(spark, f"{base}/ord{year}.END", str(n))
+                else:
+                    deliver(spark, path, year, **({"END": ""} if kind == "blank" else {kind: str(n)}))
+        arrivals.note_blank_ends(spark, f"{path}/in", f"{path}/notes")
+        stream = arrivals.stream_deliveries(spark, f"{path}/in", f"{path}/notes")
+        arrivals.run_available(stream, f"{path}/checkpoint", arrivals.load_ready(f"{path}/receipts", load), "update")
+    return spark.read.orc(f"{path}/out").drop(arrivals.BATCH)
+
+
 JOINED_ORDERS_SQL = """
 SELECT concat_ws('#&', coalesce(CAST(o_orderkey AS VARCHAR), ''),
   coalesce(CAST(o_custkey AS VARCHAR), ''), coalesce(o_orderstatus, ''),
@@ -169,6 +226,35 @@ def split_text(spark, sf_dir):
     return spark.read.text(f"{path}/pieces")
 
 
+@query("SELECT doc_id, text, source FROM documents")
+def split_quoted(spark, sf_dir):
+    path = files.shared_dir(spark, "quoted")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    rows.write.option("escape", '"').option("quoteAll", "true").csv(f"{path}/whole")
+    bundles.split_quoted(spark, f"{path}/whole", f"{path}/pieces", 100_000)
+    reader = spark.read.schema(rows.schema).option("escape", '"').option("multiLine", "true").option("recursiveFileLookup", "true")
+    return reader.csv(f"{path}/pieces")
+
+
+@query(DELIVERED_SQL + """
+SELECT concat_ws('#&', coalesce(CAST(o_orderkey AS VARCHAR), ''),
+  coalesce(CAST(o_custkey AS VARCHAR), ''), coalesce(o_orderstatus, ''),
+  coalesce(CAST(o_totalprice AS VARCHAR), ''), coalesce(CAST(o_orderdate AS VARCHAR), ''),
+  coalesce(o_orderpriority, '')) AS value, y || '1231' AS etl_date, 'CRM' AS system_id, 'ord' || y AS name,
+  n::INTEGER AS expected, 'ddl ' || y AS declaration, n AS lines
+FROM counted
+""")
+def archive_deliveries(spark, sf_dir):
+    path = files.shared_dir(spark, "archive")
+    for year, n in order_years(spark, sf_dir, path).items():
+        deliver(spark, path, year, txt="", SQL=f"ddl {year}", END=str(n))
+    ready = landing.landing_manifest(files.list_files(spark, f"{path}/in"))
+    for _ in range(2):  # a repeated run changes nothing
+        landing.archive_deliveries(spark, ready, f"{path}/in", f"{path}/hist")
+    receipts = landing.archive_receipts(spark, f"{path}/hist").drop("digest")
+    return landing.archived_lines(spark, f"{path}/hist").join(receipts, landing.DELIVERY)
+
+
 @query("""
 SELECT unnest(string_split(text, chr(10))) AS value FROM documents
 """)
@@ -289,6 +375,50 @@ def import_table(spark, sf_dir):
     return store.read_table(spark, f"{path}/far")
 
 
+@query("""
+SELECT o_orderpriority AS partition_name,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'changed' WHEN '2-HIGH' THEN 'missing' WHEN '3-MEDIUM' THEN 'empty' ELSE 'unchanged' END AS state,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'replace' WHEN '2-HIGH' THEN 'truncate' WHEN '3-MEDIUM' THEN 'truncate' END AS action,
+       CASE o_orderpriority WHEN '1-URGENT' THEN count(*) WHEN '2-HIGH' THEN 0 WHEN '3-MEDIUM' THEN 0 END AS exported,
+       CASE WHEN o_orderpriority IN ('2-HIGH', '3-MEDIUM') THEN NULL ELSE count(*) END AS far_rows,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(sum(o_orderkey + 1) AS BIGINT)
+            WHEN o_orderpriority IN ('2-HIGH', '3-MEDIUM') THEN NULL ELSE CAST(sum(o_orderkey) AS BIGINT) END AS far_keys
+FROM orders GROUP BY o_orderpriority
+""")
+def export_inventory(spark, sf_dir):
+    """A changed, a dropped, an emptied and unchanged partitions, exported and imported."""
+    path = files.shared_dir(spark, "inventory")
+    key = "o_orderpriority"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", key)
+    near, far, out = f"{path}/table", f"{path}/far", f"{path}/out"
+
+    def exchange_once(mode, day):
+        transfer.export_table(spark, near, out, "s.orders", mode, day, [key])
+        transfer.import_table(spark, out, far, [key])
+
+    store.publish(orders, near, [key])
+    exchange_once("all", "20240101")
+    version = store.current_path(spark, near)
+    for name in ("3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"):
+        for part in files.children(spark, f"{version}/{key}={name}"):
+            files.set_modified(spark, f"{version}/{key}={name}/{part}", 1_000_000_000)
+            if name == "3-MEDIUM":
+                files.write_small(spark, f"{version}/{key}={name}/{part}", "")
+                files.set_modified(spark, f"{version}/{key}={name}/{part}", 1_000_000_000)
+    changed = orders.where(f"{key} = '1-URGENT'").withColumn("o_orderkey", F.col("o_orderkey") + 1)
+    dropped = spark.createDataFrame([("2-HIGH",)], f"{key} string")
+    store.replace_partitions(changed, near, [key], dropped)
+    states = transfer.table_changes(spark, near, "20200101", [key], orders.schema, store.read_table(spark, f"{out}/{bundles.INVENTORY}"))
+    states = states.select(F.col(key).alias("partition_name"), "state")
+    exchange_once("auto", "20200101")
+    plan = bundles.read_manifest(spark, out).select(
+        F.from_json("partition_values", f"{key} string")[key].alias("partition_name"), "action", F.col("row_count").alias("exported")
+    )
+    held = store.read_table(spark, far).groupBy(F.col(key).alias("partition_name"))
+    held = held.agg(F.count("*").alias("far_rows"), F.sum("o_orderkey").alias("far_keys"))
+    return states.join(plan, "partition_name", "full").join(held, "partition_name", "full")
+
+
 @query("""
 SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
 """)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from granary.functions import is_true
 from granary.operators import exchange as ops
 from granary.operators import schema
-from granary.operators.skew import listed_join
+from granary.operators.skew import fetched, listed_join
 from granary.sources import exchange as bundles
 from granary.sources import files, store
 
@@ -42,18 +42,25 @@ def directory_value(path: Column, key: str) -> Column:
 
 
 def table_changes(
-    spark: SparkSession, root: str, etl_date: str, keys: Sequence[str], schema: T.StructType
+    spark: SparkSession, root: str, etl_date: str, keys: Sequence[str], schema: T.StructType,
+    inventory: DataFrame | None = None,
 ) -> DataFrame:
-    """Change state of every partition of a table, by its values in ``keys``, or of the whole table."""
+    """Change state of every partition of a table, by its values in ``keys``, or of the whole table.
+
+    ``inventory`` has the partitions of the export before; those that are gone come out as missing.
+    """
     base = store.current_path(spark, root)
     listing = files.list_files(spark, base)
     if not keys:
         listing = listing.withColumn("partition_name", F.lit(ALL))
-        return ops.detect_changes(listing.select("partition_name"), listing, etl_date)
+        whole = spark.createDataFrame([(ALL,)], "partition_name string")
+        return ops.detect_changes(whole, listing, etl_date, present=whole)
     listing = listing.withColumns(
         {key: directory_value(F.col("path"), key).cast(schema[key].dataType) for key in keys}
     )
-    return ops.detect_changes(listing.select(*keys), listing, etl_date, keys)
+    if inventory is None:
+        inventory = listing
+    return ops.partition_changes(inventory, listing, etl_date, keys)
 
 
 def values_text(keys: Sequence[str]) -> Column:
@@ -78,9 +85,16 @@ def export_table(
     etl_date: str,
     partition_by: Sequence[str] = (),
     predicate: str | None = None,
+    previous: str | None = None,
 ) -> None:
     """Export a table: ``all`` of it, what changed (``auto``) or what a predicate selects
-    (``sql``)."""
+    (``sql``).
+
+    A bundle of a partitioned table keeps the list of its partitions. The next export compares it with the
+    partitions of its own day, so that those dropped or emptied since are truncated on the far side
+    too. ``previous`` is the bundle of the export before, where that is another one.
+    """
+    store.finish_swap(spark, root)  # files are listed
     rows = store.read_table(spark, root)
     schema_json = rows.schema.json()
     keys = list(partition_by)
@@ -97,27 +111,38 @@ def export_table(
             counts = counts.withColumn("partition_name", F.lit(ALL))
             return ops.manifest(counts, table, "delete_where", text, schema_json)
 
-        bundles.write_bundle(chosen, plan, bundle, keys)
+        bundles.write_bundle(chosen, plan, bundle, keys, mode)
         return
 
-    chosen = rows
-    changes = table_changes(spark, root, etl_date, keys, rows.schema)
+    known = f"{previous or bundle}/{bundles.INVENTORY}"
+    inventory = store.read_table(spark, known) if keys and store.table_exists(spark, known) else None
+    by = keys or ["partition_name"]
+    changes = table_changes(spark, root, etl_date, keys, rows.schema, inventory)
+    # taken once: which partitions to read, what to write in the manifest and the next inventory
+    changes = fetched(changes.select(*by, "state"), [*by, "state"])
+    held = changes.where(F.col("state").isin(ops.CHANGED, ops.UNCHANGED))
     if mode == "all":
-        changes = changes.withColumn("state", F.lit(ops.CHANGED))
-    elif keys:
-        chosen = ops.export_auto(rows, changes, keys)
-    elif changes.where(F.col("state") == ops.CHANGED).isEmpty():
+        here = F.col("state").isin(ops.CHANGED, ops.UNCHANGED) | F.lit(not keys)
+        changes = changes.withColumn("state", F.when(here, ops.CHANGED).otherwise(F.col("state")))
+    changed = changes.where(F.col("state") == ops.CHANGED)
+    chosen = ops.export_auto(rows, changed, keys) if keys else rows
+    if mode == "auto" and not keys and changed.isEmpty():
         chosen = rows.where("false")
+    nothing_left = bool(keys) and held.isEmpty()
 
     def plan(written: DataFrame) -> DataFrame:
-        by = keys or ["partition_name"]
         source = written if keys else written.withColumn("partition_name", F.lit(ALL))
         counts = source.groupBy(*by).agg(F.count("*").alias("row_count"))
         none = changes.select(*by, F.lit(None).cast("string").alias("predicate"))
         names = (partition_label(keys), values_text(keys)) if keys else ()
-        return ops.plan_export(changes, counts, none, table, schema_json, by, *names)
+        found = ops.plan_export(changes, counts, none, table, schema_json, by, *names, missing="truncate")
+        if not nothing_left:
+            return found
+        whole = spark.createDataFrame([(ALL, 0)], "partition_name string, row_count long")
+        cleared = ops.manifest(whole, table, "truncate", F.lit(None).cast("string"), schema_json)
+        return found.unionByName(cleared, allowMissingColumns=True)
 
-    bundles.write_bundle(chosen, plan, bundle, keys)
+    bundles.write_bundle(chosen, plan, bundle, keys, mode, held.select(*keys) if keys else None)
 
 
 def import_table(
@@ -136,11 +161,14 @@ def import_table(
     plan = bundles.read_manifest(spark, bundle)
     tgt = store.read_table(spark, root)
     agreed = schema.agreed_schema(staged.schema, tgt.schema, remove)
-    staged = schema.conform(staged, tgt.schema, remove)
-    tgt = schema.evolve_add_columns(tgt, agreed.fields[len(tgt.schema) :]).select(*agreed.names)
-    wheres = plan.where("action = 'delete_where'").select("predicate").distinct().collect()
-    if wheres:
-        predicates = [row.predicate for row in wheres]
+    staged = schema.conform(staged, tgt.schema, remove).select(*agreed.names)
+    # one row for each exported partition: its action, and its values or predicate
+    columns = ["partition_name", "action", "predicate", "partition_values"]
+    plan = fetched(plan.select(*columns), columns)
+    predicates = [row.predicate for row in plan.where("action = 'delete_where'").select("predicate").distinct().collect()]
+    whole = plan.where((F.col("partition_name") == ALL) & F.col("action").isin("replace", "truncate"))
+    if predicates:
+        tgt = schema.evolve_add_columns(tgt, agreed.fields[len(tgt.schema) :]).select(*agreed.names)
         if not keys:
             store.publish(ops.import_sql(staged, tgt, predicates), root)
             return
@@ -149,11 +177,11 @@ def import_table(
         touched = lost.select(*keys).union(staged.select(*keys)).distinct()
         held = listed_join(tgt, touched, keys, "left_semi").select(*agreed.names)
         store.replace_partitions(ops.import_sql(staged, held, predicates), root, keys, touched)
+    elif bundles.bundle_mode(spark, bundle) == ALL or not whole.isEmpty():
+        store.publish(staged, root, keys)  # the far side is truncated first
     elif keys:
-        listed = values_of(plan, keys, tgt.schema).where(F.col("action").isin("replace", "truncate"))
+        listed = fetched(values_of(plan, keys, tgt.schema).where(F.col("action").isin("replace", "truncate")), [*keys, "action"])
         if listed.isEmpty():
             return
         chosen = listed_join(staged, listed.where("action = 'replace'"), keys, "left_semi")
         store.replace_partitions(chosen.select(*agreed.names), root, keys, listed.select(*keys))
-    elif not plan.where(F.col("action").isin("replace", "truncate")).isEmpty():
-        store.publish(staged, root)

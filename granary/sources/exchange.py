@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.functions import join_fields
@@ -16,7 +17,7 @@ MANIFEST_SCHEMA = (
     "table_name string, partition_name string, action string, predicate string, "
     "schema_json string, row_count long, partition_values string"
 )
-MARKER, SCHEMA = "END", "SCHEMA"
+MARKER, SCHEMA, INVENTORY = "END", "SCHEMA", "inventory"
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "#&", compat: bool = False) -> None:
@@ -29,10 +30,14 @@ def write_bundle(
     manifest: Callable[[DataFrame], DataFrame],
     path: str,
     partition_by: Sequence[str] = (),
+    mode: str = "",
+    inventory: DataFrame | None = None,
 ) -> None:
     """Data, then manifest, then the ready marker, which an earlier run's is cleared for.
 
-    ``manifest`` is given the rows as written, so counting them does not select them again.
+    ``manifest`` is given the rows as written, so counting them does not select them again. ``inventory`` has
+    the partitions that the far side holds after an import; it is kept as a table of its own and
+    published last, so an export that is cut short is repeated against the old one.
     """
     spark = df.sparkSession
     files.delete(spark, f"{path}/{MARKER}")
@@ -42,13 +47,20 @@ def write_bundle(
     # one row per exported partition
     manifest(written).repartition(1).write.mode("overwrite").json(f"{path}/manifest")
     files.write_small(spark, f"{path}/{SCHEMA}", json.dumps(schema.jsonValue()))
-    files.write_small(spark, f"{path}/{MARKER}", "success")
+    files.write_small(spark, f"{path}/{MARKER}", f"success {mode}".strip())
+    if inventory is not None:
+        store.publish(inventory, f"{path}/{INVENTORY}", n_files=1)  # one row for each partition
 
 
 def bundle_ready(spark: SparkSession, path: str) -> bool:
     return files.exists(spark, f"{path}/{MARKER}")
 
 
+def bundle_mode(spark: SparkSession, path: str) -> str:
+    """How a bundle was exported: ``all``, ``auto`` or ``sql``."""
+    return files.read_small(spark, f"{path}/{MARKER}").removeprefix("success").strip()
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     if not bundle_ready(spark, path):
         raise ValueError(f"bundle {path} is not complete")
@@ -112,6 +124,42 @@ def split_text(spark: SparkSession, src: str, dst: str, max_bytes: int) -> None:
     own.read.text(src).write.mode("overwrite").text(dst)
 
 
+def split_quoted(spark: SparkSession, src: str, dst: str, max_bytes: int, quote: str = '"') -> None:
+    """Cut delimited files into pieces that end at the first line end past ``max_bytes`` that is outside quotes.
+
+    Byte ranges are read as lines in parallel. The quotes of each range say, summed up over the ranges before it, whether it
+    begins inside quotes; then every line knows whether a record begins with it, and goes to the range that
+    its record begins in. Each piece is a file below ``dst`` that parses alone. A quote inside quotes is doubled.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(max_bytes))
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    place = ["file", "start"]
+    lines = own.read.text(src).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"),
+        (F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))).alias("quotes"),
+    )
+    # a range is read by one task, so no window holds more than max_bytes and a line
+    inside = Window.partitionBy(*place).orderBy("at")
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumn("odd", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1)
+    ranges = lines.groupBy(*place).agg(
+        (F.sum("quotes") % 2).alias("left"), F.bool_or("odd").alias("some_odd"), F.bool_or(~F.col("odd")).alias("some_even")
+    )
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    opened = F.coalesce(F.sum("left").over(earlier), F.lit(0)) % 2 == 1
+    ranges = ranges.withColumn("opened", opened)
+    begun = F.when(F.when(F.col("opened"), F.col("some_odd")).otherwise(F.col("some_even")), F.col("start"))
+    ranges = ranges.withColumn("carried", F.last(begun, ignorenulls=True).over(earlier)).select(*place, "opened", "carried")
+    rows = lines.join(ranges, place)
+    seen = F.max(F.col("odd") == F.col("opened")).over(inside)
+    piece = F.concat_ws("-", F.md5("file"), F.lpad(F.when(seen, F.col("start")).otherwise(F.col("carried")).cast("string"), 15, "0"))
+    pieces = rows.withColumn("piece", piece).repartition("piece").sortWithinPartitions("piece", "start", "at")
+    pieces.select("value", "piece").write.mode("overwrite").partitionBy("piece").text(dst)
+
+
 def split_records(df: DataFrame, dst: str, max_records: int) -> None:
     """Delimited files of at most ``max_records`` records, never cut inside one."""
     df.write.mode("overwrite").option("maxRecordsPerFile", max_records).csv(dst)

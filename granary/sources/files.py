@@ -70,6 +70,11 @@ def write_small(spark: SparkSession, path: str, text: str) -> None:
     context.rename(_path(spark, aside), _path(spark, path), options)
 
 
+def set_modified(spark: SparkSession, path: str, seconds: int) -> None:
+    """Give a file the modification time of its source, as a copy that keeps times does."""
+    _fs(spark, path).setTimes(_path(spark, path), seconds * 1000, -1)
+
+
 def read_small(spark: SparkSession, path: str) -> str:
     """Text of a marker or pointer file."""
     stream = _fs(spark, path).open(_path(spark, path))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.functions.columns import as_column
+from granary.operators.skew import keyed_join
 from granary.sources import files
 
 SEPARATOR = "#&"
@@ -162,6 +163,51 @@ def archive_landing(spark: SparkSession, ready: DataFrame, current: str, history
     return moved
 
 
+DELIVERY = ["etl_date", "system_id", "name"]
+
+
+def archive_deliveries(spark: SparkSession, ready: DataFrame, current: str, archive: str) -> None:
+    """Copy the lines of ready deliveries to dated archive partitions, then write a receipt for each.
+
+    Tasks read and write the lines; a partition is replaced as a whole, so a repeated run or task changes nothing.
+    A delivery is archived once its receipt is there: its declared count and declaration, the lines found in the
+    archive and their digest, which does not depend on their order.
+    """
+    keys = ready.where("status = 'ready'").select(*DELIVERY)
+
+    def files_of(pattern: str) -> DataFrame:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+        found = bundle_files(reader.load(current).select("path", F.col("_metadata.file_path").alias("file")))
+        return found.join(keys, DELIVERY, "left_semi").select("file", *DELIVERY)
+
+    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(current)
+    lines = text.select("value", F.col("_metadata.file_path").alias("file"))
+    wanted = keyed_join(lines, files_of("*.txt"), ["file"], "inner").select("value", *DELIVERY)
+    writer = wanted.hint("rebalance", *DELIVERY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*DELIVERY).orc(f"{archive}/lines")
+    held = archived_lines(spark, archive).join(keys, DELIVERY, "left_semi").groupBy(*DELIVERY)
+    counts = held.agg(F.count("*").alias("lines"), content_digest("value"))
+    ends = read_expected_counts(spark, current)
+    scripts = read_declarations(spark, current).withColumnRenamed("value", "declaration")
+    receipts = keys.join(ends, DELIVERY).join(scripts, DELIVERY).join(counts, DELIVERY, "left").fillna(0, ["lines"])
+    receipts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*DELIVERY).orc(f"{archive}/receipts")
+
+
+def archived_lines(spark: SparkSession, archive: str) -> DataFrame:
+    return spark.read.schema("value string, etl_date string, system_id string, name string").orc(f"{archive}/lines")
+
+
+def archive_receipts(spark: SparkSession, archive: str) -> DataFrame:
+    """One row for each archived delivery."""
+    schema = "expected int, declaration string, lines long, digest decimal(38,0), etl_date string, system_id string, name string"
+    return spark.read.schema(schema).orc(f"{archive}/receipts")
+
+
+def content_digest(*columns: str) -> Column:
+    """Sum of row hashes: equal for equal rows in any order and any split, and of parts the sum."""
+    return F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).cast("decimal(38,0)").alias("digest")
+
+
 def history_paths(history: str, etl_date: str, system_id: str, name: str) -> dict[str, str]:
     """Where an archived delivery's files are."""
     base = f"{history}/{etl_date}/{system_id}/{name}"

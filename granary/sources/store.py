@@ -1,15 +1,17 @@
 """Target tables on a path: ORC in versioned directories with a small pointer file.
 
 A new state is written beside the current one and becomes visible by one rename of the
-pointer, so a reader, a failed job or a re-run never meets half a table. Partitioned tables
-replace single partitions inside their current version, by one rename each: there a reader that
-is under way may miss files, and sees old and new partitions side by side until the swap is through.
+pointer, so a reader, a failed job or a re-run never meets half a table. Replacing partitions is such
+a state too: the new rows are staged, the pointer names the stage and from then on readers take them
+in place of the old partitions. The engine's dynamic partition overwrite then brings them into the
+version; a run cut short there is carried out again, from the stage, by the next writer.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from pyspark.sql import types as T
 from granary.operators.skew import join_on, listed_join
 from granary.sources import files
 
-POINTER, PENDING = "CURRENT", "PENDING"
+POINTER, STAGE = "CURRENT", "stage-"
 
 
 def table_exists(spark: SparkSession, root: str) -> bool:
@@ -26,12 +28,12 @@ def table_exists(spark: SparkSession, root: str) -> bool:
 
 
 def pointer(spark: SparkSession, root: str) -> dict:
-    """Version and schema of the table as it stands."""
+    """Version and schema of the table as it stands, a stage that is not yet part of the version, and notes."""
     return json.loads(files.read_small(spark, f"{root}/{POINTER}"))
 
 
-def set_pointer(spark: SparkSession, root: str, version: str, schema: T.StructType) -> None:
-    note = {"version": version, "schema": schema.jsonValue()}
+def set_pointer(spark: SparkSession, root: str, version: str, schema: T.StructType, **rest: object) -> None:
+    note = {"version": version, "schema": schema.jsonValue(), **{k: v for k, v in rest.items() if v is not None}}
     files.write_small(spark, f"{root}/{POINTER}", json.dumps(note))
 
 
@@ -65,22 +67,23 @@ def write_target(
 
 
 def publish(
-    df: DataFrame, root: str, partition_by: Sequence[str] = (), n_files: int | None = None
+    df: DataFrame, root: str, partition_by: Sequence[str] = (), n_files: int | None = None,
+    notes: Mapping[str, object] | None = None,
 ) -> str:
-    """Make ``df`` the table's new state. It may read the table itself.
+    """Make ``df`` the table's new state. It may read the table itself. ``notes`` are kept with the pointer.
 
     The version before stays for readers that are under way; older ones are deleted.
     """
     spark = df.sparkSession
-    versions = [name for name in files.children(spark, root) if name.startswith("v")]
-    now = current_path(spark, root).rsplit("/", 1)[1] if table_exists(spark, root) else None
+    held = files.children(spark, root)
+    versions = [name for name in held if name.startswith("v")]
+    now = pointer(spark, root)["version"] if POINTER in held else None
     number = 1 + max([int(name[1:]) for name in versions], default=0)
     name = f"v{number:08d}"
     write_target(df, f"{root}/{name}", partition_by, n_files)
-    set_pointer(spark, root, name, stored_schema(df, partition_by))
-    drop_swap(spark, root)  # it was meant for the version before
-    for old in versions:
-        if old != now:
+    set_pointer(spark, root, name, stored_schema(df, partition_by), notes=notes)
+    for old in held:  # a stage was meant for the version before
+        if old.startswith(STAGE) or old in versions and old != now:
             files.delete(spark, f"{root}/{old}")
     return f"{root}/{name}"
 
@@ -99,78 +102,75 @@ def read_table(
     now = pointer(spark, root)
     schema = T.StructType.fromJson(now["schema"])
     df = spark.read.schema(schema).orc(f"{root}/{now['version']}")
+    if "stage" in now:
+        staged, touched = _staged(spark, root, now)
+        df = listed_join(df, touched, now["by"], "left_anti").unionByName(staged)
     if predicate:
         df = df.where(predicate)
     return df.select(*columns) if columns else df
 
 
+def _staged(spark: SparkSession, root: str, now: dict) -> tuple[DataFrame, DataFrame]:
+    """Rows waiting for the version, and the partitions that they replace or that are cleared."""
+    schema = T.StructType.fromJson(now["schema"])
+    keys = T.StructType([schema[key] for key in now["by"]])
+    stage = f"{root}/{now['stage']}"
+    return spark.read.schema(schema).orc(f"{stage}/data"), spark.read.schema(keys).parquet(f"{stage}/touched")
+
+
 def replace_partitions(
-    df: DataFrame, root: str, partition_by: Sequence[str], cleared: DataFrame | None = None
+    df: DataFrame, root: str, partition_by: Sequence[str], cleared: DataFrame | None = None,
+    notes: Mapping[str, object] | None = None,
 ) -> None:
     """Replace only the partitions that occur in ``df``; drop ``cleared`` ones without rows.
 
-    ``df`` is first written aside, so it may read the table. A note of the pending swap is
-    left until it is through; a later call finishes a swap that was cut short.
+    ``df`` may read the table. The new state is there, for readers, with the pointer's rename, and
+    becomes part of the version after it.
     """
     spark = df.sparkSession
     keys = list(partition_by)
     if not table_exists(spark, root):
-        publish(df, root, keys)
+        publish(df, root, keys, notes=notes)
         return
     finish_swap(spark, root)
-    aside = f"{root}/aside"
-    write_target(df, aside, keys, mode="overwrite")
+    for name in files.children(spark, root):
+        if name.startswith(STAGE):  # of a run that was cut short before it counted
+            files.delete(spark, f"{root}/{name}")
+    stage = f"{STAGE}{uuid.uuid4().hex}"
+    write_target(df, f"{root}/{stage}/data", keys)
+    schema = stored_schema(df, keys)
+    filled = spark.read.schema(schema).orc(f"{root}/{stage}/data").select(*keys).distinct()
     gone = []
     if cleared is not None:
-        filled = spark.read.schema(df.schema).orc(aside).select(*keys).distinct()
         emptied = join_on(cleared.select(*keys).distinct(), filled, keys, "left_anti", True)
+        filled = filled.unionByName(emptied)
         held = listed_join(read_table(spark, root), emptied, keys, "left_semi")
         where = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
         names = [F.element_at(F.split(where, "/"), i - 1 - len(keys)) for i in range(len(keys))]
         gone = [row.dir for row in held.select(F.concat_ws("/", *names).alias("dir")).distinct().collect()]
-    version = pointer(spark, root)["version"]
-    note = {"version": version, "gone": gone, "schema": stored_schema(df, keys).jsonValue()}
-    files.write_small(spark, f"{root}/{PENDING}", json.dumps(note))
+    filled.write.parquet(f"{root}/{stage}/touched")
+    now = pointer(spark, root)
+    known = T.StructType.fromJson(now["schema"])
+    # a delivery may bring columns; it never loses any
+    wider = schema if set(schema.names) - set(known.names) else known
+    kept = {**now.get("notes", {}), **(notes or {})} or None
+    set_pointer(spark, root, now["version"], wider, notes=kept, stage=stage, by=keys, gone=gone)
     finish_swap(spark, root)
 
 
 def finish_swap(spark: SparkSession, root: str) -> None:
-    """Carry out the pending partition swap, if there is one: partition directories are
-    renamed into place one by one. A swap made for another version than the current one is void."""
-    if not files.exists(spark, f"{root}/{PENDING}"):
-        return
-    note = json.loads(files.read_small(spark, f"{root}/{PENDING}"))
+    """Make staged partitions part of the version, if there are any. Doing it again changes nothing."""
     now = pointer(spark, root)
-    if note.get("version") != now["version"]:
-        drop_swap(spark, root)
+    if "stage" not in now:
         return
-    target = f"{root}/{now['version']}"
-    for directory in partition_dirs(spark, f"{root}/aside"):
-        files.move(spark, f"{root}/aside/{directory}", f"{target}/{directory}")
-    for directory in note["gone"]:
-        files.delete(spark, f"{target}/{directory}")
-    known = T.StructType.fromJson(now["schema"])
-    staged = T.StructType.fromJson(note["schema"])
-    if set(staged.names) - set(known.names):
-        set_pointer(spark, root, now["version"], staged)
-    drop_swap(spark, root)
-
-
-def drop_swap(spark: SparkSession, root: str) -> None:
-    files.delete(spark, f"{root}/{PENDING}")
-    files.delete(spark, f"{root}/aside")
-
-
-def partition_dirs(spark: SparkSession, base: str, below: str = "") -> list[str]:
-    """Innermost ``key=value`` directories of a partitioned directory."""
-    here = [n for n in files.children(spark, f"{base}/{below}".rstrip("/")) if "=" in n]
-    if not here:
-        return [below] if below else []
-    return [
-        leaf
-        for name in here
-        for leaf in partition_dirs(spark, base, f"{below}/{name}".lstrip("/"))
-    ]
+    version = f"{root}/{now['version']}"
+    staged, _ = _staged(spark, root, now)
+    writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*now["by"]).orc(version)
+    for directory in now["gone"]:  # partitions without rows, which an overwrite cannot name
+        files.delete(spark, f"{version}/{directory}")
+    set_pointer(spark, root, now["version"], T.StructType.fromJson(now["schema"]), notes=now.get("notes"))
+    files.delete(spark, f"{root}/{now['stage']}")
 
 
 def retain_partitions(spark: SparkSession, root: str, key: str, keep_n: int) -> list[str]:
@@ -178,6 +178,7 @@ def retain_partitions(spark: SparkSession, root: str, key: str, keep_n: int) ->
 
     Directories are dropped whole; no row is read or rewritten.
     """
+    finish_swap(spark, root)
     target = current_path(spark, root)
     names = sorted(n for n in files.children(spark, target) if n.startswith(f"{key}="))
     dropped = names[: max(0, len(names) - keep_n)]
@@ -192,6 +193,7 @@ def append(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> None:
     if not table_exists(spark, root):
         publish(df, root, partition_by)
         return
+    finish_swap(spark, root)  # or it would take the place of these rows
     now = pointer(spark, root)
     write_target(df, f"{root}/{now['version']}", partition_by, mode="append")
     known = T.StructType.fromJson(now["schema"])
@@ -199,7 +201,7 @@ def append(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> None:
     if added:
         split = len(known) - len(partition_by)
         wider = T.StructType(known.fields[:split] + added + known.fields[split:])
-        set_pointer(spark, root, now["version"], wider)
+        set_pointer(spark, root, now["version"], wider, notes=now.get("notes"))
 
 
 def load_external(df: DataFrame, root: str, mode: str) -> None:

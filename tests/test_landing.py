@@ -105,3 +105,23 @@ def test_empty_files_are_listed_and_count_as_blank(spark, tmp_path):
     deliver(tmp_path, "20240101", "S", "d", END="4")
     counts = landing.read_expected_counts(spark, str(tmp_path))
     assert rows_of(counts.select("name", "expected")) == [("a b+c", -1), ("d", 4)]
+
+
+def test_archive_as_data_is_whole_and_repeatable(spark, tmp_path):
+    cur, hist = str(tmp_path / "cur"), str(tmp_path / "hist")
+    deliver(tmp_path / "cur", "20240101", "CRM", "a", txt="1\n2\n2\n", SQL="ddl a", END="3")
+    deliver(tmp_path / "cur", "20240101", "CRM", "none", txt="", SQL="ddl", END="0")
+    deliver(tmp_path / "cur", "20240102", "ERP", "part", txt="9\n", SQL="ddl")
+    ready = landing.landing_manifest(files.list_files(spark, cur))
+    for _ in range(2):
+        landing.archive_deliveries(spark, ready, cur, hist)
+    assert rows_of(landing.archived_lines(spark, hist).select("name", "value")) == [("a", "1"), ("a", "2"), ("a", "2")]
+    receipts = {r.name: r for r in landing.archive_receipts(spark, hist).collect()}
+    assert {n: (r.expected, r.lines, r.declaration) for n, r in receipts.items()} == {"a": (3, 3, "ddl a"), "none": (0, 0, "ddl")}
+    again = spark.createDataFrame([("2",), ("1",), ("2",)], "value string").repartition(3)
+    assert again.agg(landing.content_digest("value")).first().digest == receipts["a"].digest
+    # a day delivered later leaves the others
+    deliver(tmp_path / "cur", "20240102", "ERP", "part", END="1")
+    later = landing.landing_manifest(files.list_files(spark, cur)).where("name = 'part'")
+    landing.archive_deliveries(spark, later, cur, hist)
+    assert landing.archive_receipts(spark, hist).count() == 3 and landing.archived_lines(spark, hist).count() == 4

@@ -63,18 +63,60 @@ def test_odd_partition_values(spark, root):
     assert rows_of(store.read_table(spark, root)) == [(5, "+%", "é")]
 
 
+def cut_short(monkeypatch, at):
+    """Replacing partitions ends where ``at`` is called."""
+    context = monkeypatch.context()
+    patch = context.__enter__()
+
+    def stop(*_, **__):
+        raise OSError("cut short")
+
+    patch.setattr(store, at, stop)
+    return context
+
+
 def test_cut_short_swap_is_finished_later(spark, root, monkeypatch):
     schema = monthly(spark, root)
     new = spark.createDataFrame([(9, "b")], schema)
     monkeypatch.setattr(store, "finish_swap", lambda *_: None)
-    store.replace_partitions(new, root, ["part"])
+    store.replace_partitions(new, root, ["part"], spark.createDataFrame([("01",)], "part string"))
     monkeypatch.undo()
-    assert store.read_table(spark, root, "part = 'b'").first().id == 3
+    # it counts from the pointer on, before the version has it
+    assert rows_of(store.read_table(spark, root)) == [(1, "a"), (2, "a"), (9, "b")]
+    store.finish_swap(spark, root)
     store.finish_swap(spark, root)
-    assert rows_of(store.read_table(spark, root, "part = 'b'")) == [(9, "b")]
+    assert rows_of(store.read_table(spark, root)) == [(1, "a"), (2, "a"), (9, "b")]
     assert sorted(files.children(spark, root)) == ["CURRENT", "v00000001"]
 
 
+def test_replacement_cut_before_the_pointer_changes_nothing(spark, root, monkeypatch):
+    schema = monthly(spark, root)
+    context = cut_short(monkeypatch, "set_pointer")
+    with pytest.raises(OSError):
+        store.replace_partitions(spark.createDataFrame([(9, "b")], schema), root, ["part"])
+    context.__exit__(None, None, None)
+    assert store.read_table(spark, root, "part = 'b'").first().id == 3
+    store.replace_partitions(spark.createDataFrame([(8, "a")], schema), root, ["part"])
+    assert rows_of(store.read_table(spark, root)) == [(3, "b"), (4, "01"), (8, "a")]
+    assert sorted(files.children(spark, root)) == ["CURRENT", "v00000001"]
+
+
+@pytest.mark.parametrize("lost", [False, True])
+def test_append_after_a_cut_swap_loses_nothing(spark, root, tmp_path, monkeypatch, lost):
+    """Also where the engine's overwrite was cut between removing a partition and putting the new one in place."""
+    import shutil
+
+    schema = monthly(spark, root)
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "finish_swap", lambda *_: None)
+        store.replace_partitions(spark.createDataFrame([(9, "a")], schema), root, ["part"])
+    if lost:
+        shutil.rmtree(tmp_path / "table" / "v00000001" / "part=a")
+    store.append(spark.createDataFrame([(11, "a"), (12, "c")], schema), root, ["part"])
+    store.replace_partitions(spark.createDataFrame([(5, "c")], schema), root, ["part"])
+    assert rows_of(store.read_table(spark, root)) == [(11, "a"), (3, "b"), (4, "01"), (5, "c"), (9, "a")]
+
+
 def test_predicate_and_columns_reach_the_scan(spark, root):
     monthly(spark, root)
     plan = store.read_table(spark, root, "part = 'a' and id > 1", ["id"])
@@ -164,20 +206,45 @@ def test_drop_expired_directories(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "cur").iterdir()) == ["20240102", "20240103", "20240104"]
 
 
-@pytest.mark.parametrize("note_first", [True, False])
-def test_a_swap_cut_short_never_overwrites_a_later_version(spark, tmp_path, monkeypatch, note_first):
+def test_a_swap_cut_short_never_overwrites_a_later_version(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "t")
     frame = lambda *rows: spark.createDataFrame(list(rows), "v string, k string")
     store.publish(frame(("old", "a"), ("old", "b")), root, ["k"])
-    with monkeypatch.context() as cut:
-        cut.setattr(store, "partition_dirs", lambda *_: (_ for _ in ()).throw(OSError("cut short")))
-        with pytest.raises(OSError):
-            store.replace_partitions(frame(("stale", "a")), root, ["k"])
-    if note_first:  # a version published by a writer that does not know the note
-        with monkeypatch.context() as other:
-            other.setattr(store, "drop_swap", lambda *_: None)
-            store.publish(frame(("new", "a"), ("new", "b")), root, ["k"])
-    else:
-        store.publish(frame(("new", "a"), ("new", "b")), root, ["k"])
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "finish_swap", lambda *_: None)
+        store.replace_partitions(frame(("stale", "a")), root, ["k"])
+    store.publish(frame(("new", "a"), ("new", "b")), root, ["k"])
     store.replace_partitions(frame(("newer", "b")), root, ["k"])
     assert rows_of(store.read_table(spark, root)) == [("new", "a"), ("newer", "b")]
+
+
+def test_notes_stay_with_the_table(spark, root):
+    schema = monthly(spark, root)
+    store.publish(store.read_table(spark, root), root, ["part"], notes={"x": [1]})
+    store.append(spark.createDataFrame([(5, "c")], schema), root, ["part"])
+    store.replace_partitions(spark.createDataFrame([(6, "c")], schema), root, ["part"], notes={"y": 2})
+    assert store.pointer(spark, root)["notes"] == {"x": [1], "y": 2}
+
+
+def test_quoted_pieces_parse_alone(spark, tmp_path):
+    import csv
+    import random
+
+    draw = random.Random(6)
+    made = ["", "plain", 'say "hi"', "two\nlines", '\n\n"\n', '","\n"', "é\n" * 40]
+    rows = [[f"{f}-{i}", draw.choice(made), draw.choice(made)] for f in range(2) for i in range(400)]
+    (tmp_path / "in").mkdir()
+    for f in range(2):
+        with open(tmp_path / "in" / f"{f}.csv", "w", newline="") as out:
+            csv.writer(out, lineterminator="\n").writerows(r for r in rows if r[0].startswith(f"{f}-"))
+    exchange.split_quoted(spark, str(tmp_path / "in"), str(tmp_path / "out"), 500)
+    pieces, got = list((tmp_path / "out").rglob("*.txt")), []
+    for piece in pieces:
+        with open(piece, newline="") as text:
+            found = list(csv.reader(text))
+        assert all(len(r) == 3 for r in found)
+        numbers = [int(r[0].split("-")[1]) for r in found]
+        assert numbers == list(range(numbers[0], numbers[0] + len(numbers)))
+        got += found
+    assert sorted(got) == sorted(rows) and len(pieces) > 40
+    assert max(p.stat().st_size for p in pieces) < 500 + 2 * 200 + 500
