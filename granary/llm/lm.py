@@ -153,10 +153,10 @@ def keys_of(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return before << np.uint64(32) | low
 
 
-def dealt(keys: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
-    """The order of keys by segment, the segments, and where each begins and ends in that order."""
+def dealt(keys: np.ndarray, count: int, within: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """The order of keys by segment, and there by ``within``; the segments, and where each begins and ends in that order."""
     segment = (mix(keys) % np.uint64(count)).astype(np.int64)
-    order = np.argsort(segment, kind="stable")
+    order = np.argsort(segment, kind="stable") if within is None else np.lexsort((within, segment))
     own, starts = np.unique(segment[order], return_index=True)
     return order, own, list(zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True)) if len(keys) else []
 
@@ -175,7 +175,7 @@ def packed_bigrams(texts: DataFrame, segments: int) -> DataFrame:
         order, own, cuts = dealt(found, segments)
         found, counts = found[order], counts[order].astype(np.uint32)
         return pa.RecordBatch.from_arrays(
-            [pa.array(own, pa.int64()), *(pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (found, counts))],
+            [pa.array(own, pa.int64()), *(pa.array([squeezed(x[a:b], i == 0) for a, b in cuts], pa.binary()) for i, x in enumerate((found, counts)))],
             ["segment", "keys", "counts"],
         )
 
@@ -196,9 +196,22 @@ def packed_bigrams(texts: DataFrame, segments: int) -> DataFrame:
     return texts.mapInArrow(run, "segment long, keys binary, counts binary")
 
 
-def joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+def squeezed(values: np.ndarray, ascending: bool = False) -> bytes:
+    """Numbers as compressed byte planes; ascending ones by their differences, whose high planes are empty."""
+    plain = np.diff(values, prepend=values.dtype.type(0)) if ascending else values
+    planes = np.ascontiguousarray(plain).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def restored(packed: bytes, kind: type, ascending: bool = False) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    plain = np.ascontiguousarray(planes.T).view(kind).ravel()
+    return np.cumsum(plain, dtype=kind) if ascending else plain
+
+
+def joined(column: pa.ChunkedArray, kind: type, ascending: bool = False) -> np.ndarray:
     """Packed arrays one after another; nulls are passed over."""
-    return np.concatenate([np.empty(0, kind), *(np.frombuffer(x, kind) for x in column.to_pylist() if x is not None)])
+    return np.concatenate([np.empty(0, kind), *(restored(x, kind, ascending) for x in column.to_pylist() if x is not None)])
 
 
 def summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -209,17 +222,6 @@ def summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return keys[starts], *(np.add.reduceat(x[order].astype(np.int64), starts) if len(keys) else x.astype(np.int64) for x in values)
 
 
-def count_bigrams(texts: DataFrame, segments: int, least: int) -> DataFrame:
-    """``key, c`` of the bigrams that occur at least so often; a segment is counted whole in one group."""
-
-    def total(group: pa.Table) -> pa.Table:
-        keys, sums = summed(joined(group.column("keys"), np.uint64), joined(group.column("counts"), np.uint32))
-        kept = sums >= least
-        return pa.table({"key": pa.array(keys[kept].view(np.int64)), "c": pa.array(sums[kept])})
-
-    return packed_bigrams(texts, segments).groupBy("segment").applyInArrow(total, "key long, c long")
-
-
 def count_levels(counts: np.ndarray) -> np.ndarray:
     """Levels of counts on the logarithmic scale, rounded down."""
     return 1 + np.floor(np.log(counts) / math.log(BASE) + 1e-9).astype(np.int64)
@@ -235,14 +237,6 @@ def bits_of(names: np.ndarray, levels: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes() or b"\0"
 
 
-def build_filter(rows: DataFrame) -> Filter:
-    """One segment of the rows ``kind, key, level``, which must be few."""
-    got = rows.select("kind", "key", "level").toArrow()
-    kinds, keys, levels = (got.column(i).to_numpy() for i in range(3))
-    names = np.concatenate([named(kind, keys[kinds == kind].view(np.uint64)) for kind in (BIGRAM, CONTEXT, BACKOFF)])
-    return Filter({0: bits_of(names, np.concatenate([levels[kinds == kind] for kind in (BIGRAM, CONTEXT, BACKOFF)]))}, 1)
-
-
 def bigram_segments(texts: DataFrame, segments: int, context_segments: int) -> DataFrame:
     """``segment, bits`` of all bigrams, and for each segment of contexts what it is to add up: ``deal, keys, c, n``.
 
@@ -251,7 +245,7 @@ def bigram_segments(texts: DataFrame, segments: int, context_segments: int) -> D
     """
 
     def total(group: pa.Table) -> pa.Table:
-        keys, sums = summed(joined(group.column("keys"), np.uint64), joined(group.column("counts"), np.uint32))
+        keys, sums = summed(joined(group.column("keys"), np.uint64, True), joined(group.column("counts"), np.uint32))
         bits = bits_of(named(BIGRAM, short(keys)), count_levels(sums))
         contexts, c, n = summed(keys >> np.uint64(32), sums, np.ones(len(sums), np.int64))
         order, own, cuts = dealt(contexts, context_segments)
@@ -261,7 +255,7 @@ def bigram_segments(texts: DataFrame, segments: int, context_segments: int) -> D
             "segment": pa.array([group.column("segment")[0].as_py(), *none], pa.int64()),
             "bits": pa.array([bits, *none], pa.binary()),
             "deal": pa.array([None, *own.tolist()], pa.int64()),
-            **{name: pa.array([None, *(x[a:b].tobytes() for a, b in cuts)], pa.binary()) for name, x in zip(("keys", "c", "n"), parts, strict=True)},
+            **{name: pa.array([None, *(squeezed(x[a:b], name == "keys") for a, b in cuts)], pa.binary()) for name, x in zip(("keys", "c", "n"), parts, strict=True)},
         })
 
     done = packed_bigrams(texts, segments).groupBy("segment")
@@ -287,7 +281,7 @@ def context_segments(parts: DataFrame, words: DataFrame) -> DataFrame:
     """``segment, bits`` of contexts' counts and back-off weights."""
 
     def build(key: tuple, own: pa.Table, group: pa.Table) -> pa.Table:
-        seen, c, n = summed(joined(own.column("keys"), np.uint32).astype(np.uint64), *(joined(own.column(x), k) for x, k in (("c", np.uint64), ("n", np.uint32))))
+        seen, c, n = summed(joined(own.column("keys"), np.uint32, True).astype(np.uint64), *(joined(own.column(x), k) for x, k in (("c", np.uint64), ("n", np.uint32))))
         names, whole = summed(low(group.column("h").to_numpy().view(np.uint64)), group.column("c").to_numpy())
         place = np.minimum(np.searchsorted(names, seen), max(0, len(names) - 1))
         there = names[place] == seen if len(names) else np.zeros(len(seen), bool)
@@ -346,6 +340,12 @@ def unpacked(lengths: bytes, words: bytes, tokens: bytes) -> tuple[np.ndarray, .
     return lengths, words, tokens, keys, where
 
 
+def asked_for(keys: np.ndarray, segments: int, of_words: bool) -> tuple[np.ndarray, tuple]:
+    """What is asked for each key, and the keys' deal with what is asked in ascending order."""
+    asked = keys if of_words else short(keys).astype(np.uint32)
+    return asked, dealt(low(keys) if of_words else keys, segments, asked)
+
+
 def requests(slices: DataFrame, segments: int, of_words: bool) -> DataFrame:
     """``segment, slice, keys``: the words or bigrams that each slice asks each segment for."""
 
@@ -354,34 +354,41 @@ def requests(slices: DataFrame, segments: int, of_words: bool) -> DataFrame:
             for i in range(batch.num_rows):
                 number, *packed = (batch.column(x)[i].as_py() for x in range(4))
                 keys = np.frombuffer(packed[1], np.uint64) if of_words else unpacked(*packed)[3]
-                order, own, cuts = dealt(low(keys) if of_words else keys, segments)
-                asked = keys[order] if of_words else short(keys[order]).astype(np.uint32)
+                asked, (order, own, cuts) = asked_for(keys, segments, of_words)
+                asked = asked[order]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own), pa.array(np.full(len(own), number)), pa.array([asked[a:b].tobytes() for a, b in cuts], pa.binary())],
+                    [pa.array(own), pa.array(np.full(len(own), number)), pa.array([squeezed(asked[a:b], True) for a, b in cuts], pa.binary())],
                     ["segment", "slice", "keys"],
                 )
 
     return slices.select("slice", "lengths", "words", "tokens").mapInArrow(run, "segment long, slice long, keys binary")
 
 
-def answers(group: pa.Table, width: int, found: list[tuple[str, np.ndarray]]) -> pa.Table:
-    """The group's requests, of keys of so many bytes, with what was found for them: a packed array for each column."""
-    ends = np.cumsum([len(x) // width for x in group.column("keys").to_pylist()], dtype=np.int64).tolist()
+def asked_in(group: pa.Table, kind: type) -> list[np.ndarray]:
+    """Keys of each of the group's requests."""
+    return [restored(x, kind, True) for x in group.column("keys").to_pylist()]
+
+
+def answers(group: pa.Table, asked: list[np.ndarray], found: list[tuple[str, np.ndarray]]) -> pa.Table:
+    """The group's requests with what was found for their keys: a packed array for each column."""
+    ends = np.cumsum([len(x) for x in asked], dtype=np.int64).tolist()
     cuts = list(zip([0, *ends[:-1]], ends, strict=True))
-    packed = {name: pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for name, x in found}
+    packed = {name: pa.array([squeezed(x[a:b]) for a, b in cuts], pa.binary()) for name, x in found}
     none = pa.nulls(group.num_rows, pa.binary())
     return pa.table({"slice": group.column("slice"), "segment": group.column("segment"), **{x: packed.get(x, none) for x in ANSWERS}})
 
 
 def answer_bigrams(asked: pa.Table, held: pa.Table) -> pa.Table:
     bits = held.column("bits").to_pylist()
-    levels = Filter({0: bits[0]} if bits else {}, 1).levels(BIGRAM, joined(asked.column("keys"), np.uint32))
-    return answers(asked, 4, [("bigram", levels.astype(np.uint8))])
+    keys = asked_in(asked, np.uint32)
+    levels = Filter({0: bits[0]} if bits else {}, 1).levels(BIGRAM, np.concatenate([np.empty(0, np.uint32), *keys]))
+    return answers(asked, keys, [("bigram", levels.astype(np.uint8))])
 
 
 def answer_words(asked: pa.Table, held: pa.Table) -> pa.Table:
     """Words' exact counts, and their levels as contexts."""
-    hashes, (bits, c) = joined(asked.column("keys"), np.uint64), (held.column(x) for x in ("bits", "c"))
+    keys, (bits, c) = asked_in(asked, np.uint64), (held.column(x) for x in ("bits", "c"))
+    hashes = np.concatenate([np.empty(0, np.uint64), *keys])
     own = [x for x in bits.to_pylist() if x is not None]
     segment = Filter({0: own[0]} if own else {}, 1)
     is_word = np.asarray(c.is_valid())
@@ -389,7 +396,7 @@ def answer_words(asked: pa.Table, held: pa.Table) -> pa.Table:
     place = np.minimum(np.searchsorted(names, hashes), max(0, len(names) - 1))
     count = np.where(names[place] == hashes, sums[place], 0) if len(names) else np.zeros(len(hashes), np.int64)
     levels = [(name, segment.levels(kind, low(hashes)).astype(np.uint8)) for name, kind in (("context", CONTEXT), ("backoff", BACKOFF))]
-    return answers(asked, 8, [*levels, ("count", count)])
+    return answers(asked, keys, [*levels, ("count", count.astype(np.int64))])
 
 
 def score_slice(lengths: np.ndarray, words: np.ndarray, tokens: np.ndarray, keys: np.ndarray, where: np.ndarray,
@@ -430,7 +437,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_column: str = "do
         ids, *packed = (own.column(x)[0] for x in ("ids", "lengths", "words", "tokens"))
         parts = unpacked(*(x.as_py() for x in packed))
         got = got.sort_by("segment")
-        by_key, by_word = (dealt(x, n)[0] for x, n in ((parts[3], grams), (low(parts[1]), few)))
+        by_key, by_word = (asked_for(x, n, words)[1][0] for x, n, words in ((parts[3], grams, False), (parts[1], few, True)))
 
         def back(name: str, kind: type, order: np.ndarray) -> np.ndarray:
             out = np.empty(len(order), np.int64)

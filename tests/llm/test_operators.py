@@ -123,27 +123,35 @@ def test_lm_base_and_model(spark):
     assert held.score.sum() > held.base_score.sum()
 
 
-def test_lm_filter_reads_levels_back(spark):
-    keys = np.arange(1, 20_001, dtype=np.int64)
+def test_lm_filter_reads_levels_back():
+    keys = np.arange(1, 20_001, dtype=np.uint64)
     levels = np.array([1 + i % 7 for i in range(20_000)])
-    frame = spark.createDataFrame(pd.DataFrame({"kind": lm.BIGRAM, "key": keys, "level": levels}))
-    found = lm.build_filter(frame)
-    got = found.levels(lm.BIGRAM, keys.view(np.uint64))
+    found = lm.Filter({0: lm.bits_of(lm.named(lm.BIGRAM, keys), levels)}, 1)
+    got = found.levels(lm.BIGRAM, keys)
     assert (got >= levels).all() and (got == levels).mean() > 0.97
     assert (found.levels(lm.BIGRAM, np.arange(10**6, 10**6 + 20_000, dtype=np.uint64)) > 0).mean() < 0.03
 
 
-def test_lm_bigram_counts_with_a_bound(spark):
+def test_lm_bigrams_are_counted_whole(spark):
     texts = ["a b a b c", "a b", "", None, "B A"]
-    frame = spark.createDataFrame([(t,) for t in texts], "text string")
-    pairs = Counter(p for t in texts for p in zip(["\n", *lm_words(t)][:-1] + [], lm_words(t)))
-    for least in (1, 2, 3):
-        got = {r.key: r.c for r in lm.count_bigrams(frame, 3, least).collect()}
-        assert sorted(got.values()) == sorted(c for c in pairs.values() if c >= least)
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    pairs = Counter(p for t in texts for p in zip(["\n", *lm_words(t)], lm_words(t)))
+    rows = lm.packed_bigrams(frame, 3).toArrow()
+    keys, counts = lm.summed(lm.joined(rows.column("keys"), np.uint64, True), lm.joined(rows.column("counts"), np.uint32))
+    assert sorted(counts.tolist()) == sorted(pairs.values()) and len(keys) == len(pairs)
+
+
+@pytest.mark.parametrize("kind", [np.uint8, np.uint32, np.uint64, np.int64])
+def test_lm_packed_numbers_come_back(kind):
+    draw = np.random.default_rng(1)
+    for size in (0, 1, 5, 1000):
+        values = draw.integers(0, np.iinfo(kind).max, size, dtype=kind, endpoint=True)
+        assert (lm.restored(lm.squeezed(values), kind) == values).all()
+        values.sort()
+        assert (lm.restored(lm.squeezed(values, True), kind, True) == values).all()
 
 
 def test_lm_keeps_rare_bigrams_at_every_size(spark, monkeypatch):
-    monkeypatch.setattr(lm, "GRAMS", 3, raising=False)  # a share that would have cut bigrams of this corpus
     monkeypatch.setattr(lm, "SEGMENT", 16)  # several segments
     filler = ["the cat sat on the mat and the dog sat on the log"] * 40
     phrases = [f"w{i} x{i} y{i} z{i}" for i in range(50)]
