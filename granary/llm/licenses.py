@@ -2,8 +2,9 @@
 
 A text becomes its words, joined by one space. A notice of n letters may differ in ``n // 10``
 edits; cut into one piece more than that, at least one piece of it stands unchanged wherever it occurs
-(pigeonhole principle). Exact searches for the pieces give candidate windows, and the regex
-library's bounded-error matching verifies the edits in them and reports the spans.
+(pigeonhole principle). Exact searches for the pieces give candidate windows, each no longer than the notice and its
+edits, and the regex library's bounded-error matching verifies the edits in each window by itself and reports
+the span. Two matches in one window overlap, so none is hidden by a better one elsewhere, and time is in line with the text.
 The places of the plain phrases are the notices' matches without an edit.
 
 Defined cases: a null text, an empty one and one without a word have no place, no label and score 0.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -60,30 +62,26 @@ class Notice:
         count, size = self.edits + 1, len(text)
         cuts = [size * i // count for i in range(count + 1)]
         self.pieces = [(cuts[i], self.text[cuts[i] : cuts[i + 1]]) for i in range(count)]
-        self.match = regex.compile(rb"(?b)(?<= )(?:%b){e<=%d}(?= )" % (self.text, self.edits)).finditer
+        self.match = regex.compile(rb"(?b)(?<= )(?:%b){e<=%d}(?= )" % (self.text, self.edits)).search
 
-    def windows(self, text: bytes) -> list[tuple[int, int]]:
-        """Where a match may lie: around every piece, joined where they overlap."""
-        found = []
+    def windows(self, text: bytes) -> list[int]:
+        """Where windows begin: around every piece's place, as if the piece were the notice's."""
+        found = set()
         for offset, piece in self.pieces:
             at = text.find(piece)
             while at >= 0:
-                found.append((at - offset - self.edits - 1, at - offset + len(self.text) + self.edits + 1))
+                found.add(at - offset - self.edits - 1)
                 at = text.find(piece, at + 1)
-        joined: list[list[int]] = []
-        for begin, end in sorted(found):
-            if joined and begin <= joined[-1][1]:
-                joined[-1][1] = max(joined[-1][1], end)
-            else:
-                joined.append([begin, end])
-        return [(max(0, b), e) for b, e in joined]
+        return sorted(found)
 
     def matches(self, text: bytes) -> list[tuple[int, int, int]]:
         """``(begin, end, edits)`` in bytes of the joined words."""
-        out = []
-        for begin, end in self.windows(text):
-            out += [(m.start(), m.end(), sum(m.fuzzy_counts)) for m in self.match(text, begin, min(end, len(text)))]
-        return out
+        out, size = set(), len(self.text) + 2 * self.edits + 2
+        for begin in self.windows(text):
+            m = self.match(text, max(0, begin), min(begin + size, len(text)))
+            if m:
+                out.add((m.start(), m.end(), sum(m.fuzzy_counts)))
+        return sorted(out)
 
 
 class Scanner:
@@ -95,17 +93,18 @@ class Scanner:
         """Number of words, places of the plain phrases, and notices as ``(label, begin, end, edits, score)`` in words."""
         words = text.translate(WORD_TABLE).split()
         joined = b" " + b" ".join(words) + b" "
+        spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
         places = []
         for label, phrase in self.phrases:
             at = joined.find(phrase)
             while at >= 0:
-                places.append((label, joined.count(b" ", 0, at)))
+                places.append((label, int(np.searchsorted(spaces, at))))
                 at = joined.find(phrase, at + 1)
         found = []
         for notice in self.notices:
             for begin, end, edits in notice.matches(joined):
-                first = joined.count(b" ", 0, begin) - 1
-                found.append((notice.label, first, first + joined.count(b" ", begin, end) + 1, edits, 1 - edits / len(notice.text)))
+                first, last = np.searchsorted(spaces, (begin, end)).tolist()
+                found.append((notice.label, first - 1, last, edits, 1 - edits / len(notice.text)))
         return len(words), places, self._best(found)
 
     @staticmethod
@@ -118,7 +117,7 @@ class Scanner:
             if before and one[1] < before[2]:
                 if (one[4], one[2] - one[1]) <= (before[4], before[2] - before[1]):
                     continue
-                out.remove(before)
+                out.pop()  # the one before, as labels stand together
             out.append(one)
             last[one[0]] = one
         return sorted(out, key=lambda m: (m[1], m[2], m[0]))

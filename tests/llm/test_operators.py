@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -377,6 +378,37 @@ def test_licenses_with_errors(spark, odd, empty):
     assert licenses.scan(odd).count() == len(ROWS) and licenses.scan(empty).count() == 0
 
 
+def test_licenses_every_edited_notice_is_found_beside_others():
+    """Insertions, deletions and substitutions within the bound, next to a notice without edits."""
+    scan, draw = licenses.Scanner(), random.Random(8)
+    for notice in scan.notices:
+        for _ in range(12):
+            text = list(notice.text.decode())
+            for _ in range(draw.randrange(notice.edits + 1)):
+                at = draw.choice([i for i in range(1, len(text) - 1) if " " not in text[i - 1 : i + 2]])
+                kind = draw.randrange(3)
+                text[at : at + (kind > 0)] = [] if kind == 1 else [draw.choice("qxz")]
+            edited = "".join(text)
+            size = len(edited.split())
+            found = scan(f"x {edited} {notice.text.decode()} y".encode())[2]
+            own = [m for m in found if m[0] == notice.label]
+            whole = size + len(notice.text.split())
+            # a shorter notice of the label may stand inside without an edit, and is the better match there
+            assert any(m[1] < 1 + size and m[2] > 1 for m in own), edited
+            assert any(m[1] > size and m[2] <= 1 + whole and m[3] == 0 for m in own), edited
+
+
+def test_licenses_places_do_not_hide_each_other():
+    scan = licenses.Scanner()
+    assert [m[1:4] for m in scan(b"x apache licence apache license x")[2]] == [(1, 3, 1), (3, 5, 0)]
+
+
+def test_licenses_take_time_in_line_with_the_text():
+    began = time.process_time()
+    found = licenses.Scanner()(b"apache licence " * 70_000)[2]
+    assert len(found) == 70_000 and time.process_time() - began < 20
+
+
 # BPE
 
 
