@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 from itertools import groupby
 from operator import and_
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, DateType, NumericType, StringType, StructField, StructType
 
 from granary.functions import is_true, parse_day, shift_day
 from granary.functions.columns import as_column
@@ -52,9 +54,33 @@ def range_conditions(columns: Sequence[str], bounds: Sequence[tuple]) -> list[tu
     ]
 
 
-def label_values(label: str) -> dict[str, str]:
-    """``a=1/b=2`` as names and values."""
-    return dict(part.split("=", 1) for part in label.split("/"))
+# Fixed value: the directory value that stands for NULL and for empty text.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def label_values(label: str) -> dict[str, str | None]:
+    """``a=1/b=x%2Fy`` as names and values: unescaped, None for the name that stands for no value."""
+    parts = (part.split("=", 1) for part in label.split("/"))
+    return {unquote(name): None if value == NO_VALUE else unquote(value) for name, value in parts}
+
+
+def listed_filter(column: str, kind: DataType, values: set[str | None]) -> Column:
+    """A filter that reaches the scan: the values themselves where they are few, else their range, so that the
+    plan does not grow with the list."""
+    held = sorted(v for v in values if v is not None)
+    typed = [F.lit(v).cast(kind) for v in held] if len(held) <= FEW_BOUNDS else []
+    if not held:
+        inside = F.lit(False)
+    elif typed:
+        inside = F.col(column).isin(*typed)
+    elif isinstance(kind, NumericType):
+        numbers = sorted(held, key=Decimal)
+        inside = F.col(column).between(F.lit(numbers[0]).cast(kind), F.lit(numbers[-1]).cast(kind))
+    elif isinstance(kind, (StringType, DateType)):
+        inside = F.col(column).between(F.lit(held[0]).cast(kind), F.lit(held[-1]).cast(kind))
+    else:
+        inside = F.col(column).isNotNull()
+    return inside | F.col(column).isNull() if None in values else inside
 
 
 def range_label(col: Column, bounds: Sequence[tuple]) -> Column:
@@ -106,8 +132,9 @@ def assign_range_partition(
 def filter_list_partitions(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Rows of the listed ``a=1/b=2`` partitions, which all name the same columns in any order.
 
-    Each column's listed values are a filter that reaches the scan and prunes partitions; which of
-    them belong together is then a semi join with the list, whatever its length.
+    Labels are those of directories: values are escaped, and the default name is NULL. Each column's listed values
+    are a filter that reaches the scan and prunes partitions; which of them belong together is then a semi join
+    with the list, whatever its length.
     """
     if not labels:
         return df.limit(0)
@@ -115,10 +142,10 @@ def filter_list_partitions(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     names = list(listed[0])
     if any(set(values) != set(names) for values in listed):
         raise ValueError("listed partitions name different columns")
-    rows = sorted({tuple(values[name] for name in names) for values in listed})
+    rows = list(dict.fromkeys(tuple(values[name] for name in names) for values in listed))
     wanted = df.sparkSession.createDataFrame(rows, StructType([StructField(n, StringType()) for n in names]))
     wanted = wanted.select(*[F.col(n).cast(df.schema[n].dataType).alias(n) for n in names])
-    pruned = [F.col(n).isin(*(F.lit(v).cast(df.schema[n].dataType) for v in sorted({r[i] for r in rows}))) for i, n in enumerate(names)]
+    pruned = [listed_filter(n, df.schema[n].dataType, {r[i] for r in rows}) for i, n in enumerate(names)]
     return listed_join(df.where(reduce(and_, pruned)), wanted, names, "left_semi").select(*df.columns)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions.columns import as_column
-from granary.operators.skew import MIN_ROWS, SHARE, keyed_join, next_in_order
+from granary.operators.skew import keyed_join, next_in_order
 
 RUNNING, SUCCESS, ERROR, ERROR_AGAIN = "running", "success", "error", "error1"
 
@@ -158,15 +158,14 @@ def run_durations(
     tie: str,
     carry: Sequence[str] = (),
     started: str | Column | None = None,
-    share: float = SHARE,
-    min_rows: int = MIN_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Seconds from every start event to the key's next event.
 
     ``started`` selects start events after the pairing; ``carry`` names columns taken from
     the following event, such as its status.
     """
-    paired = next_in_order(events, keys, [at, tie], [at, *carry], share, min_rows)
+    paired = next_in_order(events, keys, [at, tie], [at, *carry], parts)
     ended = F.unix_micros(F.col(f"next_{at}").cast("timestamp"))
     began = F.unix_micros(F.col(at).cast("timestamp"))
     out = paired.withColumn(

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.operators.skew import keyed_join
+from granary.operators.skew import keyed_join, with_run
 
 PARTS = 64
+RANKED = 1000  # fixed value: the engine's own limit for ranks below a shuffle
 KEEP = 7  # fixed value: entries kept per directory unless configured
 
 
@@ -20,12 +21,15 @@ def expired_entries(
 ) -> DataFrame:
     """Entries of each root beyond its newest ``keep_n``; equal times go by path.
 
-    Entries are ranked within parts of their root first, and of each part only the newest
-    ``keep_n`` are ranked within the root; so a root with most of the files is sorted by many tasks, whatever
-    ``keep_n`` is. The rest is compared with the last entry kept.
+    Up to ``RANKED`` entries of a root, the engine keeps ranks below the shuffle: entries are ranked within parts of
+    their root, and of each part only the newest are ranked within the root. Beyond that the listing is cut into
+    runs in this order; their counts say which run of a root holds the last entry kept, and only that run is ranked. Either
+    way a root with most of the files is worked on by many tasks.
     """
     if keep_n < 1:
         return listing
+    if keep_n > RANKED:
+        return _expired_by_counts(listing, keep_n, root, path, modified)
     order = [F.col(modified).desc(), F.col(path)]
     part = F.pmod(F.xxhash64(path, modified), F.lit(PARTS)).alias("_part")
     newest = Window.partitionBy(root).orderBy(*order)
@@ -44,6 +48,22 @@ def expired_entries(
     return joined.where(older).select(*listing.columns)
 
 
+def _expired_by_counts(listing: DataFrame, keep_n: int, root: str, path: str, modified: str) -> DataFrame:
+    """The same by distributed selection, for any ``keep_n``; entries without a time are the oldest."""
+    age = -F.unix_micros(F.col(modified).cast("timestamp"))
+    order = [F.col(modified).isNull(), age, F.col(path)]
+    placed = with_run(listing, [F.col(root), *order])
+    counts = placed.groupBy(root, "_run").agg(F.count("*").alias("_n"))
+    # a root has at most as many rows here as there are runs
+    upto = F.sum("_n").over(Window.partitionBy(root).orderBy("_run"))
+    counts = counts.withColumn("_before", upto - F.col("_n")).where(F.col("_before") + F.col("_n") > keep_n)
+    kept = F.greatest(F.lit(keep_n) - F.col("_before"), F.lit(0)).alias("_kept")
+    joined = keyed_join(placed, counts.select(root, "_run", kept), [root, "_run"], "inner", null_safe=True)
+    rank = F.row_number().over(Window.partitionBy(root, "_run").orderBy(*order))
+    cut = joined.where("_kept > 0").withColumn("_rank", rank).where("_rank > _kept")
+    return joined.where("_kept = 0").select(*listing.columns).unionAll(cut.select(*listing.columns))
+
+
 def kept_days(df: DataFrame, keep_n: int, day: str = "etl_date") -> DataFrame:
     """The newest ``keep_n`` days of a table, one row each."""
     return df.select(day).where(F.col(day).isNotNull()).distinct().orderBy(

@@ -20,8 +20,10 @@ MIN_ROWS = 1_000_000
 
 LIST_ROWS = 20_000
 
+# Runs of an ordered table: the most, the sampled rows for each, and up to how many ends are compared in nested conditions.
 MAX_SPLITS = 4096
-STEP = 64
+SAMPLED = 20
+FEW_CUTS = 64
 
 
 def will_broadcast(df: DataFrame) -> bool:
@@ -167,101 +169,67 @@ def rows_without_match(df: DataFrame, other: DataFrame, keys: Sequence[str]) ->
     return keyed_join(df, known, keys, "left_anti")
 
 
+def with_run(df: DataFrame, order: Sequence[Column], parts: int | None = None) -> DataFrame:
+    """Add ``_run``: the number of the run a row lies in when all rows stand in this order, nulls first.
+
+    The runs are about equally long, as their ends come from ``SAMPLED`` rows for each, those of the
+    smallest hashes. They are fetched, so a row's run is the same wherever it is computed again, and only the balance
+    depends on the sample. Rows that are equal in ``order`` share a run.
+    """
+    spark = df.sparkSession
+    parts = min(MAX_SPLITS, parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    fields = [c.alias(f"_{i}") for i, c in enumerate(order)]
+    kinds = [f.dataType for f in df.select(*fields).schema]
+    # an instant's text is not unique, its number is
+    fields = [F.unix_micros(c).alias(f"_{i}") if isinstance(k, T.TimestampType) else c.alias(f"_{i}")
+              for i, (c, k) in enumerate(zip(order, kinds))]
+    keys = df.select(*fields)
+    kinds = [f.dataType for f in keys.schema]
+    chosen = keys.orderBy(F.xxhash64(*keys.columns), *keys.columns).limit(SAMPLED * parts).orderBy(*keys.columns)
+    rows = [tuple(row) for row in chosen.select(*[F.col(c).cast("string") for c in keys.columns]).collect()]
+    ends = list(dict.fromkeys(rows[SAMPLED::SAMPLED]))
+    here = F.struct(*fields)
+    cuts = [F.struct(*[F.lit(v).cast(k).alias(f"_{i}") for i, (v, k) in enumerate(zip(end, kinds))]) for end in ends]
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(here < cuts[mid], search(lo, mid)).otherwise(search(mid + 1, hi))
+
+    if len(cuts) <= FEW_CUTS:
+        return df.withColumn("_run", search(0, len(cuts)))
+    listed, steps = F.array(*cuts), [1 << i for i in reversed(range(len(cuts).bit_length()))]
+    passed = F.aggregate(
+        F.array(*[F.lit(step) for step in steps]), F.lit(0),
+        lambda at, step: F.when(F.try_element_at(listed, at + step) <= here, at + step).otherwise(at),
+    )
+    return df.withColumn("_run", passed)
+
+
 def next_in_order(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     columns: Sequence[str],
-    share: float = SHARE,
-    min_rows: int = MIN_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add ``next_<column>`` from the following row of the same key.
 
-    ``order`` starts with a number, date or timestamp and should end in a tie-break.
-    A heavy key is cut along that first column into runs that are windowed apart;
-    the last row of a run then takes the first row of the key's next run.
+    All rows are cut into runs by key, order and tie, so a key of most rows is spread, also where they share one
+    time. The last row of a key in a run takes the first row of the run behind it, if that is the key's.
     """
     keys, order, columns = list(keys), list(order), list(columns)
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     follower = F.struct(*[F.col(f"`{name}`") for name in columns])
-
-    def finish(frame: DataFrame, value: Column) -> DataFrame:
-        frame = frame.withColumn("_next", value)
-        return frame.select(
-            *df.columns, *[F.col("_next")[name].alias(f"next_{name}") for name in columns]
-        )
-
-    heavy = heavy_keys(df, keys, share, min_rows)
-    if not heavy:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return finish(df, F.lead(follower).over(window))
-
-    spark = df.sparkSession
-    by_hash = df.withColumn("_h", key_hash(df, keys))
-    parts = {h: min(MAX_SPLITS, max(2, n)) for h, n in heavy.items()}
-    steps = [i / max(parts.values()) for i in range(1, max(parts.values()))]
-    wanted = spark.createDataFrame(list(parts.items()), "_h long, _parts int")
-    every = F.lit(len(steps) + 1) / F.col("_parts")
-    # About 1/share cuts in all, fetched so that every later use sees the same
-    # ones, which a re-run of the sketch would not promise.
-    cuts = (
-        by_hash.join(F.broadcast(wanted), "_h")
-        .groupBy("_h", "_parts")
-        .agg(F.percentile_approx(order[0], steps, 10_000).alias("cuts"))
-        .select(
-            "_h",
-            F.array_sort(
-                F.array_distinct(
-                    F.transform(
-                        F.sequence(F.lit(1), F.col("_parts") - 1),
-                        lambda i: F.element_at("cuts", F.floor(i * every).cast("int")),
-                    )
-                )
-            ).alias("cuts"),
-        )
-        .collect()
-    )
-    rows = [(row["_h"], row["cuts"], row["cuts"][STEP - 1 :: STEP]) for row in cuts]
-    order_type = df.schema[order[0]].dataType
-    table = spark.createDataFrame(
-        rows,
-        T.StructType(
-            [
-                T.StructField("_h", T.LongType()),
-                T.StructField("_fine", T.ArrayType(order_type)),
-                T.StructField("_coarse", T.ArrayType(order_type)),
-            ]
-        ),
-    )
-    at = F.col(f"`{order[0]}`")
-
-    def passed(cut_list: Column) -> Column:
-        return F.size(F.filter(cut_list, lambda cut: cut <= at))
-
-    skipped = passed(F.col("_coarse")) * STEP
-    placed = (
-        by_hash.join(F.broadcast(table), "_h", "left")
-        .withColumn("_skip", F.coalesce(skipped, F.lit(0)))
-        .withColumn(
-            "_run",
-            F.coalesce(
-                F.col("_skip") + passed(F.slice("_fine", F.col("_skip") + 1, F.lit(STEP))),
-                F.lit(0),
-            ),
-        )
-    )
-    window = Window.partitionBy(*keys, "_run").orderBy(*order)
-    within = placed.withColumn("_within", F.lead(follower).over(window))
-    # one row per run of a heavy key
-    firsts = (
-        placed.where(F.col("_fine").isNotNull())
-        .groupBy(*keys, "_run")
-        .agg(F.min_by(follower, F.struct(*order)).alias("_first"))
-        .withColumn("_handoff", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_run")))
-        .select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)],
-                F.col("_run").alias("_r"), "_handoff")
-    )
-    same_run = F.col("_run") == F.col("_r")
-    for i, name in enumerate(keys):
-        same_run = same_run & F.col(f"`{name}`").eqNullSafe(F.col(f"_k{i}"))
-    joined = within.join(F.broadcast(firsts), same_run, "left")
-    return finish(joined, F.coalesce("_within", "_handoff"))
+    key, place = (F.struct(*[F.col(f"`{name}`") for name in names]) for names in (keys, [*keys, *order]))
+    placed = with_run(df, [F.col(f"`{name}`") for name in (*keys, *order)], parts)
+    inside = placed.withColumn("_next", F.lead(follower).over(Window.partitionBy("_run", *keys).orderBy(*order)))
+    # one row for each run, handed to the run before it
+    firsts = placed.groupBy("_run").agg(F.min_by(F.struct(key.alias("key"), follower.alias("row")), place).alias("_first"))
+    before = F.coalesce(F.lag("_run").over(Window.orderBy("_run")), F.lit(-1))
+    firsts = firsts.select(before.alias("_run"), "_first")
+    joined = inside.join(F.broadcast(firsts), "_run", "left")
+    handed = F.when(F.col("_first")["key"].eqNullSafe(key), F.col("_first")["row"])
+    found = joined.withColumn("_next", F.coalesce("_next", handed))
+    return found.select(*df.columns, *[F.col("_next")[name].alias(f"next_{name}") for name in columns])

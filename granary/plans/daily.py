@@ -38,8 +38,10 @@ class LoadResult:
     status: str
     warnings: tuple[str, ...]
     columns: tuple[tuple[str, str], ...] = ()  # as declared, for ``register``
+    issues: tuple[tuple[str, str, str], ...] = ()  # type, level and text of each warning, for the warning log
 
 
+WARNING = "warning"
 PARTITION = "load_partition"
 FAILED = "_failed"  # names of the values of a row that do not fit their type
 BOUNDS = "bounds"  # note with the upper bounds of a day-partitioned target, published with its data
@@ -88,11 +90,18 @@ def run_load(
 
     Reads the declared count and schema, compares the schema with the registry, casts the
     rows and counts them; a count that is not the declared one is an error and leaves the target as
-    it was. Then the target is brought to its next state. A merge takes any count, and
-    warns where the rows it inserted or updated are not as many as declared.
+    it was. So is a row whose key does not fit its type; elsewhere such a value becomes NULL, with a warning. Then the
+    target is brought to its next state. A merge takes any count, and warns where the rows it
+    inserted or updated are not as many as declared.
     """
     paths = landing.history_paths(history, etl_date, job.system_id, job.name)
-    warnings: list[str] = []
+    issues: list[tuple[str, str, str]] = []
+
+    def warn(kind: str, text: str, level: str = WARNING) -> None:
+        issues.append((kind, level, text))
+
+    def result(status: str, loaded: int) -> LoadResult:
+        return LoadResult(expected_rows, loaded, status, tuple(text for *_, text in issues), tuple(columns), tuple(issues))
 
     end = spark.read.text(paths["end"], wholetext=True)
     expected = end.select(landing.expected_count("value").alias("n")).first()
@@ -104,7 +113,7 @@ def run_load(
     columns = [(row.column_name, row.column_type) for row in declared]
     added = check_growth(columns, registered_columns(registry, job.table), job.table)
     if added:
-        warnings.append("columns added: " + ", ".join(added))
+        warn("columns_added", "columns added: " + ", ".join(added))
     exists = store.table_exists(spark, root)
     if registry is not None and not registered_columns(registry, job.table) and exists:
         raise ValueError(f"{job.table} is not registered but its target exists")
@@ -122,23 +131,26 @@ def run_load(
     staged = loads.with_audit(typed, job.system_id, day)
     store.write_target(staged, delivery, mode="overwrite")
     staged = spark.read.schema(staged.schema).orc(delivery)
+    key = [row.column_name for row in declared if row.is_key]
+    keyed = F.arrays_overlap(FAILED, F.array(*[F.lit(name) for name in {*key, *job.keys}]).cast("array<string>"))
     found = staged.agg(
-        F.count("*").alias("n"), F.count_if(F.size(FAILED) > 0).alias("bad"), F.count(landing.CORRUPT).alias("odd")
+        F.count("*").alias("n"), F.count_if(F.size(FAILED) > 0).alias("bad"), F.count(landing.CORRUPT).alias("odd"),
+        F.count_if(keyed).alias("keyless"),
     ).first()
     src = staged.drop(FAILED, landing.CORRUPT)
     loaded = found.n
     if found.bad:
-        warnings.append(f"{found.bad} rows hold values that do not fit their type")
+        warn("bad_values", f"{found.bad} rows hold values that do not fit their type")
     if found.odd:
-        warnings.append(f"{found.odd} lines have another number of fields")
-    if job.load_type in ("merge", "update"):
-        key = [row.column_name for row in declared if row.is_key]
-        if list(job.keys) != key:
-            warnings.append(f"load key {list(job.keys)} is not the declared key {key}")
-    if job.load_type != "merge" and loaded != expected_rows:
+        warn("odd_lines", f"{found.odd} lines have another number of fields")
+    if job.load_type in ("merge", "update") and list(job.keys) != key:
+        warn("other_key", f"load key {list(job.keys)} is not the declared key {key}")
+    if found.keyless:
+        warn("bad_keys", f"{found.keyless} rows have no key of its type", ledger.ERROR)
+    if found.keyless or job.load_type != "merge" and loaded != expected_rows:
         # nothing is changed by a delivery that is not whole
         files.delete(spark, delivery)
-        return LoadResult(expected_rows, loaded, "error", tuple(warnings))
+        return result("error", loaded)
 
     if job.load_type == "merge":
         schema.require_unique(src, job.keys)
@@ -165,8 +177,8 @@ def run_load(
             store.publish(state, root)
     files.delete(spark, delivery)
     if loaded != expected_rows:
-        warnings.append(f"declared {expected_rows} rows, loaded {loaded}")
-    return LoadResult(expected_rows, loaded, "success", tuple(warnings), tuple(columns))
+        warn("other_count", f"declared {expected_rows} rows, loaded {loaded}")
+    return result("success", loaded)
 
 
 def _wide_enough(tgt: DataFrame, src: DataFrame) -> DataFrame:
@@ -269,6 +281,12 @@ LOG_SCHEMA = (
 )
 
 
+WARN_SCHEMA = (
+    "warn_id string, run_id string, warn_type string, warn_level string, warn_info string, table_name string, "
+    "etl_date string, warn_time timestamp_ntz"
+)
+
+
 def open_runs(log: DataFrame, table: str, etl_date: str) -> DataFrame:
     """Runs of a table and day that have started and not ended."""
     day = log.where((F.col("table_name") == table) & (F.col("etl_date") == etl_date))
@@ -285,8 +303,9 @@ def run_logged(
     batch_id: str,
     registry: DataFrame | None = None,
     second_try: bool = False,
+    warn_root: str | None = None,
 ) -> LoadResult | None:
-    """``run_load`` with its start and end appended to a job log.
+    """``run_load`` with its start and end appended to a job log, and its warnings to a table of their own.
 
     Does nothing while another run of the table and day is open. A failure is logged, as
     ``error1`` in the retry pass, and raised again.
@@ -309,5 +328,9 @@ def run_logged(
         log(failed, info=str(error))
         raise
     status = ledger.SUCCESS if result.status == "success" else failed
+    if warn_root and result.issues:
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        rows = [(uuid.uuid4().hex, run_id, *issue, job.table, etl_date, now) for issue in result.issues]
+        store.append(spark.createDataFrame(rows, WARN_SCHEMA), warn_root)
     log(status, result.expected, result.loaded, "; ".join(result.warnings))
     return result

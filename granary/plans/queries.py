@@ -303,6 +303,29 @@ def verify_transfer(spark, sf_dir):
     )
 
 
+@query(r"""
+WITH lines AS (SELECT source, unnest(string_split(text, chr(10))) AS value FROM documents),
+sent AS (SELECT source, count(*) AS sent_rows FROM lines WHERE source <> 'src3' GROUP BY source),
+received AS (SELECT source, count(*) AS received_rows FROM lines WHERE source <> 'src0' GROUP BY source)
+SELECT coalesce(s.source, r.source) AS source, sent_rows, received_rows,
+       CASE WHEN r.source IS NULL THEN 'missing' WHEN s.source IS NULL THEN 'extra'
+            WHEN r.source = 'src1' THEN 'content_differs' ELSE 'ok' END AS status
+FROM sent s FULL JOIN received r USING (source)
+""")
+def verify_content(spark, sf_dir):
+    """A tree that was cut, re-encoded and compressed against its source; one file lost, one added, one altered."""
+    path = files.shared_dir(spark, "trees")
+    lines = table(spark, sf_dir, "documents").select("source", F.explode(F.split("text", "\n")).alias("value"))
+    lines.where("source <> 'src3'").write.partitionBy("source").text(f"{path}/sent")
+    altered = F.when(F.col("source") == "src1", F.concat(F.lit("x"), "value")).otherwise(F.col("value"))
+    moved = lines.where("source <> 'src0'").withColumn("value", altered).repartition(5)
+    moved.write.partitionBy("source").option("maxRecordsPerFile", 500).option("compression", "gzip").text(f"{path}/received")
+    schema = "value string, source string"
+    return landing.verify_content(
+        spark.read.schema(schema).text(f"{path}/sent"), spark.read.schema(schema).text(f"{path}/received"), ["source"]
+    )
+
+
 @query("""
 SELECT 'sales.orders' AS table_name, 'o_orderstatus=' || o_orderstatus AS partition_name,
        'replace' AS action, CAST(NULL AS VARCHAR) AS predicate, count(*) AS row_count

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from granary.functions import is_true
 from granary.operators import exchange as ops
 from granary.operators import schema
+from granary.operators.layout import NO_VALUE
 from granary.operators.skew import fetched, listed_join
 from granary.sources import exchange as bundles
 from granary.sources import files, store
@@ -21,10 +22,6 @@ from granary.sources import files, store
 ALL = "all"
 
 
-# Fixed value: the directory value that stands for NULL and for empty text.
-NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-
-
 def partition_label(keys: Sequence[str]) -> Column:
     """``a=1/b=2`` of a row, for people to read; only the values say which partition it is."""
     parts = [

@@ -174,3 +174,16 @@ def test_file_counts(spark):
 def test_size_output_file_count(spark, tmp_path):
     layout.size_output(spark.range(1000), 300.0).write.orc(str(tmp_path / "o"))
     assert len(list((tmp_path / "o").glob("*.orc"))) == 5
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_listed_labels_are_typed(spark, many, monkeypatch):
+    """Escaped values, NULL, and a list whose plan does not grow."""
+    rows = [("x/y", 1), (None, 1), ("50%", None), ("a=b", 10), ("z", 9), ("plain", 2)]
+    df = spark.createDataFrame(rows, "a string, b int")
+    labels = ["b=1/a=x%2Fy", "b=1/a=__HIVE_DEFAULT_PARTITION__", "b=__HIVE_DEFAULT_PARTITION__/a=50%25", "a=a%3Db/b=10", "a=z/b=1"]
+    if many:
+        labels += [f"a=v{i}/b={i}" for i in range(1000, 6000)]
+    found = layout.filter_list_partitions(df, labels)
+    assert rows_of(found) == sorted([("x/y", 1), (None, 1), ("50%", None), ("a=b", 10)], key=repr)
+    assert len(found._jdf.queryExecution().analyzed().toString()) < 5000

@@ -226,6 +226,41 @@ def test_emptied_table_is_truncated_on_the_far_side(spark, tmp_path):
     assert store.read_table(spark, dst).count() == 0
 
 
+@pytest.mark.parametrize("mode", ["auto", "all"])
+def test_dropped_partitions_vanish_on_the_far_side(spark, sales, mode):
+    """Also the last one: a wholly emptied table empties the far side."""
+    src, dst, bundle = sales
+
+    def exchange_once():
+        transfer.export_table(spark, src, bundle, "s.t", mode, TODAY, ["month"])
+        transfer.import_table(spark, bundle, dst, ["month"])
+        return rows_of(store.read_table(spark, dst))
+
+    assert exchange_once() == rows_of(store.read_table(spark, src))
+    none = store.read_table(spark, src).where("false")
+    store.replace_partitions(none, src, ["month"], spark.createDataFrame([("m1",)], "month string"))
+    assert exchange_once() == rows_of(store.read_table(spark, src)) != []
+    plan = exchange.read_manifest(spark, bundle).select("partition_name", "action")
+    assert ("month=m1", "truncate") in rows_of(plan)
+    store.publish(none, src, ["month"])
+    assert exchange_once() == []
+
+
+def test_an_export_cut_short_is_repeated_against_the_old_inventory(spark, sales, monkeypatch):
+    src, dst, bundle = sales
+    transfer.export_table(spark, src, bundle, "s.t", "auto", TODAY, ["month"])
+    transfer.import_table(spark, bundle, dst, ["month"])
+    none = store.read_table(spark, src).where("false")
+    store.replace_partitions(none, src, ["month"], spark.createDataFrame([("m2",)], "month string"))
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "write_small", lambda *_: (_ for _ in ()).throw(OSError("cut short")))
+        with pytest.raises(OSError):
+            transfer.export_table(spark, src, bundle, "s.t", "auto", TODAY, ["month"])
+    transfer.export_table(spark, src, bundle, "s.t", "auto", TODAY, ["month"])
+    transfer.import_table(spark, bundle, dst, ["month"])
+    assert rows_of(store.read_table(spark, dst)) == rows_of(store.read_table(spark, src))
+
+
 def test_exchange_of_odd_partition_values(spark, tmp_path):
     src, dst, bundle = (str(tmp_path / n) for n in ("src", "dst", "bundle"))
     values = ["a", None, "x:y", "p q", "k/l", "b", "1%2", "c=d", "+", "%41"]
@@ -248,9 +283,37 @@ def test_a_wrong_count_leaves_the_old_state(zone):
 
 
 def test_bad_values_and_odd_lines_are_counted(zone):
-    got = zone.load("20240101", ["1#&d#&a", "x#&d#&b", "3#&d#&c#&more", "4"], load_type="full")
+    ddl = DDL.replace("v varchar2(20)", "v number(5)")
+    got = zone.load("20240101", ["1#&d#&7", "2#&d#&b", "3#&d#&8#&more", "4"], ddl=ddl, load_type="full")
     assert got.status == "success"
     assert got.warnings == ("1 rows hold values that do not fit their type", "2 lines have another number of fields")
+    assert [(kind, level) for kind, level, _ in got.issues] == [("bad_values", "warning"), ("odd_lines", "warning")]
+
+
+def test_a_bad_key_leaves_the_old_state(zone):
+    zone.load("20240101", ["1#&d#&a"], load_type="full")
+    got = zone.load("20240102", ["abc#&d#&b"], load_type="full")
+    assert got.status == "error" and ("bad_keys", "error") in [(k, level) for k, level, _ in got.issues]
+    assert zone.rows() == [(1, "a", "20240101")]
+
+
+def test_warnings_are_stored(zone, spark, tmp_path):
+    zone.load("20240101", ["1#&d#&a"], load_type="merge", keys=["k"])
+    job = daily.LoadJob("sales.t", "S", "t", "merge", keys=["v"])
+    log, warned = str(tmp_path / "log"), str(tmp_path / "warned")
+    daily.run_logged(spark, job, str(zone.base / "hist"), "20240101", zone.root, log, "b1", warn_root=warned)
+    row = store.read_table(spark, warned).first()
+    assert (row.warn_type, row.warn_level, row.table_name) == ("other_key", "warning", "sales.t")
+
+
+def test_a_first_add_cut_short_leaves_nothing(zone, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "set_pointer", lambda *_, **__: (_ for _ in ()).throw(OSError("cut short")))
+        with pytest.raises(OSError):
+            zone.load("20240101", ["1#&d#&a"], load_type="add")
+    zone.load("20240101", ["1#&d#&a"], load_type="add")
+    zone.load("20240105", ["2#&d#&b"], load_type="add")
+    assert zone.rows() == [(1, "a", "20240101"), (2, "b", "20240105")]
 
 
 def test_stale_rows_of_a_merge_warn(zone):

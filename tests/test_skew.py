@@ -15,6 +15,7 @@ from granary.operators.skew import (
     listed_join,
     next_in_order,
     rows_without_match,
+    with_run,
 )
 
 
@@ -122,10 +123,10 @@ def events(spark, n=4000, seed=3):
     return spark.createDataFrame(rows, "id long, user long, at timestamp_ntz, kind string")
 
 
-@pytest.mark.parametrize("share", [0.05, 0.003])
-def test_next_in_order_split(spark, share):
+@pytest.mark.parametrize("parts", [1, 7, 150])
+def test_next_in_order_split(spark, parts):
     df = events(spark)
-    split = next_in_order(df, ["user"], ["at", "id"], ["at", "kind"], share=share, min_rows=1)
+    split = next_in_order(df, ["user"], ["at", "id"], ["at", "kind"], parts)
     window = Window.partitionBy("user").orderBy("at", "id")
     plain = df.select(
         "*",
@@ -138,12 +139,26 @@ def test_next_in_order_split(spark, share):
 def test_run_durations_split_equals_plain(spark):
     df = events(spark).where("at is not null")
     plain = ledger.run_durations(df, ["user"], "at", "id", ["kind"], started="kind = 'a'")
-    split = ledger.run_durations(
-        df, ["user"], "at", "id", ["kind"], started="kind = 'a'", share=0.02, min_rows=1
-    )
+    split = ledger.run_durations(df, ["user"], "at", "id", ["kind"], started="kind = 'a'", parts=40)
     assert rows_of(plain) == rows_of(split)
 
 
+def test_one_key_of_one_time_is_spread(spark):
+    df = spark.range(20_000).selectExpr("id", "7L user", "timestamp'2024-01-01' at", "cast(id % 3 as string) kind")
+    sizes = [r["count"] for r in with_run(df, [F.col("user"), F.col("at"), F.col("id")], 50).groupBy("_run").count().collect()]
+    assert len(sizes) == 50 and max(sizes) < 3 * 20_000 / 50
+    got = next_in_order(df, ["user"], ["at", "id"], ["id"], 50)
+    assert got.where("next_id = id + 1").count() == 19_999 and got.where("next_id is null").first().id == 19_999
+
+
+def test_runs_follow_the_order(spark):
+    df = events(spark)
+    for parts in (9, 120):
+        rows = with_run(df, [F.col("user"), F.col("at"), F.col("id")], parts).orderBy("user", "at", "id").collect()
+        runs = [r["_run"] for r in rows]
+        assert runs == sorted(runs) and len(set(runs)) > 0.8 * parts
+
+
 def test_ranks_are_cut_before_the_shuffle(spark):
     df = events(spark)
     newest = ledger.latest_per_key(df, ["user"], "at", ["id"])
