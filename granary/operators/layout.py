@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 from functools import reduce
 from itertools import groupby
@@ -119,12 +120,75 @@ def range_label(col: Column, bounds: Sequence[tuple]) -> Column:
     return F.when(col.isNotNull(), F.element_at(F.array(*labels), passed + 1))
 
 
+def many_ranges(df: DataFrame, columns: Sequence[str], bounds: Sequence[tuple]) -> Column | None:
+    """Partition name by many bounds on several columns: the first column's runs by halving, then those of one run.
+
+    Within a run the second column is halved too where its bounds ascend there, else looked through. The bounds are
+    one JSON literal, so the plan stays as it is however many there are. None where the first column's bounds do not ascend.
+    """
+    numeric = [isinstance(df.schema[c].dataType, NumericType) for c in columns]
+
+    def plain(value, i: int):
+        """A bound as JSON of its column's type."""
+        return value if numeric[i] and not isinstance(value, Decimal) else str(value)
+
+    by_column = [intervals([uppers[i] for _, uppers in bounds]) for i in range(len(columns))]
+    runs: list[tuple[object, list[dict]]] = []
+    for at, (name, _) in enumerate(bounds):
+        first = by_column[0][at][1]
+        if not runs or runs[-1][0] != first:
+            runs.append((first, []))
+        rest = [own[at] for own in by_column[1:]]
+        if first == MINVALUE or any(hi == MINVALUE or lo == MAXVALUE for lo, hi in rest):
+            continue  # nothing lies there
+        entry = {"name": name}
+        for i, (lo, hi) in enumerate(rest):
+            entry |= {f"lo{i}": None if lo == MINVALUE else plain(lo, i + 1), f"hi{i}": None if hi == MAXVALUE else plain(hi, i + 1)}
+        runs[-1][1].append(entry)
+    runs = [(first, entries) for first, entries in runs if first != MINVALUE]
+    uppers = [first for first, _ in runs if first != MAXVALUE]
+    if uppers != sorted(set(uppers)) or [first for first, _ in runs[: len(uppers)]] != uppers:
+        return None
+    kinds = [df.schema[c].dataType.simpleString() for c in columns]
+    fields = ", ".join(f"lo{i}: {kind}, hi{i}: {kind}" for i, kind in enumerate(kinds[1:]))
+    ends = F.from_json(F.lit(json.dumps([plain(u, 0) for u in uppers])), f"array<{kinds[0]}>")
+    held = F.from_json(F.lit(json.dumps([entries for _, entries in runs])), f"array<array<struct<name: string, {fields}>>>")
+
+    def halving(size: int, passes: Callable[[Column], Column]) -> Column:
+        """How many of the first entries are passed."""
+        steps = F.array(*[F.lit(1 << i) for i in reversed(range(size.bit_length()))])
+        return F.aggregate(steps, F.lit(0), lambda at, step: F.when(passes(at + step), at + step).otherwise(at))
+
+    first, rest = F.col(columns[0]), [F.col(c) for c in columns[1:]]
+    run = F.try_element_at(held, halving(len(uppers), lambda at: F.try_element_at(ends, at) <= first) + 1)
+
+    def inside(entry: Column) -> Column:
+        parts = [c.isNotNull() for c in rest]
+        for i, c in enumerate(rest):
+            parts += [entry[f"lo{i}"].isNull() | (c >= entry[f"lo{i}"]), entry[f"hi{i}"].isNull() | (c < entry[f"hi{i}"])]
+        return reduce(and_, parts)
+
+    second = [[uppers[1] for _, uppers in own] for _, own in groupby(bounds, key=lambda b: b[1][0])]
+    ascending = all(own[: len(held_)] == sorted(set(held_)) and own[len(held_) :] in ([], [MAXVALUE])
+                    for own in second for held_ in [[u for u in own if u not in (MINVALUE, MAXVALUE)]])
+    if len(columns) == 2 and ascending:
+        longest = max((len(entries) for _, entries in runs), default=0)
+        at = halving(longest, lambda at: F.try_element_at(run, at)["hi0"] <= rest[0])
+        entry = F.try_element_at(run, at + 1)
+        return F.when(first.isNotNull() & inside(entry), entry["name"])
+    return F.when(first.isNotNull(), F.try_element_at(F.filter(run, inside), F.lit(1))["name"])
+
+
 def assign_range_partition(
     df: DataFrame, columns: Sequence[str], bounds: Sequence[tuple], label: str = "partition_name"
 ) -> DataFrame:
     """Add the range partition each row belongs to; NULL where it is in none."""
     if len(columns) == 1:
         return df.withColumn(label, range_label(F.col(columns[0]), bounds))
+    if len(bounds) > FEW_BOUNDS:
+        found = many_ranges(df, columns, bounds)
+        if found is not None:
+            return df.withColumn(label, found)
     cases = [F.when(condition, F.lit(name)) for name, condition in range_conditions(columns, bounds)]
     return df.withColumn(label, F.coalesce(*cases))
 

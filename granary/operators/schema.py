@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -199,6 +199,20 @@ def schema_drift(
     return new.join(old, [table, "pos"], "full").withColumn("change", change)
 
 
+def registry_as_of(
+    registry: DataFrame, deliveries: DataFrame, table: str = "table_name", day: str = "etl_date", changed: str = "date_change"
+) -> DataFrame:
+    """The registered columns of each delivery's table as they stood on the delivery's day.
+
+    A registry row holds from its ``changed`` day until a later one of the same table and position; of
+    one day the greatest name and type count. ``deliveries`` has a table and a day per row. Tables without a row by then do not appear.
+    """
+    days = deliveries.select(table, day).distinct()
+    valid = registry.join(days, table).where(F.col(changed) <= F.col(day))
+    newest = Window.partitionBy(table, day, "pos").orderBy(F.desc(changed), F.desc("column_name"), F.desc("column_type"))
+    return valid.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+
+
 def drift_verdict(drift: DataFrame, table: str = "table_name") -> DataFrame:
     """One row per table: ``error``, ``initial`` (nothing registered), ``appended`` or ``same``.
 

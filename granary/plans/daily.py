@@ -66,6 +66,16 @@ def register(registry: DataFrame, table: str, columns: Sequence[tuple[str, str]]
     return others.unionByName(new, allowMissingColumns=True).select(*registry.columns)
 
 
+REGISTRY = "table_name string, pos int, column_name string, column_type string, date_change string"
+
+
+def stored_registry(spark: SparkSession, registry_root: str, table: str) -> DataFrame:
+    """All registry rows of one table, each valid from its ``date_change``."""
+    if not store.table_exists(spark, registry_root):
+        return spark.createDataFrame([], REGISTRY)
+    return store.read_table(spark, registry_root).where(F.col("table_name") == table)
+
+
 def check_growth(
     declared: Sequence[tuple[str, str]], registered: Sequence[tuple[str, str]], table: str
 ) -> list[str]:
@@ -85,6 +95,7 @@ def run_load(
     etl_date: str,
     root: str,
     registry: DataFrame | None = None,
+    registry_root: str | None = None,
 ) -> LoadResult:
     """Load one archived delivery.
 
@@ -93,6 +104,9 @@ def run_load(
     it was. So is a row whose key does not fit its type; elsewhere such a value becomes NULL, with a warning. Then the
     target is brought to its next state. A merge takes any count, and warns where the rows it
     inserted or updated are not as many as declared.
+
+    A registry kept at ``registry_root`` is looked up as of the delivery's day, so an old day is loaded again under its own
+    schema (columns that came later are NULL), and gets the delivery's new columns once the load has succeeded.
     """
     paths = landing.history_paths(history, etl_date, job.system_id, job.name)
     issues: list[tuple[str, str, str]] = []
@@ -111,11 +125,17 @@ def run_load(
     if not declared:
         raise ValueError(f"{job.table}: the declaration names no column")
     columns = [(row.column_name, row.column_type) for row in declared]
-    added = check_growth(columns, registered_columns(registry, job.table), job.table)
+    exists = store.table_exists(spark, root)
+    known = None
+    if registry_root:
+        known = stored_registry(spark, registry_root, job.table)
+        delivered = spark.createDataFrame([(job.table, etl_date)], "table_name string, etl_date string")
+        registry = schema.registry_as_of(known, delivered)
+    registered = registered_columns(registry, job.table)
+    added = check_growth(columns, registered, job.table)
     if added:
         warn("columns_added", "columns added: " + ", ".join(added))
-    exists = store.table_exists(spark, root)
-    if registry is not None and not registered_columns(registry, job.table) and exists:
+    if registry is not None and not registered and exists and (known is None or known.isEmpty()):
         raise ValueError(f"{job.table} is not registered but its target exists")
 
     text_schema = schema.spark_schema([(n, "varchar2", None) for n, _ in columns])
@@ -138,6 +158,9 @@ def run_load(
         F.count_if(keyed).alias("keyless"),
     ).first()
     src = staged.drop(FAILED, landing.CORRUPT)
+    if known is not None and exists:
+        held = store.read_table(spark, root)
+        src = schema.evolve_add_columns(src, [f for f in held.schema.fields if f.name != PARTITION])
     loaded = found.n
     if found.bad:
         warn("bad_values", f"{found.bad} rows hold values that do not fit their type")
@@ -175,6 +198,9 @@ def run_load(
             store.publish(_labelled(state, bounds), root, [PARTITION], notes={BOUNDS: bounds})
         else:
             store.publish(state, root)
+    if known is not None and len(columns) > len(registered):
+        new = [(job.table, pos, *column, etl_date) for pos, column in enumerate(columns) if pos >= len(registered)]
+        store.append(spark.createDataFrame(new, REGISTRY), registry_root)
     files.delete(spark, delivery)
     if loaded != expected_rows:
         warn("other_count", f"declared {expected_rows} rows, loaded {loaded}")

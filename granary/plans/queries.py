@@ -326,6 +326,27 @@ def verify_content(spark, sf_dir):
     )
 
 
+@query("""
+WITH registry AS (
+  SELECT l_orderkey, l_linenumber AS pos, 'c' || l_partkey AS column_name, 'number(' || l_suppkey || ')' AS column_type,
+         strftime(l_shipdate, '%Y%m%d') AS date_change FROM lineitem),
+days AS (SELECT o_orderkey, strftime(o_orderdate + INTERVAL 30 DAY, '%Y%m%d') AS etl_date FROM orders)
+SELECT o_orderkey AS table_name, etl_date, pos, column_name, column_type, date_change
+FROM registry JOIN days ON l_orderkey = o_orderkey AND date_change <= etl_date
+QUALIFY row_number() OVER (PARTITION BY o_orderkey, etl_date, pos ORDER BY date_change DESC, column_name DESC, column_type DESC) = 1
+""")
+def registry_as_of(spark, sf_dir):
+    """Columns of a table per order as they stood 30 days after it, where every line of it is a registered change."""
+    registry = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("table_name"), F.col("l_linenumber").alias("pos"), F.concat(F.lit("c"), "l_partkey").alias("column_name"),
+        F.concat(F.lit("number("), "l_suppkey", F.lit(")")).alias("column_type"), day_of("l_shipdate").alias("date_change"),
+    )
+    days = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("table_name"), day_of(F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("etl_date")
+    )
+    return schema.registry_as_of(registry, days)
+
+
 @query("""
 SELECT 'sales.orders' AS table_name, 'o_orderstatus=' || o_orderstatus AS partition_name,
        'replace' AS action, CAST(NULL AS VARCHAR) AS predicate, count(*) AS row_count
@@ -644,6 +665,18 @@ def assign_range_partition_two_columns(spark, sf_dir):
     return layout.assign_range_partition(days, ["etl_date", "o_totalprice"], bounds)
 
 
+@query("""
+SELECT o_orderkey, CASE WHEN o_custkey % 1000 >= 20 AND o_orderkey % 10000 < 100 THEN NULL
+  ELSE 'p' || (o_custkey % 1000) // 20 || '_' || (o_orderkey % 10000) // 100 END AS partition_name
+FROM orders
+""")
+def assign_range_partition_many(spark, sf_dir):
+    """5,000 bounds on two columns. From the second run on a run's first bound has no room: it begins where the run before ends."""
+    keys = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey % 1000 AS a", "o_orderkey % 10000 AS b")
+    bounds = [(f"p{i}_{j}", (20 * (i + 1), 100 * (j + 1))) for i in range(50) for j in range(100)]
+    return layout.assign_range_partition(keys, ["a", "b"], bounds).drop("a", "b")
+
+
 @query("""
 SELECT * FROM lineitem WHERE (l_returnflag = 'A' AND l_linestatus = 'F')
    OR (l_returnflag = 'R' AND l_linestatus = 'O')

@@ -187,3 +187,35 @@ def test_listed_labels_are_typed(spark, many, monkeypatch):
     found = layout.filter_list_partitions(df, labels)
     assert rows_of(found) == sorted([("x/y", 1), (None, 1), ("50%", None), ("a=b", 10)], key=repr)
     assert len(found._jdf.queryExecution().analyzed().toString()) < 5000
+
+
+@pytest.mark.parametrize("last", ["ascending", "three columns", "mixed"])
+def test_many_bounds_on_several_columns(spark, last, monkeypatch):
+    """The search by halving gives what one condition per bound gives."""
+    draw = random.Random(4)
+    seconds = [5, 20, 40, layout.MAXVALUE]
+    bounds = []
+    for i, first in enumerate([10, 20, 35, 50, layout.MAXVALUE]):
+        for j, second in enumerate(seconds if last != "mixed" else draw.sample([3, 9, 27, 30], 3)):
+            bounds.append((f"p{i}_{j}", (first, second, "m") if last == "three columns" else (first, second)))
+    if last != "mixed":  # a run begins where the one before ends, so MAXVALUE there would leave it no room
+        bounds = [b for b in bounds if b[1][1] != layout.MAXVALUE or b[1][0] == layout.MAXVALUE]
+    values = [None, -1, 0, 3, 5, 9, 10, 19, 20, 27, 34, 35, 40, 49, 50, 99]
+    df = spark.createDataFrame([(a, b, c) for a in values for b in values for c in ("a", "z", None)], "a int, b bigint, c string")
+    columns = ["a", "b", "c"][: len(bounds[0][1])]
+    monkeypatch.setattr(layout, "FEW_BOUNDS", 1000)
+    want = rows_of(layout.assign_range_partition(df, columns, bounds))
+    monkeypatch.setattr(layout, "FEW_BOUNDS", 1)
+    found = layout.assign_range_partition(df, columns, bounds)
+    assert rows_of(found) == want and any(r[-1] for r in want)
+
+
+def test_the_plan_of_many_bounds_does_not_grow(spark):
+    df = spark.range(10).selectExpr("id a", "id b")
+    sizes = []
+    for n in (100, 5000):
+        bounds = [(f"p{i}_{j}", (10 * (i + 1), 10 * (j + 1))) for i in range(n // 50) for j in range(50)]
+        found = layout.assign_range_partition(df, ["a", "b"], bounds)
+        sizes.append(found._jdf.queryExecution().analyzed().toString().count("try_element_at"))
+        assert {r.partition_name for r in found.collect()} == {"p0_0"}
+    assert sizes[0] == sizes[1]

@@ -334,6 +334,32 @@ def test_registry_grows_with_accepted_loads(zone, spark):
     assert zone.load("20240104", ["1#&d#&a#&w"], registry=known, ddl=wider, load_type="full").warnings == ()
 
 
+def test_an_old_day_is_loaded_under_its_own_schema(zone, spark, tmp_path):
+    """The load keeps the registry itself, valid from the day of the delivery."""
+    kept = str(tmp_path / "registry")
+    wider = DDL.replace("v varchar2(20),", "v varchar2(20),\n  w varchar2(5),")
+    hist = str(zone.base / "hist")
+
+    first = daily.LoadJob("sales.t", "S", "t", "update", keys=["k"])
+    deliver(zone.base / "hist" / "20240101" / "S" / "t", "", "", "t", SQL=DDL, END="1")
+    deliver(zone.base / "hist" / "20240101" / "S" / "t", "data", "", "t", txt="1#&d#&a\n")
+    deliver(zone.base / "hist" / "20240105" / "S" / "t", "", "", "t", SQL=wider, END="1")
+    deliver(zone.base / "hist" / "20240105" / "S" / "t", "data", "", "t", txt="2#&d#&b#&w\n")
+    for day in ("20240101", "20240105"):
+        assert daily.run_load(spark, first, hist, day, zone.root, registry_root=kept).status == "success"
+    rows = rows_of(store.read_table(spark, kept).select("pos", "column_name", "date_change"))
+    assert [(p, d) for p, _, d in rows] == [(0, "20240101"), (1, "20240101"), (2, "20240101"), (3, "20240105")]
+    # the old day again: its three columns are whole, and the later column stays
+    got = daily.run_load(spark, first, hist, "20240101", zone.root, registry_root=kept)
+    assert got.status == "success" and got.warnings == ()
+    assert rows_of(store.read_table(spark, zone.root).select("k", "v", "w")) == [(1, "a", None), (2, "b", "w")]
+    assert store.read_table(spark, kept).count() == 4
+    with pytest.raises(ValueError, match="lost columns"):
+        deliver(zone.base / "hist" / "20240106" / "S" / "t", "", "", "t", SQL=DDL, END="1")
+        deliver(zone.base / "hist" / "20240106" / "S" / "t", "data", "", "t", txt="3#&d#&c\n")
+        daily.run_load(spark, first, hist, "20240106", zone.root, registry_root=kept)
+
+
 def test_a_declaration_without_columns_fails(zone):
     with pytest.raises(ValueError, match="names no column"):
         zone.load("20240101", ["1"], ddl="create table t (k number);", load_type="full")
