@@ -7,8 +7,9 @@ position. All windows are searched backwards together through the matrix's ranks
 their occurrences located by steps to the next sampled position, and the words they cover
 merged to removal spans.
 
-The benchmark's items are taken in blocks of a bounded size, and every block is one pass in the same
-tasks, so what is broadcast at a time does not grow with the benchmark.
+The benchmark's items are taken in blocks of at most 4 MB, a longer item in parts that share a window's words less one. Every
+block is a pass of its own: its result is written and its broadcast dropped before the next one is read, so no more than one
+block is held by the driver or a worker, about 25 times its bytes. A benchmark of one block is searched without a table between.
 
 Defined cases: a null or empty text has no words, no spans and stays as it is. An item without a
 word matches nothing, one of fewer words than a window is one window as a whole, and an
@@ -25,11 +26,12 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from granary.llm.common import WORD_TABLE, encoded, extended, numbered, rounds
+from granary.llm.common import WORD_TABLE, encoded, extended, numbered, rounds, written
 
-WINDOW, SAMPLED, SHARD, BLOCK_BYTES = 10, 8, 4 << 20, 32 << 20
+WINDOW, SAMPLED, SHARD, BLOCK_BYTES = 10, 8, 4 << 20, 4 << 20
 WORD = regex.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -197,16 +199,36 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def blocks(benchmark: DataFrame, item_column: str, text_column: str, size: int) -> Iterator[list[tuple[str | None, str | None]]]:
+def parts_of(text: str | None, size: int, window: int) -> Iterator[str | None]:
+    """The item, or its words in parts of about ``size`` bytes, so that each window lies whole in one of them."""
+    if len(text or "") <= size:
+        yield text
+        return
+    words = text.encode().translate(WORD_TABLE).split()
+    if len(words) <= window:
+        yield b" ".join(words).decode()
+        return
+    at = 0
+    while at + window - 1 < len(words):
+        end, held = at, 0
+        while end < len(words) and (held < size or end - at < window):
+            held += len(words[end]) + 1
+            end += 1
+        yield b" ".join(words[at : end + window - 1]).decode()
+        at = end
+
+
+def blocks(benchmark: DataFrame, item_column: str, text_column: str, size: int, window: int) -> Iterator[list[tuple[str | None, str | None]]]:
     """Items in blocks of about ``size`` bytes; one block is on the driver at a time."""
     rows = benchmark.select(F.col(item_column).cast("string").alias("item"), F.col(text_column).alias("text"))
     block, held = [], 0
     for row in rows.toLocalIterator():
-        block.append((row.item, row.text))
-        held += len(row.text or "") + 16
-        if held > size:
-            yield block
-            block, held = [], 0
+        for text in parts_of(row.text, size, window):
+            block.append((row.item, text))
+            held += len(text or "") + 16
+            if held > size:
+                yield block
+                block, held = [], 0
     if block:
         yield block
 
@@ -227,13 +249,18 @@ def mark(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_
         "items": F.array().cast("array<string>"),
         "cleaned": F.lit(None).cast("string"),
     })
-    searched = False
-    for block in blocks(benchmark, item_column, item_text, block_bytes):
-        out, searched = _pass(out, Windows(block, window), columns, text_column), True
-    return out if searched else _pass(out, Windows([], window), columns, text_column)
-
-
-def _pass(df: DataFrame, windows: Windows, columns: list[str], text_column: str) -> DataFrame:
+    last: list[tuple[str | None, str | None]] = []
+    for block in blocks(benchmark, item_column, item_text, block_bytes, window):
+        if last:
+            searched, shared = _pass(out, Windows(last, window), columns, text_column)
+            out = written(searched, "decontam")
+            shared.destroy()
+        last = block
+    return _pass(out, Windows(last, window), columns, text_column)[0]
+
+
+def _pass(df: DataFrame, windows: Windows, columns: list[str], text_column: str) -> tuple[DataFrame, Broadcast]:
+    """The rows searched for one block, and the block's broadcast."""
     shared = df.sparkSession.sparkContext.broadcast(windows)
     where = columns.index(text_column)
     schema = extended(df, ADDED)[1]
@@ -256,7 +283,7 @@ def _pass(df: DataFrame, windows: Windows, columns: list[str], text_column: str)
                      pa.array(spans, pa.list_(SPAN)), pa.array(items, pa.list_(pa.string())), texts], names
                 )
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, schema), shared
 
 
 def n_hit() -> Column:

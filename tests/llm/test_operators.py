@@ -264,6 +264,21 @@ def test_decontamination_against_plain_search(spark, window, block):
         assert len(words) == r.n_words - sum(s.end - s.begin for s in r.spans)
 
 
+def test_decontamination_holds_one_block_at_a_time(spark, odd):
+    """Many blocks leave one Python operator in the last plan; a long item is cut so that no window is lost."""
+    words = [f"w{i}" for i in range(300)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "cat dog")], "item_id long, text string")
+    docs = spark.createDataFrame([(i, " ".join(words[i : i + 10])) for i in range(0, 291)], "doc_id long, text string")
+    found = decontam.mark(docs, items, block_bytes=100)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert found.where("size(spans) = 1 AND items = array('1')").count() == 291
+    for size in (1, 30, 100, 10_000):
+        parts = list(decontam.parts_of(" ".join(words), size, 10))
+        held = {tuple(p.split()[k : k + 10]) for p in parts for k in range(len(p.split()) - 9)}
+        assert held == {tuple(words[k : k + 10]) for k in range(291)}
+    assert list(decontam.parts_of(" .. " * 50, 10, 10)) == [""] and list(decontam.parts_of("a" * 50, 10, 10)) == ["a" * 50]
+
+
 def test_decontamination_odd_rows(spark, odd, empty):
     bench = spark.createDataFrame([(1, "quick brown fox jumps over the lazy dog of the")], "item_id long, text string")
     assert decontam.mark(odd, bench).where("size(spans) > 0").count() == 3
