@@ -9,12 +9,13 @@ candidates are ranked by exact cosines in double precision, in blocks, and only
 best few of all its leaves in a task leave that task.
 
 Leaves are dealt by tree and leaf and, where many vectors fall into one, by a salt, so no task holds
-more than about ``LEAF_ROWS`` of a leaf at a time. Of equal vectors only the ``k + 1`` of smallest id
+more than about ``LEAF_ROWS`` of a leaf at a time. Of equal vectors only the ``k + 1`` smallest ids
 are indexed, as others cannot be among the nearest ``k``; so common vectors do not fill a leaf.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do
 rows without an id; of vectors of several lengths only those as long as the query are
-compared. Equal scores go to the smaller id; repeated ids stay separate rows. With no more than k
+compared. Equal scores go to the smaller id. Rows of one id and one vector count once; those of one id and several
+vectors are candidates each, and as queries share one list of the nearest to any of them. With no more than k
 candidates all are returned; an empty table gives no row. Only the named columns are read.
 """
 
@@ -152,9 +153,10 @@ def nearest(vectors: DataFrame, queries: Column, id_column: str = "vec_id", vect
 
 def _of_width(rows: DataFrame, width: int, queries: Column, k: int, trees: int, leaf: int, probed: float, sample: int) -> DataFrame:
     spark = rows.sparkSession
-    # copies of a vector beyond the k + 1 of smallest id are never among the nearest
-    alike = Window.partitionBy("vec").orderBy("id")
-    indexed = rows.withColumn("copy", F.row_number().over(alike)).where(F.col("copy") <= k + 1).drop("copy")
+    # copies of a vector beyond the k + 1 smallest ids, one of which may be the query's own, are never among the nearest
+    alike, same = Window.partitionBy("vec").orderBy("id"), Window.partitionBy("vec", "id").orderBy("id")
+    indexed = rows.withColumn("copy", F.dense_rank().over(alike)).where(F.col("copy") <= k + 1)
+    indexed = indexed.withColumn("copy", F.row_number().over(same)).where("copy = 1").drop("copy")
     indexed = written(indexed, "indexed")
     bound = max(64, min(sample, (64 << 20) // (8 * width)))
     drawn = indexed.orderBy(F.xxhash64(F.lit("forest"), "id", "vec"), "id").limit(bound).select("vec").toArrow()

@@ -226,6 +226,17 @@ def test_neighbours_odd_rows(spark):
     assert ann.nearest(frame.where("vec_id < 2"), F.col("id") == 0).count() == 1
 
 
+def test_neighbours_repeated_ids(spark):
+    """Copies of the query's own id take no other's place, and one id with two vectors is two candidates."""
+    rows = [(0, [1.0, 0.0])] * 6 + [(i, [1.0, 0.0]) for i in range(1, 10)] + [(i, [1.0, i / 500]) for i in range(101, 120)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.rank, r.id, r.score) for r in ann.nearest(frame, F.col("id") == 0).orderBy("rank").collect()]
+    assert got == [(i, i, 1.0) for i in range(1, 6)]
+    rows = [(0, [1.0, 0.0]), (7, [1.0, 0.5]), (7, [1.0, 0.25]), (7, [1.0, 0.25]), (8, [0.0, 1.0])]
+    few = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert [r.id for r in ann.nearest(few, F.col("id") == 0).orderBy("rank").collect()] == [7, 7, 8]
+
+
 # decontamination
 
 
