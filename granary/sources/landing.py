@@ -17,9 +17,7 @@ CORRUPT = "_corrupt_record"
 
 # Fixed values: <root>/<day>/<SYSTEM>/<name>.<kind>, in history one or two directories deeper,
 # of which the inner one is then called data.
-KINDS = r"[^/]\.(?:txt|SQL|END)$"
-DAY = r"^\d{8}$"
-DATA = "data"
+DELIVERED = r"/\d{8}/[^/]+/(?:[^/]+/(?:data/)?)?[^/]+\.(?:txt|SQL|END)$"
 
 
 def landing_options(sep: str = SEPARATOR, encoding: str = "UTF-8") -> dict[str, str]:
@@ -52,28 +50,18 @@ def read_landing(
 
 
 def bundle_files(listing: DataFrame) -> DataFrame:
-    """Delivery day, system, name and kind of each listed file; other files are dropped."""
+    """Delivery day, system, name and kind of each listed file; other files are dropped.
 
-    def part(back: int) -> Column:
-        return F.try_element_at("_parts", F.lit(-back))
-
-    def is_day(back: int) -> Column:
-        return (F.size("_parts") > back) & part(back).rlike(DAY) & (part(back - 1) != "")
-
-    # the outermost directory that can be the day
-    depth = F.when(is_day(5) & (part(2) == DATA) & (part(3) != ""), 5).when(is_day(4) & (part(2) != ""), 4).when(is_day(3), 3)
-    found = (
-        listing.where(F.col("path").rlike(KINDS))
-        .withColumn("_parts", F.split("path", "/"))
-        .withColumn("_depth", depth)
-        .where(F.col("_depth").isNotNull())
-    )
-    file = part(1)
+    The day is the outermost directory that can be it, which is the leftmost match.
+    """
+    parts = F.split("_own", "/")
+    file = F.element_at(parts, -1)
     kind = F.substring_index(file, ".", -1)
+    found = listing.withColumn("_own", F.regexp_extract("path", DELIVERED, 0)).where("_own <> ''")
     return found.select(
         *listing.columns,
-        F.element_at("_parts", -F.col("_depth")).alias("etl_date"),
-        F.element_at("_parts", 1 - F.col("_depth")).alias("system_id"),
+        F.element_at(parts, 2).alias("etl_date"),
+        F.element_at(parts, 3).alias("system_id"),
         F.substring(file, F.lit(1), F.length(file) - 1 - F.length(kind)).alias("name"),
         kind.alias("kind"),
     )
