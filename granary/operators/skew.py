@@ -131,9 +131,10 @@ def fetched(listed: DataFrame, columns: Sequence[str]) -> DataFrame:
     entries = listed.select(*columns)
     if is_local(entries):
         return entries
-    rows = entries.distinct().limit(LIST_ROWS + 1).collect()
-    if len(rows) > LIST_ROWS:
+    rows = entries.distinct().limit(LIST_ROWS + 1).toArrow()
+    if rows.num_rows > LIST_ROWS:
         return entries
+    # rows from an Arrow table are in the plan; from a list of tuples they are a query that the planner takes for a large one
     return listed.sparkSession.createDataFrame(rows, entries.schema)
 
 

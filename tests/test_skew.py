@@ -111,6 +111,26 @@ def test_listed_join_falls_back(spark, monkeypatch, no_broadcast):
     assert rows_of(listed_join(df, wanted, ["k"], "left_semi").select("k", "s", "id")) == expected
 
 
+def test_a_short_list_is_broadcast_and_keeps_its_values(spark, no_broadcast):
+    from granary.operators.skew import fetched, is_local
+
+    schema = "a string, b decimal(9,2), c date, d timestamp, e timestamp_ntz, f double, g binary, h boolean"
+    made = spark.sql(
+        "SELECT 'x' a, 1.25BD b, date'2024-01-02' c, timestamp'1890-01-01 00:00:00.000001' d, timestamp_ntz'2024-03-31 02:30:00' e, "
+        "1.5D f, x'00ff' g, true h UNION ALL SELECT null, null, null, null, null, double('nan'), null, null"
+    )
+    rows = spark.createDataFrame(made.collect(), schema)
+    listed = fetched(rows, rows.columns)
+    assert is_local(listed) and is_local(listed.where("h")) and str(rows_of(listed)) == str(rows_of(rows))
+    assert rows_of(fetched(rows.where("false"), ["a", "d"])) == []
+    found = listed_join(rows, rows, rows.columns, "left_semi")
+    assert str(rows_of(found)) == str(rows_of(rows))
+    assert listed_join(rows, rows, rows.columns, "left_anti").count() == 0
+    # no row of the long side is shuffled, whichever key holds most of them
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def events(spark, n=4000, seed=3):
     rng = random.Random(seed)
     start = datetime(2024, 1, 1)
