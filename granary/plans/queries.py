@@ -318,7 +318,8 @@ def verify_content(spark, sf_dir):
     lines = table(spark, sf_dir, "documents").select("source", F.explode(F.split("text", "\n")).alias("value"))
     lines.where("source <> 'src3'").write.partitionBy("source").text(f"{path}/sent")
     altered = F.when(F.col("source") == "src1", F.concat(F.lit("x"), "value")).otherwise(F.col("value"))
-    moved = lines.where("source <> 'src0'").withColumn("value", altered).repartition(5)
+    # another cut than the sent one, into parts of bounded size however many rows there are
+    moved = lines.where("source <> 'src0'").withColumn("value", altered).hint("rebalance")
     moved.write.partitionBy("source").option("maxRecordsPerFile", 500).option("compression", "gzip").text(f"{path}/received")
     schema = "value string, source string"
     return landing.verify_content(

@@ -125,3 +125,23 @@ def test_archive_as_data_is_whole_and_repeatable(spark, tmp_path):
     later = landing.landing_manifest(files.list_files(spark, cur)).where("name = 'part'")
     landing.archive_deliveries(spark, later, cur, hist)
     assert landing.archive_receipts(spark, hist).count() == 3 and landing.archived_lines(spark, hist).count() == 4
+
+
+def test_parts_of_a_moved_tree_grow_in_number_not_in_size(spark):
+    from pathlib import Path
+
+    from granary.plans.queries import QUERIES
+
+    sizes = [f"spark.sql.adaptive.{x}" for x in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize")]
+    before, root = [spark.conf.get(x) for x in sizes], Path(spark.conf.get("spark.checkpoint.dir")) / "granary"
+    there = set(root.glob("trees-*"))
+    for size in sizes:
+        spark.conf.set(size, "1k")
+    try:
+        found = {r.source: r.status for r in QUERIES["verify_content"](spark, "/root/testdata/sf0.001").collect()}
+    finally:
+        for size, value in zip(sizes, before, strict=True):
+            spark.conf.set(size, value)
+    assert (found["src0"], found["src1"], found["src2"], found["src3"]) == ("missing", "content_differs", "ok", "extra")
+    (tree,) = set(root.glob("trees-*")) - there
+    assert len({p.name[:10] for p in (tree / "received").rglob("part-*")}) > 5
