@@ -4,7 +4,8 @@ A greedy longest match proposes the tokens of every new word. A proposal is what
 exactly when each of its tokens is a fixed point of merging and every adjacent pair is
 *compatible*: no merge across the border comes up before the merges that build the two
 tokens. The borders of all proposals of a slice are tested together in numpy; only words that
-fail are merged exactly, with a heap, in O(n log n) for a word of n bytes.
+fail are merged exactly: short ones together, one merge of every word at a time, long ones each with
+a heap, in O(n log n) for a word of n bytes.
 
 Defined cases: a null text is encoded as the empty one, which has no tokens; a long text is
 encoded whole; repeated rows and null ids stay, row by row; columns other than the id and the
@@ -15,7 +16,9 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +33,19 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
     rf"| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
+#: The same for texts of the first 256 characters, with its classes spelled out, which the standard library cuts faster.
+LATIN = PATTERN.replace(SPACE, r"\t-\r \x85\xa0")
+for _kind in "LN":
+    LATIN = LATIN.replace(rf"\p{{{_kind}}}+", f"[\\p{{{_kind}}}]+").replace(
+        rf"\p{{{_kind}}}", "".join(f"\\x{i:02x}" for i in range(256) if regex.match(rf"\p{{{_kind}}}", chr(i)))
+    )
 NEVER = np.int64(1) << 40
 #: Words that a Python worker remembers; longer words than this many bytes are worked out each time.
 REMEMBERED, SHORT = 200_000, 48
+#: The longest end of a word whose proposal is remembered.
+TAIL = 12
+#: Widths of the tables in which short words are merged together.
+WIDTHS = (8, 12, 20, SHORT)
 #: Bytes of text that are cut into words at a time.
 SLICE = 1 << 20
 
@@ -60,7 +73,13 @@ class Vocabulary:
             self.text[number] = token
         for token, number in self.special.items():
             self.text[number] = token.encode()
-        self.longest = max(map(len, self.ids))
+        #: The longest token for each beginning of three bytes; the others have two at most.
+        self.reach: dict[bytes, int] = {}
+        for token in self.ids:
+            if len(token) > self.reach.get(token[:3], 2):
+                self.reach[token[:3]] = len(token)
+        #: Proposals of what follows a word's first token.
+        self.tails: dict[bytes, tuple[int, ...]] = {}
         self.left, self.right = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
         self.made_at = np.full(size, -1, np.int64)
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
@@ -75,7 +94,12 @@ class Vocabulary:
         order = np.argsort(keys)
         self.pair_keys = keys[order]
         self.pair_ranks = np.array([rank for rank, _ in self.merges.values()], np.int64)[order]
+        self.made_by = np.zeros(len(model["merges"]), np.int64)
+        self.made_by[[rank for rank, _ in self.merges.values()]] = [whole for _, whole in self.merges.values()]
         self.byte_id = [self.ids[bytes([b])] for b in range(256)]
+        own = np.array(self.byte_id)
+        #: Ranks of pairs of bytes.
+        self.byte_ranks = self.ranks(np.repeat(own, 256), np.tile(own, 256)).reshape(256, 256)
         self.stable = np.array([bool(t) and self.merge(t) == [i] for i, t in enumerate(self.text)])
 
     def merge(self, word: bytes) -> list[int]:
@@ -104,15 +128,64 @@ class Vocabulary:
                 heapq.heappush(heap, (found[0], h, parts[h], whole, found[1]))
         return [p for p in parts if p >= 0]
 
+    def ranks(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs' merges, NEVER where there is none."""
+        keys = first << 32 | second
+        place = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[place] == keys, self.pair_ranks[place], NEVER)
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """Exact merging of short words in a table: of each word its earliest merge, from the left, until none has one."""
+        out: list[list[int]] = [[]] * len(words)
+        lengths = np.array([len(w) for w in words], np.int64)
+        at = np.flatnonzero(lengths)
+        width = int(lengths.max(initial=0))
+        columns = np.arange(width)
+        raw = np.zeros((len(at), width), np.uint8)
+        raw[columns < lengths[at, None]] = np.frombuffer(b"".join(words), np.uint8)
+        parts, left = np.array(self.byte_id)[raw], lengths[at]
+        ranks = np.full((len(at), width), NEVER)
+        ranks[:, :-1] = self.byte_ranks[raw[:, :-1], raw[:, 1:]]
+        ranks[columns >= left[:, None] - 1] = NEVER
+        while len(at):
+            best = ranks.argmin(axis=1)
+            rank = ranks[np.arange(len(at)), best]
+            done = rank == NEVER
+            if done.any():
+                for i, row, n in zip(at[done].tolist(), parts[done].tolist(), left[done].tolist(), strict=True):
+                    out[i] = row[:n]
+                on = ~done
+                at, parts, ranks, left, best, rank = at[on], parts[on], ranks[on], left[on], best[on], rank[on]
+                if not len(at):
+                    break
+            rows, whole = np.arange(len(at)), self.made_by[rank]
+            left = left - 1
+            longest = int(left.max())
+            columns = np.arange(longest)
+            # the second part of each merge goes, and what follows moves up
+            taken = columns + (columns > best[:, None])
+            parts, ranks = np.take_along_axis(parts, taken, 1), np.take_along_axis(ranks, np.minimum(taken + (taken == best[:, None]), ranks.shape[1] - 1), 1)
+            parts[rows, best] = whole
+            after, before = best + 1 < left, best > 0
+            ranks[rows, best] = NEVER
+            ranks[rows[after], best[after]] = self.ranks(whole[after], parts[rows[after], best[after] + 1])
+            ranks[rows[before], best[before] - 1] = self.ranks(parts[rows[before], best[before] - 1], whole[before])
+        return out
+
     def propose(self, word: bytes) -> list[int]:
-        """Greedy longest match."""
-        ids, out, at, n = self.ids, [], 0, len(word)
+        """Greedy longest match; short ends of words are remembered."""
+        ids, reach, tails, out, at, n, first = self.ids, self.reach, self.tails, [], 0, len(word), 0
         while at < n:
-            end = min(n, at + self.longest)
+            if at and (known := tails.get(word[at:])):
+                out += known
+                break
+            end = min(n, at + reach.get(word[at : at + 3], 2))
             while (token := ids.get(word[at:end])) is None:
                 end -= 1
             out.append(token)
-            at = end
+            at, first = end, first or end
+        if first < n <= first + TAIL and len(tails) < REMEMBERED // 2:
+            tails.setdefault(word[first:], tuple(out[1:]))
         return out
 
     def compatible(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -125,9 +198,7 @@ class Vocabulary:
         at, a, b = np.arange(len(first)), first.astype(np.int64), second.astype(np.int64)
         due = np.full(len(first), NEVER)
         while len(at):
-            keys = a << 32 | b
-            place = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-            rank = np.where(self.pair_keys[place] == keys, self.pair_ranks[place], NEVER)
+            rank = self.ranks(a, b)
             bad = rank < due
             good[at[bad]] = False
             at_a, at_b = self.made_at[a], self.made_at[b]
@@ -142,7 +213,7 @@ class Vocabulary:
         """Tokens of each word, and how many words had to be merged exactly."""
         proposed = [self.propose(word) for word in words]
         counts = np.array([len(p) for p in proposed], np.int64)
-        flat = np.fromiter((t for p in proposed for t in p), np.int64, int(counts.sum()))
+        flat = np.fromiter(chain.from_iterable(proposed), np.int64, int(counts.sum()))
         owner = np.repeat(np.arange(len(words)), counts)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         pairs, where = np.unique(flat[inner] << 32 | flat[inner + 1], return_inverse=True)
@@ -150,7 +221,13 @@ class Vocabulary:
         failing = np.zeros(len(words), bool)
         failing[owner[inner[~fits]]] = True
         failing[owner[~self.stable[flat]]] = True
-        for i in np.flatnonzero(failing):
+        wrong = np.flatnonzero(failing)
+        sizes = np.array([len(words[i]) for i in wrong], np.int64)
+        for above, width in zip((0, *WIDTHS), WIDTHS):
+            group = wrong[(sizes > above) & (sizes <= width)].tolist()
+            for i, merged in zip(group, self.merge_all([words[i] for i in group]), strict=True):
+                proposed[i] = merged
+        for i in wrong[sizes > WIDTHS[-1]]:
             proposed[i] = self.merge(words[i])
         return proposed, int(failing.sum())
 
@@ -173,13 +250,20 @@ class Decoder:
 
 
 class Encoder:
-    """A vocabulary with the words that this worker has seen; forgets all of them when full."""
+    """A vocabulary with the words that this worker has seen; when full it forgets those that were not seen for longest."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.seen = vocabulary, {}
-        self.split = regex.compile(PATTERN).findall
+        self.vocabulary, self.seen, self.earlier = vocabulary, {}, {}
+        self.split_any, self.split_latin = regex.compile(PATTERN).findall, re.compile(LATIN).findall
         self.special = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")") if vocabulary.special else None
 
+    def split(self, text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.split_any(text)
+        return self.split_latin(text)
+
     def pieces(self, text: str) -> list[str | int]:
         """Words in order; a special token's string is its number."""
         if not self.special or not any(token in text for token in self.vocabulary.special):
@@ -191,19 +275,25 @@ class Encoder:
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        if len(self.seen) > REMEMBERED:
-            self.seen.clear()
-        seen, cut = self.seen, [self.pieces(text) for text in texts]
+        if len(self.seen) > REMEMBERED // 2:
+            self.seen, self.earlier = {}, self.seen
+        seen, earlier, cut = self.seen, self.earlier, [self.pieces(text) for text in texts]
         own: dict[str | int, bytes] = {}
-        new = {word for words in cut for word in words} - seen.keys()
+        new = set().union(*cut) - seen.keys()
+        again = new & earlier.keys()
+        seen.update((word, earlier[word]) for word in again)
+        new -= again
         words = [w for w in new if isinstance(w, str)]
         for number in new:
             if not isinstance(number, str):
                 own[number] = int(number).to_bytes(4, "little")
         raw = [w.encode() for w in words]
-        for word, data, numbers in zip(words, raw, self.vocabulary.encode(raw)[0], strict=True):
-            packed = np.array(numbers, "<u4").tobytes()
-            (seen if len(data) <= SHORT else own)[word] = packed
+        numbers = self.vocabulary.encode(raw)[0]
+        packed, start = np.fromiter(chain.from_iterable(numbers), "<u4").tobytes(), 0
+        for word, data, ids in zip(words, raw, numbers, strict=True):
+            end = start + 4 * len(ids)
+            (seen if len(data) <= SHORT else own)[word] = packed[start:end]
+            start = end
         if not own:
             return [b"".join(map(seen.__getitem__, words)) for words in cut]
         return [b"".join(seen[w] if w in seen else own[w] for w in words) for words in cut]

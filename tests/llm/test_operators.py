@@ -463,6 +463,33 @@ def test_bpe_speculation_is_verified_exactly():
     assert got == [vocabulary.merge(w) for w in words] and 0 < failing < len(words)
 
 
+def test_bpe_merges_in_tables_cuts_latin_texts_and_keeps_frequent_words(monkeypatch):
+    import regex
+
+    vocabulary = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    draw = random.Random(8)
+    made = [bytes(draw.choice(b" aaaenrthio\xc3\xa9\xff") for _ in range(draw.randrange(49))) for _ in range(4000)]
+    assert [list(x) for x in vocabulary.merge_all(made)] == [vocabulary.merge(w) for w in made]
+    assert vocabulary.merge_all([]) == [] and vocabulary.merge_all([b"", b"a"]) == [[], vocabulary.merge(b"a")]
+    assert [list(x) for x in vocabulary.encode(made + [b"a" * 49])[0]] == [vocabulary.merge(w) for w in made + [b"a" * 49]]
+
+    encoder, whole = bpe.Encoder(vocabulary), regex.compile(bpe.PATTERN).findall
+    for _ in range(4000):
+        text = "".join(chr(draw.randrange(256)) if draw.random() < 0.5 else draw.choice("a 'sld\n\t\x85\xa0\x1c12é") for _ in range(30))
+        assert encoder.split(text) == whole(text) and encoder.split(text + " œ") == whole(text + " œ")
+
+    monkeypatch.setattr(bpe, "REMEMBERED", 400)
+    frequent, asked = [f" often{i}" for i in range(50)], []
+    encode = vocabulary.encode
+    monkeypatch.setattr(vocabulary, "encode", lambda words: asked.extend(words) or encode(words))
+    for i in range(40):
+        text = "".join(frequent) + "".join(f" rare{chr(97 + j // 26)}{chr(97 + j % 26)}{'x' * i}" for j in range(60))
+        (packed,) = encoder.texts([text])
+        assert np.frombuffer(packed, "<u4").tolist() == [t for w in whole(text) for t in vocabulary.merge(w.encode())]
+        assert len(encoder.seen) + len(encoder.earlier) < 400 + 2 * 200
+    assert asked.count(b" often") == 1
+
+
 def test_bpe_odd_rows(spark, odd, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     got = bpe.decode(bpe.encode(odd, path), path).toPandas()
