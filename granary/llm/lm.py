@@ -28,6 +28,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ SEED = 42
 BASE, DISCOUNT, BITS, PROBES = math.sqrt(2), 0.75, 10, 5
 #: Entries of one segment, tokens that a task counts at a time, words that it remembers, and bytes of a slice of texts.
 SEGMENT, BUFFER, REMEMBERED, SLICE = 1 << 20, 2_000_000, 200_000, 4 << 20
+#: Keys that are hashed and looked up at a time.
+BLOCK = 1 << 14
 BIGRAM, CONTEXT, BACKOFF = 1, 2, 3
 #: What segments answer: levels of bigrams, levels of words as contexts, their back-off weights and exact counts.
 ANSWERS = ("bigram", "context", "backoff", "count")
@@ -78,39 +81,55 @@ def named(kind: int, keys: np.ndarray) -> np.ndarray:
     return mix(keys.astype(np.uint64) ^ np.uint64(kind * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
 
 
-def places(names: np.ndarray, level: np.ndarray | int, sizes: np.ndarray) -> np.ndarray:
-    """Bits of each entry at a level, by row, within a segment of the given sizes."""
+def strides(names: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the probes of each entry at a level begin, and how far one is from the next."""
     step = np.uint64(0xD1B54A32D192ED03)
-    one = mix(names + step * np.asarray(level, np.uint64))
-    two = mix(one ^ step) | np.uint64(1)
-    return (one[:, None] + two[:, None] * np.arange(PROBES, dtype=np.uint64)) % sizes.astype(np.uint64)[:, None]
+    one = mix(names + np.uint64(int(step) * level & (1 << 64) - 1))
+    return one, mix(one ^ step) | np.uint64(1)
+
+
+def within(places: np.ndarray, size: np.uint64) -> np.ndarray:
+    """Bits within a segment: the remainder, by a division that numpy does in vectors."""
+    return (places - places // size * size).view(np.int64)
 
 
 class Filter:
     """Segments of bits; a name's segment is fixed by its low half."""
 
     def __init__(self, segments: dict[int, bytes], count: int):
-        self.count = max(1, count)
-        bits = [np.frombuffer(segments.get(i, b"\0"), np.uint8) for i in range(self.count)]
-        self.sizes = np.array([8 * len(b) for b in bits], np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.bits = np.concatenate(bits)
+        self.segments = [np.frombuffer(segments.get(i, b"\0"), np.uint8) for i in range(max(1, count))]
 
     def levels(self, kind: int, keys: np.ndarray) -> np.ndarray:
         """Levels by repeated membership probes; 0 where an entry is not in the filter."""
-        names = named(kind, keys)
-        segment = (names % np.uint64(self.count)).astype(np.int64)
-        out, at, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
-        while len(at):
-            own = segment[at]
-            bit = places(names[at], level, self.sizes[own]).astype(np.int64) + self.starts[own][:, None]
-            there = ((self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).all(axis=1)
-            at = at[there]
-            out[at] = level
-            level += 1
+        out = np.zeros(len(keys), np.uint8)
+        for start in range(0, len(keys), BLOCK):
+            names, block = named(kind, keys[start : start + BLOCK]), out[start : start + BLOCK]
+            if len(self.segments) == 1:
+                block[:] = read_levels(self.segments[0], names)
+                continue
+            segment = names % np.uint64(len(self.segments))
+            for i in np.unique(segment).tolist():
+                block[segment == i] = read_levels(self.segments[i], names[segment == i])
         return out
 
 
+def read_levels(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Levels of names in one segment, probe by probe: most names that are missing are so at the first."""
+    out, at, level, size = np.zeros(len(names), np.uint8), np.arange(len(names)), 1, np.uint64(8 * len(bits))
+    while len(at):
+        place, stride = strides(names, level)
+        for probe in range(PROBES):
+            if probe:
+                place = place + stride
+            bit = within(place, size)
+            there = ((bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).view(bool)
+            if not there.all():
+                at, names, place, stride = at[there], names[there], place[there], stride[there]
+        out[at] = level
+        level += 1
+    return out
+
+
 @dataclass
 class Model:
     """The filter's segments as tables ``segment, bits``, of bigrams and of contexts, and the corpus' totals."""
@@ -155,10 +174,26 @@ def keys_of(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
 
 def dealt(keys: np.ndarray, count: int, within: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
     """The order of keys by segment, and there by ``within``; the segments, and where each begins and ends in that order."""
-    segment = (mix(keys) % np.uint64(count)).astype(np.int64)
-    order = np.argsort(segment, kind="stable") if within is None else np.lexsort((within, segment))
-    own, starts = np.unique(segment[order], return_index=True)
-    return order, own, list(zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True)) if len(keys) else []
+    segment = segment_of(keys, count)
+    if within is None:
+        # numbers of 16 bits are sorted by radix
+        order = np.argsort(segment.astype(np.uint16) if count <= 1 << 16 else segment, kind="stable")
+    elif within.dtype == np.uint32 and count <= 1 << 32:
+        order = np.argsort(segment.astype(np.uint64) << np.uint64(32) | within)
+    else:
+        order = np.lexsort((within, segment))
+    return order, *runs(segment[order])
+
+
+def segment_of(keys: np.ndarray, count: int) -> np.ndarray:
+    mixed, count = mix(keys), np.uint64(count)
+    return (mixed - mixed // count * count).astype(np.int64)
+
+
+def runs(ordered: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Distinct values of an ordered array, and where each begins and ends."""
+    starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1])))
+    return ordered[starts], list(zip(starts.tolist(), [*starts[1:].tolist(), len(ordered)], strict=True)) if len(ordered) else []
 
 
 def short(keys: np.ndarray) -> np.ndarray:
@@ -184,7 +219,7 @@ def packed_bigrams(texts: DataFrame, segments: int) -> DataFrame:
         for batch in rounds(batches, "text", 1 << 20):
             cut = [words_of(t) for t in encoded(batch.column("text"))]
             lengths = np.array([len(w) for w in cut])
-            values = np.fromiter((hashes[w] for words in cut for w in words), np.uint64, int(lengths.sum()))
+            values = np.fromiter(map(hashes.__getitem__, chain.from_iterable(cut)), np.uint64, int(lengths.sum()))
             held.append(keys_of(values, np.cumsum(lengths) - lengths))
             size += len(values)
             if size > BUFFER:
@@ -232,8 +267,12 @@ def bits_of(names: np.ndarray, levels: np.ndarray) -> bytes:
     size = -(-int(levels.sum()) * BITS // 8) * 8
     bits = np.zeros(size, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        own = names[levels >= level]
-        bits[places(own, level, np.full(len(own), size)).ravel().astype(np.int64)] = True
+        names, levels = names[levels >= level], levels[levels >= level]
+        for start in range(0, len(names), BLOCK):
+            place, stride = strides(names[start : start + BLOCK], level)
+            for _ in range(PROBES):
+                bits[within(place, np.uint64(size))] = True
+                place += stride
     return np.packbits(bits, bitorder="little").tobytes() or b"\0"
 
 
@@ -314,7 +353,7 @@ def slices_of(source: DataFrame) -> DataFrame:
         for batch in rounds(batches, "text", SLICE):
             cut = [words_of(t) for t in encoded(batch.column("text"))]
             lengths = np.array([len(w) for w in cut], np.int64)
-            values = np.fromiter((hashes[w] for words in cut for w in words), np.uint64, int(lengths.sum()))
+            values = np.fromiter(map(hashes.__getitem__, chain.from_iterable(cut)), np.uint64, int(lengths.sum()))
             words, tokens, times = np.unique(values, return_inverse=True, return_counts=True)
             # the most frequent first, so that most numbers are small
             order = np.argsort(-times, kind="stable")
@@ -331,13 +370,18 @@ def slices_of(source: DataFrame) -> DataFrame:
     return source.mapInArrow(run, f"slice long, ids array<{kind}>, lengths binary, words binary, tokens binary")
 
 
-def unpacked(lengths: bytes, words: bytes, tokens: bytes) -> tuple[np.ndarray, ...]:
-    """A slice's lengths, words and tokens, its distinct bigrams in order, and each token's place in them."""
+def bigrams_of(lengths: bytes, words: bytes, tokens: bytes) -> tuple[np.ndarray, ...]:
+    """A slice's lengths, words and tokens, and each token's bigram."""
     lengths, words = np.frombuffer(lengths, np.int64), np.frombuffer(words, np.uint64)
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(tokens), np.uint8).reshape(4, -1)
     tokens = np.ascontiguousarray(planes.T).view("<u4").ravel()
-    keys, where = np.unique(keys_of(words[tokens], np.cumsum(lengths) - lengths), return_inverse=True)
-    return lengths, words, tokens, keys, where
+    return lengths, words, tokens, keys_of(words[tokens], np.cumsum(lengths) - lengths)
+
+
+def unpacked(lengths: bytes, words: bytes, tokens: bytes) -> tuple[np.ndarray, ...]:
+    """A slice's lengths, words and tokens, its distinct bigrams in order, and each token's place in them."""
+    *parts, bigrams = bigrams_of(lengths, words, tokens)
+    return *parts, *np.unique(bigrams, return_inverse=True)
 
 
 def asked_for(keys: np.ndarray, segments: int, of_words: bool) -> tuple[np.ndarray, tuple]:
@@ -353,9 +397,13 @@ def requests(slices: DataFrame, segments: int, of_words: bool) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 number, *packed = (batch.column(x)[i].as_py() for x in range(4))
-                keys = np.frombuffer(packed[1], np.uint64) if of_words else unpacked(*packed)[3]
-                asked, (order, own, cuts) = asked_for(keys, segments, of_words)
-                asked = asked[order]
+                if of_words:
+                    asked, (order, own, cuts) = asked_for(np.frombuffer(packed[1], np.uint64), segments, True)
+                    asked = asked[order]
+                else:  # the same order, by values alone
+                    keys = np.unique(bigrams_of(*packed)[3])
+                    both = np.sort(segment_of(keys, segments).astype(np.uint64) << np.uint64(32) | short(keys))
+                    asked, (own, cuts) = low(both).astype(np.uint32), runs((both >> np.uint64(32)).astype(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own), pa.array(np.full(len(own), number)), pa.array([squeezed(asked[a:b], True) for a, b in cuts], pa.binary())],
                     ["segment", "slice", "keys"],
@@ -382,7 +430,7 @@ def answer_bigrams(asked: pa.Table, held: pa.Table) -> pa.Table:
     bits = held.column("bits").to_pylist()
     keys = asked_in(asked, np.uint32)
     levels = Filter({0: bits[0]} if bits else {}, 1).levels(BIGRAM, np.concatenate([np.empty(0, np.uint32), *keys]))
-    return answers(asked, keys, [("bigram", levels.astype(np.uint8))])
+    return answers(asked, keys, [("bigram", levels)])
 
 
 def answer_words(asked: pa.Table, held: pa.Table) -> pa.Table:
@@ -395,7 +443,7 @@ def answer_words(asked: pa.Table, held: pa.Table) -> pa.Table:
     names, sums = summed(held.column("h").filter(pa.array(is_word)).to_numpy().view(np.uint64), c.filter(pa.array(is_word)).to_numpy())
     place = np.minimum(np.searchsorted(names, hashes), max(0, len(names) - 1))
     count = np.where(names[place] == hashes, sums[place], 0) if len(names) else np.zeros(len(hashes), np.int64)
-    levels = [(name, segment.levels(kind, low(hashes)).astype(np.uint8)) for name, kind in (("context", CONTEXT), ("backoff", BACKOFF))]
+    levels = [(name, segment.levels(kind, low(hashes))) for name, kind in (("context", CONTEXT), ("backoff", BACKOFF))]
     return answers(asked, keys, [*levels, ("count", count.astype(np.int64))])
 
 
@@ -407,9 +455,10 @@ def score_slice(lengths: np.ndarray, words: np.ndarray, tokens: np.ndarray, keys
     # a text's first word follows an end, which is a word of every slice
     context_of = by_low[before]
     known = size[context_of] > 0
-    seen = np.maximum(BASE ** (levels - 1.0) - DISCOUNT, 0) / BASE ** size[context_of].astype(float)
+    power = BASE ** np.arange(-255.0, 256)
+    seen = np.maximum(power[levels + 254] - DISCOUNT, 0) / power[size + 255][context_of]
     seen = np.where((levels > 0) & known, seen, 0.0)
-    weight = BASE ** -left[context_of].astype(float)
+    weight = power[255 - left][context_of]
     share = (count + 1.0) / total
     own = np.log10(np.minimum(1.0, seen[where] + weight[where] * share[tokens]))
     owner = np.repeat(np.arange(len(lengths)), lengths)

@@ -490,6 +490,31 @@ def test_bpe_merges_in_tables_cuts_latin_texts_and_keeps_frequent_words(monkeypa
     assert asked.count(b" often") == 1
 
 
+def test_lm_missing_names_cost_few_probes_and_levels_are_exact(monkeypatch):
+    made = np.unique(np.random.default_rng(5).integers(0, 1 << 32, 60_000, dtype=np.uint64))
+    keys, missing = made[::2], made[1::2]
+    levels = 1 + np.arange(len(keys)) % 9
+    asked, plain = [], lm.within
+    bits = lm.bits_of(lm.named(lm.BIGRAM, keys), levels)
+
+    # every probe of every level, one name at a time
+    size, step = 8 * len(bits), 0xD1B54A32D192ED03
+    held = np.zeros(size, bool)
+    for name, top in zip(lm.named(lm.BIGRAM, keys[:500]).tolist(), levels[:500].tolist()):
+        for level in range(1, top + 1):
+            one = int(lm.mix(np.array([(name + step * level) % 2**64], np.uint64))[0])
+            two = int(lm.mix(np.array([one ^ step], np.uint64))[0]) | 1
+            held[[(one + two * i) % 2**64 % size for i in range(lm.PROBES)]] = True
+    assert np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").view(bool)[held].all()
+
+    monkeypatch.setattr(lm, "within", lambda places, size: asked.append(len(places)) or plain(places, size))
+    found = lm.Filter({0: bits}, 1).levels(lm.BIGRAM, keys)
+    assert (found >= levels).all() and (found == levels).mean() > 0.95
+    asked.clear()
+    assert (lm.Filter({0: bits}, 1).levels(lm.BIGRAM, missing) == 0).mean() > 0.95
+    assert sum(asked) < 2.5 * len(missing)
+
+
 def test_bpe_odd_rows(spark, odd, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     got = bpe.decode(bpe.encode(odd, path), path).toPandas()
